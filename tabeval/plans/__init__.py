@@ -4,7 +4,7 @@ import importlib
 
 from tabeval.plans.registry import ORACLES, QUERIES
 
-FAMILIES = ["e_relational"]
+FAMILIES = ["b_catalog", "c_prompts", "e_relational"]
 
 for family in FAMILIES:
     importlib.import_module(f"tabeval.plans.{family}")
