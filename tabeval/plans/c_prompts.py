@@ -118,10 +118,12 @@ WS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
         FROM conversations WHERE role = 'assistant'""",
 )
 def split_answers(t: Tables):
-    answers = raw_answers(t).drop("volume")
-    counts = t.conversations.where(F.col("role") == "assistant").groupBy("conv_id").agg(F.count(F.lit(1)).alias("n"))
-    split = prompts.split_answers(answers.join(counts, "conv_id"), "answer", F.col("n").cast("int"))
-    return split.select("conv_id", F.col("place").cast("bigint").alias("place"), "code")
+    turns = t.conversations.where(F.col("role") == "assistant")
+    per_volume = F.lit(prompts.PARTS_PER_VOLUME)
+    counts = turns.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n"))
+    expected = F.least(F.col("n") - F.col("volume") * per_volume, per_volume).cast("int")
+    split = prompts.split_answers(raw_answers(t).join(counts, "conv_id"), "answer", expected)
+    return split.select("conv_id", (F.col("volume") * per_volume + F.col("place")).alias("place"), "code")
 
 
 @query(
@@ -137,9 +139,9 @@ def parse_desc_sql(t: Tables):
         "%d. Show turn %d said by the %s\nSQL:\n```sql\nSELECT text FROM conversations\nWHERE conv_id = %d AND turn = %d;\n```\n\n",
         F.col("part_no") + 1, "turn", "role", "conv_id", "turn",
     )
-    answers = prompts.assemble(turns.select("conv_id", "part_no", piece.alias("text")), ["conv_id"], "answer").drop("volume")
-    parsed = prompts.parse_desc_sql(answers, "answer")
-    return parsed.withColumn("query_idx", F.col("query_idx").cast("bigint"))
+    answers = prompts.assemble(turns.select("conv_id", "part_no", piece.alias("text")), ["conv_id"], "answer")
+    place = F.col("volume") * prompts.PARTS_PER_VOLUME + F.col("query_idx")
+    return prompts.parse_desc_sql(answers, "answer").withColumn("query_idx", place).drop("volume")
 
 
 @query("c09_rewrite_code", """SELECT doc_id, replace(replace(text, 'value', 'value1'), '''', '"') AS code FROM documents""")
@@ -149,7 +151,7 @@ def rewrite_code(t: Tables):
 
 @query(
     "c10_parse_target_json",
-    """SELECT event_id, [event_type, 'value'] AS input_columns, 'user ' || user_id AS output_column FROM events
+    """SELECT event_id, event_type || ',value' AS input_columns, 'user ' || user_id AS output_column FROM events
        WHERE event_type NOT IN ('click', 'error')""",
 )
 def parse_target_json(t: Tables):
@@ -161,7 +163,8 @@ def parse_target_json(t: Tables):
     )
     kind = F.col("event_type")
     answer = F.when(kind == "error", F.col("props")).when(kind == "click", "no such columns").otherwise(good)
-    return prompts.parse_target_json(t.events.select("event_id", answer.alias("answer")), "answer").drop("answer")
+    parsed = prompts.parse_target_json(t.events.select("event_id", answer.alias("answer")), "answer").drop("answer")
+    return parsed.withColumn("input_columns", F.array_join("input_columns", ","))
 
 
 @query(
