@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 import threading
 import time
 import uuid
@@ -29,18 +30,23 @@ def run_query(spark: SparkSession, sql: str) -> tuple[str, str | None]:
         return ERROR, f"{type(error).__name__}: {str(error).splitlines()[0][:200]}"
 
 
+logging.getLogger("SQLQueryContextLogger").setLevel(logging.CRITICAL)  # failing queries are results here
+
+
 def label_dataset(spark: SparkSession, sqls: Sequence[str], timeout_s: float = LABEL_TIMEOUT_S) -> list[tuple] | None:
     """(status, seconds, problem) per query, or None when the whole batch takes longer than the limit."""
+    context = spark.sparkContext
     tag = f"label-{uuid.uuid4().hex}"
     late = threading.Event()
 
     def stop() -> None:
         late.set()
-        spark.interruptTag(tag)
+        context.cancelJobsWithTag(tag)
 
     timer = threading.Timer(timeout_s, stop)
     timer.start()
-    spark.addTag(tag)
+    context.addJobTag(tag)
+    context.setInterruptOnCancel(True)
     labels = []
     try:
         for sql in sqls:
@@ -52,7 +58,8 @@ def label_dataset(spark: SparkSession, sqls: Sequence[str], timeout_s: float = L
         return labels
     finally:
         timer.cancel()
-        spark.removeTag(tag)
+        context.removeJobTag(tag)
+        context.setInterruptOnCancel(False)
 
 
 def own_session(spark: SparkSession) -> SparkSession:

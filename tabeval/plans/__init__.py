@@ -4,7 +4,7 @@ import importlib
 
 from tabeval.plans.registry import ORACLES, QUERIES
 
-FAMILIES = ["a_sources", "b_catalog", "c_prompts", "e_relational"]
+FAMILIES = ["a_sources", "b_catalog", "c_prompts", "d_workload", "e_relational", "g_analytics", "h_metrics"]
 
 for family in FAMILIES:
     importlib.import_module(f"tabeval.plans.{family}")

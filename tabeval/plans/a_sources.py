@@ -18,7 +18,7 @@ def list_files(t: Tables):
     path = scratch_path(t.spark, "corpus")
     marked = t.orders.withColumn("dataset", F.replace(F.concat(F.lit("corpus/"), "o_orderpriority"), F.lit("/"), F.lit("_")))
     (
-        marked.repartition("dataset", "o_orderstatus")
+        marked.hint("rebalance", "dataset", "o_orderstatus")
         .write.partitionBy("dataset", "o_orderstatus").option("header", "true").csv(path)
     )
     found = files.list_files(t.spark, path)
