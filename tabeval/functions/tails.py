@@ -7,6 +7,7 @@ from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 
 def normal_tail(z: float) -> float:
@@ -61,7 +62,7 @@ def _from_normal(distance: float, sigma: float, alternative: str) -> float | Non
 EXACT_BELOW = 50  # fixed value: sample size from which the normal approximation is used
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def signed_rank_p(
     v: pd.Series, n: pd.Series, mu: pd.Series, sigma: pd.Series, clean: pd.Series, alternative: pd.Series
 ) -> pd.Series:
@@ -77,7 +78,7 @@ def signed_rank_p(
     return pd.Series([one(*row) for row in zip(v, n, mu, sigma, clean, alternative)], dtype="float64")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def rank_sum_p(
     w: pd.Series, m: pd.Series, n: pd.Series, mu: pd.Series, sigma: pd.Series, clean: pd.Series, alternative: pd.Series
 ) -> pd.Series:

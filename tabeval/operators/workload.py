@@ -37,14 +37,17 @@ def label_dataset(spark: SparkSession, sqls: Sequence[str], timeout_s: float = L
     """(status, seconds, problem) per query, or None when the whole batch takes longer than the limit."""
     context = spark.sparkContext
     tag = f"label-{uuid.uuid4().hex}"
-    late = threading.Event()
+    late, done = threading.Event(), threading.Event()
 
-    def stop() -> None:
-        late.set()
-        context.cancelJobsWithTag(tag)
+    def stop_when_late() -> None:
+        if not done.wait(timeout_s):
+            late.set()
+            context.cancelJobsWithTag(tag)
+            while not done.wait(1.0):  # a job may have started just after the last cancellation
+                context.cancelJobsWithTag(tag)
 
-    timer = threading.Timer(timeout_s, stop)
-    timer.start()
+    watcher = threading.Thread(target=stop_when_late, daemon=True)
+    watcher.start()
     context.addJobTag(tag)
     context.setInterruptOnCancel(True)
     labels = []
@@ -52,12 +55,12 @@ def label_dataset(spark: SparkSession, sqls: Sequence[str], timeout_s: float = L
         for sql in sqls:
             started = time.monotonic()
             status, problem = run_query(spark, sql)
-            labels.append((status, time.monotonic() - started, problem))
             if late.is_set():
                 return None
+            labels.append((status, time.monotonic() - started, problem))
         return labels
     finally:
-        timer.cancel()
+        done.set()
         context.removeJobTag(tag)
         context.setInterruptOnCancel(False)
 
