@@ -8,6 +8,7 @@ sorted on its own, and the totals of the earlier ranges are added.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
@@ -32,12 +33,11 @@ def _fits(df: DataFrame, group: Sequence[str], plain_limit: int | None) -> bool:
     return limit > 0 and largest_group(df, group) <= limit
 
 
-def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    """Null-safe equality of the key columns of two frames."""
-    condition = F.lit(True)
-    for key in keys:
-        condition = condition & left[key].eqNullSafe(right[key])
-    return condition
+def attach(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on key columns, null keys included; the keys of the right side are dropped."""
+    renamed = right.withColumnsRenamed({key: f"_right_{key}" for key in keys})
+    condition = reduce(lambda a, b: a & b, [F.col(key).eqNullSafe(F.col(f"_right_{key}")) for key in keys])
+    return left.join(renamed, condition, how).drop(*[f"_right_{key}" for key in keys])
 
 
 def with_range_bucket(df: DataFrame, value: str, name: str = "_bucket") -> DataFrame:
@@ -92,11 +92,12 @@ def cumulative_by_value(
     ordered = counted.select(
         "*", *[F.coalesce(F.sum(name).over(inside), F.lit(0)).alias(f"_{name}_inside") for name in sums]
     )
-    joined = ordered.alias("o").join(ranges.alias("r"), same_keys(ordered, ranges, [*group, "_bucket"]))
-    return joined.select(
-        *[F.col(f"o.{name}") for name in [*group, value, *sums]],
+    return attach(ordered, ranges, [*group, "_bucket"]).select(
+        *group,
+        value,
+        *sums,
         *[(F.col(f"_{name}_inside") + F.col(f"_{name}_before")).alias(f"{name}_below") for name in sums],
-        *[F.col(f"r.{name}_total") for name in sums],
+        *[f"{name}_total" for name in sums],
     )
 
 
@@ -128,11 +129,8 @@ def with_ordinal(
     )
     earlier = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     pieces = pieces.withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
-    joined = spread.join(pieces, same_keys(spread, pieces, ["_part", *group]))
-    return joined.select(
-        *[spread[c] for c in df.columns],
-        (F.col("_place") - F.col("_first") + F.col("_before")).alias(name),
-    )
+    place = F.col("_place") - F.col("_first") + F.col("_before")
+    return attach(spread, pieces, ["_part", *group]).select(*df.columns, place.alias(name))
 
 
 def first_per_group(df: DataFrame, group: Sequence[str], order: Sequence[str | Column], n: int) -> DataFrame:
