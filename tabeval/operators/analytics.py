@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tabeval.functions.fixed import COMPARISON, CORRECT, EMPTY, ERROR, FAILED, KEYWORD_LABELS, KEYWORDS, KEYWORDS_SHORT, VALID
 from tabeval.functions.text import classify_sql
-from tabeval.operators.ranks import below_cut, first_per_group, hash_cuts, stable_hash
+from tabeval.operators.ranks import below_cut, first_per_group, hash_counts, hash_cuts, stable_hash
 
 TOTAL = "Total"
 
@@ -134,11 +134,12 @@ def split_sizes(n: int, shares: dict[str, float]) -> dict[str, int]:
 
 def split_label(df: DataFrame, key: str, shares: dict[str, float], seed: int) -> Column:
     """The split of each row as an expression on its key. ``df`` holds every key once."""
-    sizes = split_sizes(df.count(), shares)
+    per_prefix = hash_counts(df, key, seed)
+    sizes = split_sizes(sum(per_prefix.values()), shares)
     names = list(sizes)
     ends = [sum(list(sizes.values())[: i + 1]) for i in range(len(names) - 1)]
     label = F.lit(names[-1])
-    for name, cut in reversed(list(zip(names, hash_cuts(df, key, seed, ends)))):
+    for name, cut in reversed(list(zip(names, hash_cuts(df, key, seed, ends, per_prefix)))):
         label = F.when(below_cut(key, seed, cut), F.lit(name)).otherwise(label)
     return label
 

@@ -375,20 +375,24 @@ def sweep_windows(windows: DataFrame, dataset: str, methods: Sequence[str] = tup
 
 
 def sweep_large(
-    datasets: dict[str, tuple[DataFrame, DataFrame]], models: dict[str, dict], numeric: Sequence[str], categorical: Sequence[str] = ()
-) -> tuple[list[DataFrame], list[tuple[str, str, str]]]:
-    """Every distributed model on every large dataset (train, test); a failing model is noted and skipped."""
-    done, failed = [], []
+    datasets: dict[str, tuple[DataFrame, DataFrame]], models: dict[str, dict], numeric: Sequence[str], path: str, categorical: Sequence[str] = ()
+) -> tuple[DataFrame | None, list[tuple[str, str, str]]]:
+    """Every distributed model on every large dataset (train, test).
+
+    Predictions (y, probs, predicted, dataset, method, time_s) are written under ``path`` as each model ends,
+    so a failing model is noted and skipped, and a restart can leave out what is there.
+    """
+    failed: list[tuple[str, str, str]] = []
     for name, (train, test) in datasets.items():
         for model, params in models.items():
             started = time.monotonic()
             try:
-                scored = fit_predict(train, test, model, numeric, categorical, **params)
+                scored = fit_predict(train, test, model, numeric, categorical, **params).select("y", "probs", "predicted")
+                facts = {"dataset": F.lit(name), "method": F.lit(model), "time_s": F.lit(time.monotonic() - started)}
+                scored.withColumns(facts).write.parquet(f"{path}/{name}-{model}")
             except Exception as error:
                 failed.append((name, model, type(error).__name__))
-                continue
-            facts = {"dataset": F.lit(name), "method": F.lit(model), "time_s": F.lit(time.monotonic() - started)}
-            done.append(scored.withColumns(facts))
-    return done, failed
-
-
+    done = [f"{path}/{name}-{model}" for name in datasets for model in models if (name, model) not in {f[:2] for f in failed}]
+    if not done:
+        return None, failed
+    return train.sparkSession.read.parquet(*done), failed

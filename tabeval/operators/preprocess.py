@@ -12,13 +12,13 @@ from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from tabeval.functions.fixed import MAX_FEATURES
 from tabeval.functions.probs import pad, rotate
-from tabeval.operators.ranks import attach, cumulative_by_value, exact_quantiles
+from tabeval.operators.ranks import attach, cumulative_by_value, exact_quantiles, may_sort_groups
 
 STD_OFFSET, CLIP = 0.000001, 100.0  # fixed values of the z-score
 
@@ -121,6 +121,9 @@ def soft_clip(df: DataFrame, columns: Sequence[str], n_sigma: float = 4.0, train
 
 def rank_transform(df: DataFrame, value: str, group: Sequence[str] = (), name: str = "rank", plain_limit: int | None = None) -> DataFrame:
     """Number of rows of the group with a value at or below the row's own."""
+    if may_sort_groups(df, group, plain_limit):
+        upto = F.count(F.col(value)).over(Window.partitionBy(*group).orderBy(value))  # equal values are counted too
+        return df.withColumn(name, F.when(F.col(value).isNotNull(), upto))
     counts = cumulative_by_value(df, group, value, plain_limit=plain_limit)
     counts = counts.select(*group, value, (F.col("n_below") + F.col("n")).alias(name))
     return attach(df, counts, [*group, value], "left")
@@ -145,37 +148,52 @@ def yeo_johnson(x: Column, lam: Column) -> Column:
     return F.when(x >= 0, up).otherwise(down)
 
 
-GRID_POINTS, GRID_ROUNDS = 17, 5
+FIRST_GRID = np.linspace(-3.0, 5.0, 9)
+STEPS = (0.2, 0.02, 0.002)  # of the five exponents around the best one, round by round
+
+
+def _peak(lams: Sequence[float], scores: Sequence[float]) -> float:
+    """Top of the parabola through the best point and its neighbours."""
+    top = int(np.argmax(scores))
+    if top in (0, len(lams) - 1):
+        return float(lams[top])
+    h = lams[top] - lams[top - 1]
+    below, here, above = scores[top - 1 : top + 2]
+    bend = below - 2 * here + above
+    return float(lams[top] + (h * (below - above) / (2 * bend) if bend < 0 else 0.0))
 
 
 def fit_power(df: DataFrame, columns: Sequence[str], train: Column | None = None) -> dict[str, tuple[float, float, float]]:
     """Exponent, mean and deviation per column, by maximum likelihood.
 
-    Every round is one job that scores a grid of exponents for all columns; the next grid lies around the best.
+    Every round is one job that scores a few exponents for all columns; the next ones lie closer around the
+    peak, and the last job measures the transformed columns.
     """
     long = _train(df, train).select(*[_valid(c).alias(c) for c in columns]).unpivot([], list(columns), "col", "x")
     long = long.where(F.col("x").isNotNull())
-    grids = {c: np.linspace(-3.0, 5.0, GRID_POINTS) for c in columns}
-    best: dict[str, tuple[float, float, float]] = {}
-    for _ in range(GRID_ROUNDS):
-        table = F.create_map(
-            *[x for c, grid in grids.items() for x in (F.lit(c), F.array(*[F.lit(float(v)) for v in grid]))]
-        )
-        tried = long.select("col", "x", F.explode(F.element_at(table, F.col("col"))).alias("lam"))
+
+    def measure(grids: dict[str, Sequence[float]]) -> dict[str, list]:
+        table = F.create_map(*[x for c, g in grids.items() for x in (F.lit(c), F.array(*[F.lit(float(v)) for v in g]))])
+        tried = long.select("col", "x", F.explode(F.try_element_at(table, F.col("col"))).alias("lam"))
         tried = tried.withColumn("t", yeo_johnson(F.col("x"), F.col("lam")))
-        scores = tried.groupBy("col", "lam").agg(
+        rows = tried.groupBy("col", "lam").agg(
             F.count(F.lit(1)).alias("n"), F.var_pop("t").alias("var"), F.avg("t").alias("mean"),
             F.sum(F.signum("x") * F.ln(1 + F.abs("x"))).alias("jacobian"),
-        ).collect()  # GRID_POINTS rows per column
-        for c in columns:
-            rows = [r for r in scores if r["col"] == c and r["var"] is not None and r["var"] > 0 and np.isfinite(r["var"])]
-            if not rows:
-                continue  # a column that cannot be fitted stays as it is
-            top = max(rows, key=lambda r: -r["n"] / 2 * np.log(r["var"]) + (r["lam"] - 1) * r["jacobian"])
-            best[c] = (top["lam"], top["mean"], float(np.sqrt(top["var"])))
-            step = grids[c][1] - grids[c][0]
-            grids[c] = np.linspace(top["lam"] - step, top["lam"] + step, GRID_POINTS)
-    return best
+        ).collect()  # a few rows per column
+        usable = [r for r in rows if r["var"] is not None and np.isfinite(r["var"]) and r["var"] > 0]
+        return {c: sorted((r for r in usable if r["col"] == c), key=lambda r: r["lam"]) for c in grids}
+
+    def likelihood(row) -> float:
+        return float(-row["n"] / 2 * np.log(row["var"]) + (row["lam"] - 1) * row["jacobian"])
+
+    grids = {c: FIRST_GRID for c in columns}
+    for step in (*STEPS, 0.0):
+        found = {c: rows for c, rows in measure(grids).items() if rows}  # a column that cannot be fitted is left alone
+        peaks = {c: _peak([r["lam"] for r in rows], [likelihood(r) for r in rows]) for c, rows in found.items()}
+        if not peaks:
+            return {}
+        grids = {c: [peak + step * i for i in range(-2, 3)] if step else [peak] for c, peak in peaks.items()}
+    return {c: (r[0]["lam"], r[0]["mean"], float(np.sqrt(r[0]["var"]))) for c, r in measure(grids).items() if r}
 
 
 def power_transform(df: DataFrame, columns: Sequence[str], train: Column | None = None) -> DataFrame:

@@ -14,23 +14,31 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabeval.session import shared_dir, shuffle_partitions
+from tabeval.session import scratch_path, shuffle_partitions
 
 PLAIN_GROUP_ROWS = 1_000_000  # largest group that one task may sort
+MAX_RANGES = 100_000
 PLAIN_TOP_N = 1_000  # Spark prunes row_number() <= n before the shuffle up to this n
 
 
-def largest_group(df: DataFrame, group: Sequence[str]) -> int:
-    """Rows of the largest group; map-side counts, one row comes back."""
-    if not group:
-        return df.count()
+def group_sizes(df: DataFrame, group: Sequence[str]) -> tuple[int, int]:
+    """Rows of the largest group and of all groups; map-side counts, one row comes back."""
     counts = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
-    return counts.agg(F.max("_n")).first()[0] or 0
+    row = counts.agg(F.max("_n").alias("largest"), F.sum("_n").alias("whole")).first()
+    return row["largest"] or 0, row["whole"] or 0
 
 
-def _fits(df: DataFrame, group: Sequence[str], plain_limit: int | None) -> bool:
+def _plan(df: DataFrame, group: Sequence[str], plain_limit: int | None) -> tuple[bool, int]:
+    """Whether one task may sort a whole group, and otherwise into how many ranges to cut the rows."""
     limit = PLAIN_GROUP_ROWS if plain_limit is None else plain_limit
-    return limit > 0 and largest_group(df, group) <= limit
+    largest, whole = group_sizes(df, group)
+    ranges = min(MAX_RANGES, max(shuffle_partitions(df.sparkSession), 2 * whole // PLAIN_GROUP_ROWS))
+    return largest <= limit, ranges
+
+
+def may_sort_groups(df: DataFrame, group: Sequence[str], plain_limit: int | None = None) -> bool:
+    """Whether the largest group is small enough for a plain window."""
+    return _plan(df, group, plain_limit)[0]
 
 
 def attach(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
@@ -40,9 +48,8 @@ def attach(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "i
     return left.join(renamed, condition, how).drop(*[f"_right_{key}" for key in keys])
 
 
-def with_range_bucket(df: DataFrame, value: str, name: str = "_bucket") -> DataFrame:
-    """Number the quantile range of a numeric column; ranges hold about equally many rows."""
-    n = shuffle_partitions(df.sparkSession)
+def with_range_bucket(df: DataFrame, value: str, n: int, name: str = "_bucket") -> DataFrame:
+    """Number the quantile range of a numeric column; the n ranges hold about equally many rows."""
     wide = df.withColumn("_as_double", F.col(value).cast("double"))
     cuts = wide.approxQuantile("_as_double", [i / n for i in range(1, n)], 1 / (4 * n))
     splits = [-float("inf"), *sorted(set(cuts)), float("inf")]
@@ -68,7 +75,8 @@ def cumulative_by_value(
     group = list(group)
     rows = df.where(F.col(value).isNotNull())
     added = [F.sum(expr).alias(name) for name, expr in sums.items()]
-    if _fits(rows, group, plain_limit):
+    plain, ranges_wanted = _plan(rows, group, plain_limit)
+    if plain:
         counted = rows.groupBy(*group, value).agg(*added)
         whole = Window.partitionBy(*group)
         earlier = whole.orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
@@ -77,7 +85,7 @@ def cumulative_by_value(
             *[F.coalesce(F.sum(name).over(earlier), F.lit(0)).alias(f"{name}_below") for name in sums],
             *[F.sum(name).over(whole).alias(f"{name}_total") for name in sums],
         )
-    counted = with_range_bucket(rows, value).groupBy(*group, "_bucket", value).agg(*added)
+    counted = with_range_bucket(rows, value, ranges_wanted).groupBy(*group, "_bucket", value).agg(*added)
     # at most one row per range and group, so these windows stay small
     ranges = counted.groupBy(*group, "_bucket").agg(*[F.sum(name).alias(f"_{name}") for name in sums])
     whole = Window.partitionBy(*group)
@@ -110,20 +118,21 @@ def with_ordinal(
 ) -> DataFrame:
     """Number the rows of each group from 0 in the given order. The order should end in a unique column."""
     group, order = list(group), list(order)
-    if _fits(df, group, plain_limit):
+    plain, ranges_wanted = _plan(df, group, plain_limit)
+    if plain:
         window = Window.partitionBy(*group).orderBy(*order)
         return df.withColumn(name, F.row_number().over(window).cast("bigint") - 1)
-    # Range partitions are kept as written data: the partition number must not change on a re-run.
-    shared_dir(df.sparkSession)
-    parts = shuffle_partitions(df.sparkSession)
+    # The ranges are kept as a written table: the place of a row must not change when a task runs again.
+    spark = df.sparkSession
     keys = [*[F.col(g) for g in group], *order]
-    spread = (
-        df.repartitionByRange(parts, *keys)
+    path = scratch_path(spark, "ordered")
+    (
+        df.repartitionByRange(ranges_wanted, *keys)
         .sortWithinPartitions(*keys)
         .withColumn("_place", F.monotonically_increasing_id())
-        .checkpoint()
+        .write.parquet(path)
     )
-    spread = spread.withColumn("_part", F.shiftright("_place", 33))
+    spread = spark.read.parquet(path).withColumn("_part", F.shiftright("_place", 33))
     pieces = spread.groupBy("_part", *group).agg(
         F.count(F.lit(1)).alias("_rows"), F.min("_place").alias("_first")
     )
@@ -168,29 +177,39 @@ def stable_hash(key: str | Column, seed: int | str) -> Column:
     return F.md5(F.concat(column.cast("string"), F.lit(str(seed))))
 
 
-def hash_cuts(df: DataFrame, key: str, seed: int | str, counts: Sequence[int]) -> list[str | None]:
+PREFIX_LENGTH = 4  # hexadecimal digits, so at most 65,536 prefixes
+
+
+def hash_counts(df: DataFrame, key: str, seed: int | str) -> dict[str, int]:
+    """Rows per hash prefix. The number of prefixes is fixed, whatever the number of rows."""
+    prefix = F.substring(stable_hash(key, seed), 1, PREFIX_LENGTH)
+    return dict(df.groupBy(prefix.alias("prefix")).agg(F.count(F.lit(1)).alias("n")).collect())
+
+
+def hash_cuts(df: DataFrame, key: str, seed: int | str, counts: Sequence[int], per_prefix: dict[str, int]) -> list[str | None]:
     """For each count, the hash below which exactly that many rows lie; None when it is past the end.
 
-    ``key`` must be unique. Rows are counted per hash prefix (65,536 prefixes), then only the prefixes
-    holding a cut are sorted, so the rows themselves are never shuffled.
+    ``key`` must be unique. Only the rows of the prefixes that hold a cut are sorted; the rows of the table
+    are never shuffled.
     """
-    hashed = df.select(stable_hash(key, seed).alias("h"))
-    per_prefix = hashed.groupBy(F.substring("h", 1, 4).alias("prefix")).agg(F.count(F.lit(1)).alias("n"))
-    window = Window.orderBy("prefix").rowsBetween(Window.unboundedPreceding, -1)
-    running = per_prefix.withColumn("before", F.coalesce(F.sum("n").over(window), F.lit(0)))
-    holds_a_cut = F.lit(False)
-    for count in counts:
-        holds_a_cut = holds_a_cut | ((F.col("before") <= count) & (F.lit(count) < F.col("before") + F.col("n")))
-    places = running.where(holds_a_cut).collect()  # at most one row per cut
-    cuts: list[str | None] = []
+    places: list[tuple[str, int] | None] = []
     for count in counts:
-        place = next((p for p in places if p["before"] <= count < p["before"] + p["n"]), None)
-        if place is None:
-            cuts.append(None)
-            continue
-        inside = hashed.where(F.col("h").startswith(place["prefix"])).orderBy("h")
-        cuts.append(inside.offset(count - place["before"]).limit(1).first()["h"])
-    return cuts
+        before, place = 0, None
+        for prefix in sorted(per_prefix):
+            if before <= count < before + per_prefix[prefix]:
+                place = (prefix, count - before + 1)
+                break
+            before += per_prefix[prefix]
+        places.append(place)
+    wanted = {place for place in places if place}
+    if not wanted:
+        return [None] * len(places)
+    hashed = df.select(stable_hash(key, seed).alias("h")).withColumn("prefix", F.substring("h", 1, PREFIX_LENGTH))
+    inside = hashed.where(F.col("prefix").isin(sorted({prefix for prefix, _ in wanted})))
+    numbered = inside.withColumn("no", F.row_number().over(Window.partitionBy("prefix").orderBy("h")))
+    hit = reduce(lambda a, b: a | b, [(F.col("prefix") == prefix) & (F.col("no") == no) for prefix, no in wanted])
+    found = {(row["prefix"], row["no"]): row["h"] for row in numbered.where(hit).collect()}
+    return [found[place] if place else None for place in places]
 
 
 def below_cut(key: str, seed: int | str, cut: str | None) -> Column:

@@ -7,6 +7,7 @@ from tabeval.operators import metrics, models
 from tabeval.operators.benchmark import ranks, ranks_and_wins
 from tabeval.operators.splits import to_dataset, valid_split
 from tabeval.plans.registry import Tables, query
+from tabeval.session import scratch_path
 
 WIDTH = 64
 
@@ -171,11 +172,8 @@ def model_registry(t: Tables):
     """Two named models on two large datasets, one model failing on purpose."""
     train, test = lines(t)
     datasets = {s: (train.where(F.col("l_linestatus") == s), test.where(F.col("l_linestatus") == s)) for s in ("F", "O")}
-    done, failed = models.sweep_large(datasets, {"logistic": {"max_iter": 20}, "perceptron": {"layers": (2, 2)}}, NUMERIC)
+    wanted = {"logistic": {"max_iter": 20}, "perceptron": {"layers": (2, 2)}}
+    done, failed = models.sweep_large(datasets, wanted, NUMERIC, scratch_path(t.spark, "sweep"))
     hit = (F.col("predicted") == F.col("y")).cast("int")
-    scores = [df.groupBy("dataset", "method").agg(F.round(F.avg(hit), 4).alias("accuracy")) for df in done]
     noted = t.spark.createDataFrame([(d, m, None) for d, m, _ in failed], "dataset string, method string, accuracy double")
-    table = noted
-    for frame in scores:
-        table = table.unionByName(frame)
-    return table
+    return noted.unionByName(done.groupBy("dataset", "method").agg(F.round(F.avg(hit), 4).alias("accuracy")))
