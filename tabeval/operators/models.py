@@ -7,6 +7,7 @@ import random
 import time
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
+from inspect import signature
 
 import numpy as np
 import pandas as pd
@@ -72,10 +73,13 @@ def linear_svm(n_rows: int = 1, C: float = 1.0, max_iter: int = 100, classes: in
     return machine if classes <= 2 else mlc.OneVsRest(classifier=machine, featuresCol=FEATURES, labelCol=LABEL)
 
 
-def ridge(n_rows: int = 1, alpha: float = 1.0, fit_intercept: bool = True) -> Estimator:
-    """Least squares with the squared norm of the weights, times alpha, added to the squared errors."""
+def ridge(n_rows: int = 1, label_std: float = 1.0, alpha: float = 1.0, fit_intercept: bool = True) -> Estimator:
+    """Least squares with the squared norm of the weights, times alpha, added to the squared errors.
+
+    MLlib averages the errors over the rows and divides the penalty by the label's deviation.
+    """
     return mlr.LinearRegression(
-        featuresCol=FEATURES, labelCol=LABEL, regParam=alpha / max(n_rows, 1), elasticNetParam=0.0,
+        featuresCol=FEATURES, labelCol=LABEL, regParam=alpha * label_std / max(n_rows, 1), elasticNetParam=0.0,
         fitIntercept=fit_intercept, standardization=False, solver="normal",
     )
 
@@ -133,9 +137,17 @@ def preparation(numeric: Sequence[str], categorical: Sequence[str], spec: ModelS
     return stages
 
 
-def pipeline(name: str, numeric: Sequence[str], categorical: Sequence[str] = (), **params) -> Pipeline:
+def train_facts(train: DataFrame, label: str = LABEL) -> dict[str, float]:
+    """What penalties are scaled by: the number of training rows and the deviation of the label."""
+    row = train.agg(F.count(F.lit(1)).alias("n_rows"), F.stddev_pop(label).alias("label_std")).first()
+    return {"n_rows": row["n_rows"], "label_std": row["label_std"] or 1.0}
+
+
+def pipeline(name: str, numeric: Sequence[str], categorical: Sequence[str] = (), facts: dict | None = None, **params) -> Pipeline:
+    """Preparation and model; ``facts`` are passed on as far as the model asks for them."""
     spec = MODELS[name]
-    return Pipeline(stages=[*preparation(numeric, categorical, spec), spec.build(**params)])
+    asked = {k: v for k, v in (facts or {}).items() if k in signature(spec.build).parameters}
+    return Pipeline(stages=[*preparation(numeric, categorical, spec), spec.build(**{**asked, **params})])
 
 
 def probabilities(scored: DataFrame) -> Column:
@@ -147,16 +159,15 @@ def probabilities(scored: DataFrame) -> Column:
 
 def fit_predict(train: DataFrame, test: DataFrame, name: str, numeric: Sequence[str], categorical: Sequence[str] = (), **params) -> DataFrame:
     """Test rows with ``probs`` and the predicted class."""
-    fitted = pipeline(name, numeric, categorical, **params).fit(train)
+    fitted = pipeline(name, numeric, categorical, train_facts(train), **params).fit(train)
     scored = fitted.transform(test)
     return scored.select(*test.columns, probabilities(scored).alias("probs"), F.col("prediction").cast("int").alias("predicted"))
 
 
 def ridge_classify(train: DataFrame, test: DataFrame, numeric: Sequence[str], label: str = LABEL, alpha: float = 1.0) -> DataFrame:
     """Binary ridge classifier: regression on -1 / 1, decided by the sign."""
-    n_rows = train.count()
-    signed = train.withColumn("_class", F.col(label)).withColumn(LABEL, F.col(label) * 2.0 - 1.0)
-    scored = pipeline("ridge", numeric, n_rows=n_rows, alpha=alpha).fit(signed).transform(test)
+    signed = train.withColumn(LABEL, F.col(label) * 2.0 - 1.0)
+    scored = pipeline("ridge", numeric, (), train_facts(signed), alpha=alpha).fit(signed).transform(test)
     decision = F.col("prediction")
     return scored.select(*test.columns, decision.alias("decision"), (decision > 0).cast("int").alias("predicted"))
 
@@ -182,11 +193,11 @@ def random_search(
     """
     rng = random.Random(seed)
     started = time.monotonic()
-    n_rows = train.count()
-    base = pipeline(name, numeric, categorical, n_rows=n_rows)
+    facts = train_facts(train)
+    base = pipeline(name, numeric, categorical, facts)
 
     def scores(batch: list[dict]) -> list[float | None]:
-        stages = [pipeline(name, numeric, categorical, n_rows=n_rows, **params).getStages() for params in batch]
+        stages = [pipeline(name, numeric, categorical, facts, **params).getStages() for params in batch]
         validator = CrossValidator(
             estimator=base, estimatorParamMaps=[{base.stages: s} for s in stages], evaluator=evaluator,
             numFolds=folds, seed=seed, parallelism=parallelism, foldCol=fold_column,
@@ -211,7 +222,7 @@ def random_search(
     sign = 1.0 if evaluator.isLargerBetter() else -1.0
     best_params, best = max(scored, key=lambda x: sign * x[1])  # the first of equals, so the default stays on a tie
     fit_started = time.monotonic()
-    model = pipeline(name, numeric, categorical, n_rows=n_rows, **best_params).fit(train)
+    model = pipeline(name, numeric, categorical, facts, **best_params).fit(train)
     default = found[0][1] if found[0][1] is not None else float("nan")
     return SearchResult(model, best_params, default, best, tried, time.monotonic() - fit_started)
 

@@ -40,7 +40,7 @@ def _scores(predictions, name):
 @query("l01_logistic_regression")
 def logistic_regression(t: Tables):
     train, test = vectors(t)
-    scored = models.fit_predict(train, test, "logistic", [f"x{i}" for i in range(WIDTH)], n_rows=train.count())
+    scored = models.fit_predict(train, test, "logistic", [f"x{i}" for i in range(WIDTH)])
     return scored.select("vec_id", "y", "predicted", F.round(F.array_max("probs"), 4).alias("probability"))
 
 
@@ -59,7 +59,7 @@ def gradient_boosting(t: Tables):
 @query("l04_linear_svm")
 def linear_svm(t: Tables):
     train, test = lines(t)
-    return _scores(models.fit_predict(train, test, "svm", NUMERIC, ["l_linestatus"], n_rows=train.count()), "svm")
+    return _scores(models.fit_predict(train, test, "svm", NUMERIC, ["l_linestatus"]), "svm")
 
 
 @query(
@@ -88,7 +88,7 @@ def ridge_regression(t: Tables):
     rows = t.lineitem.select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity", F.col("l_extendedprice").alias("y"))
     train, test = rows.where(F.col("l_linenumber") <= 5), rows.where(F.col("l_linenumber") > 5)
     stages = models.preparation(["l_quantity"], [], models.ModelSpec(models.ridge, scale=False))
-    fitted = models.Pipeline(stages=[*stages, models.ridge(n_rows=train.count(), alpha=1.0)]).fit(train)
+    fitted = models.Pipeline(stages=[*stages, models.ridge(**models.train_facts(train), alpha=1.0)]).fit(train)
     return fitted.transform(test).select("l_orderkey", "l_partkey", F.round("prediction", 3).alias("prediction"))
 
 

@@ -29,14 +29,13 @@ def shared_dir(spark: SparkSession) -> str:
 
     Only a local master may run without the setting; it then gets a folder of its own.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         folder = tempfile.mkdtemp(prefix="tabeval-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
+        context.setCheckpointDir(folder)
     return folder
 
 
