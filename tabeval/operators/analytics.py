@@ -76,9 +76,7 @@ def component_translation(pairs: DataFrame, sql: str, verdict: str, examples: Da
     table = outcome_by_component(pairs, sql, verdict, TRANSLATION)
     shown = classified(examples.select(example_sql), example_sql).groupBy("type").agg(F.count(F.lit(1)).alias("examples"))
     table = table.join(shown, "type", "full_outer").withColumn("examples", F.coalesce("examples", F.lit(0)))
-    total = total_row(pairs, verdict, TRANSLATION).join(
-        examples.agg(F.count(F.lit(1)).alias("examples")).withColumn("type", F.lit(TOTAL)), "type"
-    )
+    total = total_row(pairs, verdict, TRANSLATION).withColumn("examples", examples.agg(F.count(F.lit(1))).scalar())
     return with_percentages(total.unionByName(table), list(TRANSLATION)).orderBy(F.desc(F.col("type") == TOTAL), F.desc("sql_count"), "type")
 
 

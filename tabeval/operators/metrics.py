@@ -39,10 +39,28 @@ def _by_class(preds: DataFrame, group: Sequence[str]) -> DataFrame:
     )
 
 
+def _many_classes() -> Column:
+    """Whether a group has more than two classes, as an aggregate that needs no distinct count.
+
+    (y - min) * (max - y) adds up to zero exactly when every y is the smallest or the largest one.
+    """
+    y = F.col("y").cast("bigint")
+    low, high = F.min(y), F.max(y)
+    return (low + high) * F.sum(y) - F.sum(y * y) - F.count(y) * low * high > 0
+
+
+def _grouped(preds: DataFrame, group: Sequence[str], value: Column) -> DataFrame:
+    return preds.groupBy(*group).agg(value.alias("value"))
+
+
+def accuracy_value() -> Column:
+    binary, many = _is_hit()
+    return F.when(_many_classes(), F.avg(many.cast("int"))).otherwise(F.avg(F.coalesce(binary, F.lit(False)).cast("int")))
+
+
 def accuracy(preds: DataFrame, group: Sequence[str] = GROUP) -> DataFrame:
     """More than two classes: the most probable class; two classes: p1 above one half."""
-    hits = F.when(F.count(F.lit(1)) > 2, F.sum("hits_many")).otherwise(F.sum("hits_binary"))
-    return _by_class(preds, group).groupBy(*group).agg((hits / F.sum("n")).alias("value"))
+    return _grouped(preds, group, accuracy_value())
 
 
 def balanced_accuracy(preds: DataFrame, group: Sequence[str] = GROUP) -> DataFrame:
@@ -88,9 +106,7 @@ def auroc(preds: DataFrame, group: Sequence[str] = GROUP, n_classes: int = 2) ->
     return auroc_binary(preds, group) if n_classes <= 2 else auroc_ovo(preds, n_classes, group)
 
 
-def cross_entropy(preds: DataFrame, group: Sequence[str] = GROUP, mode: str = "reference") -> DataFrame:
-    """Binary: log loss with the logarithm clamped at -100. More classes: ``logloss`` is the proper loss,
-    ``reference`` takes the probabilities for logits and so applies softmax a second time."""
+def cross_entropy_value(mode: str = "reference") -> Column:
     ln = lambda p: F.greatest(F.when(p > 0, F.ln(p)).otherwise(F.lit(-100.0)), F.lit(-100.0))
     p1 = p_of(1)
     binary = -F.avg(F.when(F.col("y") == 1, ln(p1)).otherwise(ln(1 - p1)))
@@ -99,17 +115,22 @@ def cross_entropy(preds: DataFrame, group: Sequence[str] = GROUP, mode: str = "r
         many = F.avg(F.ln(total(F.transform("probs", F.exp))) - own)
     else:
         many = -F.avg(ln(own))
-    return (
-        preds.groupBy(*group)
-        .agg(F.count_distinct("y").alias("classes"), binary.alias("binary"), many.alias("many"))
-        .select(*group, F.when(F.col("classes") > 2, F.col("many")).otherwise(F.col("binary")).alias("value"))
-    )
+    return F.when(_many_classes(), many).otherwise(binary)
+
+
+def cross_entropy(preds: DataFrame, group: Sequence[str] = GROUP, mode: str = "reference") -> DataFrame:
+    """Binary: log loss with the logarithm clamped at -100. More classes: ``logloss`` is the proper loss,
+    ``reference`` takes the probabilities for logits and so applies softmax a second time."""
+    return _grouped(preds, group, cross_entropy_value(mode))
+
+
+def brier_value() -> Column:
+    return F.avg(total(F.transform("probs", lambda p, k: F.pow(p - F.when(k == F.col("y"), 1.0).otherwise(0.0), 2))))
 
 
 def brier(preds: DataFrame, group: Sequence[str] = GROUP) -> DataFrame:
     """Mean over rows of the squared distance to the one-hot truth."""
-    distance = total(F.transform("probs", lambda p, k: F.pow(p - F.when(k == F.col("y"), 1.0).otherwise(0.0), 2)))
-    return preds.groupBy(*group).agg(F.avg(distance).alias("value"))
+    return _grouped(preds, group, brier_value())
 
 
 def calibration_error(preds: DataFrame, group: Sequence[str] = GROUP, bins: int = 15) -> DataFrame:
@@ -147,28 +168,30 @@ def average_precision(preds: DataFrame, group: Sequence[str] = GROUP, mode: str
     return counts.select(*group, F.when(F.col("classes") <= 2, value).alias("value"))
 
 
-def _error(group: Sequence[str], aggregate: Callable[[Column], Column]):
-    return lambda preds: preds.groupBy(*group).agg(aggregate(F.col("target") - F.col("pred")).alias("value"))
+def _error() -> Column:
+    return F.col("target") - F.col("pred")
+
 
+def mse_value() -> Column:
+    return F.avg(_error() * _error())
 
-def mse(preds: DataFrame, group: Sequence[str] = GROUP) -> DataFrame:
-    return _error(group, lambda e: F.avg(e * e))(preds)
 
+def rmse_value() -> Column:
+    return F.sqrt(mse_value())
 
-def rmse(preds: DataFrame, group: Sequence[str] = GROUP) -> DataFrame:
-    return _error(group, lambda e: F.sqrt(F.avg(e * e)))(preds)
 
+def mae_value() -> Column:
+    return F.avg(F.abs(_error()))
 
-def mae(preds: DataFrame, group: Sequence[str] = GROUP) -> DataFrame:
-    return _error(group, lambda e: F.avg(F.abs(e)))(preds)
+
+def r2_value(mode: str = "reference") -> Column:
+    score = 1 - F.try_divide(mse_value(), F.var_pop("pred" if mode == "reference" else "target"))
+    return -score if mode == "reference" else score
 
 
 def r2(preds: DataFrame, group: Sequence[str] = GROUP, mode: str = "reference") -> DataFrame:
     """``proper`` is 1 - residual / total; ``reference`` swaps target and prediction and negates the result."""
-    spread = F.var_pop("pred" if mode == "reference" else "target")
-    residual = F.avg((F.col("target") - F.col("pred")) * (F.col("target") - F.col("pred")))
-    score = 1 - F.try_divide(residual, spread)
-    return preds.groupBy(*group).agg((-score if mode == "reference" else score).alias("value"))
+    return _grouped(preds, group, r2_value(mode))
 
 
 def pseudo_metrics(runs: DataFrame, group: Sequence[str], seconds: str) -> DataFrame:
@@ -183,23 +206,38 @@ def score_accuracy(df: DataFrame, score: str, target: str, group: Sequence[str],
     return df.groupBy(*group).agg(F.avg((above(F.col(score), logits) == F.col(target)).cast("int")).alias("value"))
 
 
-# name -> function(predictions, group) giving the group and its value; users may add their own
-METRICS: dict[str, Callable[[DataFrame, Sequence[str]], DataFrame]] = {
+# name -> aggregate expression over the predictions of a group; all of them come out of one pass
+COLUMN_METRICS: dict[str, Callable[[], Column]] = {
+    "acc": accuracy_value,
+    "cross_entropy": cross_entropy_value,
+    "brier": brier_value,
+    "rmse": rmse_value,
+    "mse": mse_value,
+    "mae": mae_value,
+    "r2": r2_value,
+}
+
+# name -> function(predictions, group) for metrics that need an order or two steps
+TABLE_METRICS: dict[str, Callable[[DataFrame, Sequence[str]], DataFrame]] = {
     "roc": auroc_binary,
-    "acc": accuracy,
     "balanced_acc": balanced_accuracy,
-    "cross_entropy": cross_entropy,
-    "brier": brier,
     "ece": calibration_error,
     "average_precision": average_precision,
-    "rmse": rmse,
-    "mse": mse,
-    "mae": mae,
-    "r2": r2,
 }
 
 
-def evaluate(preds: DataFrame, names: Sequence[str], group: Sequence[str] = GROUP) -> DataFrame:
-    """Long table (group, metric, value) of the named metrics."""
-    frames = [METRICS[name](preds, group).select(*group, F.lit(name).alias("metric"), "value") for name in names]
+def evaluate(
+    preds: DataFrame, names: Sequence[str], group: Sequence[str] = GROUP,
+    own: dict[str, Callable[[], Column]] | None = None,
+) -> DataFrame:
+    """Long table (group, metric, value) of the named metrics; ``own`` adds metrics of the caller."""
+    expressions = COLUMN_METRICS | (own or {})
+    simple = [name for name in names if name in expressions]
+    frames = []
+    if simple:
+        wide = preds.groupBy(*group).agg(*[expressions[name]().alias(name) for name in simple])
+        frames.append(wide.unpivot(list(group), simple, "metric", "value"))
+    for name in names:
+        if name not in expressions:
+            frames.append(TABLE_METRICS[name](preds, group).select(*group, F.lit(name).alias("metric"), "value"))
     return reduce(DataFrame.unionByName, frames)

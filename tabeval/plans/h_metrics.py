@@ -230,9 +230,10 @@ def threshold(t: Tables):
     "m03_metric_registry",
     f"""SELECT {KEYS}, 'acc' AS metric, round(avg(CASE WHEN (p > 0.5) = (y = 1) THEN 1 ELSE 0 END), 6) AS value FROM {BINARY_SQL} GROUP BY ALL
         UNION ALL SELECT {KEYS}, 'brier', round(avg(2 * (p - y) ** 2), 6) FROM {BINARY_SQL} GROUP BY ALL
+        UNION ALL SELECT {KEYS}, 'balanced_acc', round(avg(recall), 6) FROM (
+          SELECT {KEYS}, y, avg(CASE WHEN (p > 0.5) = (y = 1) THEN 1 ELSE 0 END) AS recall FROM {BINARY_SQL} GROUP BY ALL) GROUP BY ALL
         UNION ALL SELECT {KEYS}, 'mean_score', round(avg(p), 6) FROM {BINARY_SQL} GROUP BY ALL""",
 )
 def metric_registry(t: Tables):
-    mean_score = lambda preds, group: preds.groupBy(*group).agg(F.avg(metrics.p_of(1)).alias("value"))
-    metrics.METRICS["mean_score"] = mean_score
-    return rounded(metrics.evaluate(binary(t), ["acc", "brier", "mean_score"]))
+    own = {"mean_score": lambda: F.avg(metrics.p_of(1))}
+    return rounded(metrics.evaluate(binary(t), ["acc", "brier", "balanced_acc", "mean_score"], own=own))
