@@ -27,6 +27,18 @@ def align(expected: DataFrame, actual: DataFrame) -> tuple[DataFrame, DataFrame]
     return expected.toDF(*names), actual.toDF(*names)
 
 
+def _kind(spark_type: str) -> str:
+    """Types that can hold equal values: numbers and truth values, texts, times."""
+    if spark_type in NUMERIC or spark_type == "boolean" or spark_type.startswith("decimal"):
+        return "number"
+    return "time" if spark_type in ("date", "timestamp", "timestamp_ntz") else spark_type
+
+
+def same_kinds(expected: DataFrame, actual: DataFrame) -> bool:
+    """Whether every pair of columns can hold equal values; a number never equals its text."""
+    return all("void" in (a, b) or _kind(a) == _kind(b) for (_, a), (_, b) in zip(expected.dtypes, actual.dtypes))
+
+
 def align_by_name(df: DataFrame) -> DataFrame:
     """Columns in the order of their names, for results that are keyed by column name."""
     return df.select(*[F.col(f"`{c}`") for c in sorted(df.columns)])
@@ -127,6 +139,8 @@ def compare(expected: DataFrame, actual: DataFrame | None, place: str | None = N
     if aligned is None:
         return COMPARISON, None
     left, right = aligned
+    if not same_kinds(left, right):
+        return COMPARISON, None
     if place is not None and left.columns and len(plain[0].columns) == len(left.columns):
         names = left.columns
         numbered = [df.select(F.col(place), *[F.col(f"`{c}`") for c in df.columns if c != place]).toDF(place, *names) for df in (expected, actual)]

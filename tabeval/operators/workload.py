@@ -6,7 +6,7 @@ import logging
 import threading
 import time
 import uuid
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from itertools import groupby, islice
 
@@ -74,6 +74,22 @@ def own_session(spark: SparkSession) -> SparkSession:
     return session
 
 
+def ordered_queries(workload: DataFrame) -> Iterator[tuple[str, int, str]]:
+    """The queries (ref, query_idx, sql) of a table, one dataset behind the other, a small range at a time."""
+    columns = ["ref", "query_idx", "sql"]
+    spread = workload.select(*columns).repartitionByRange("ref", "query_idx").sortWithinPartitions("ref", "query_idx")
+    return (tuple(row) for row in spread.toLocalIterator(prefetchPartitions=True))
+
+
+QUERIES_PER_BATCH = 1_000  # a dataset with more queries is labelled in several batches
+
+
+def _batches(queries: Iterable[tuple[str, int, str]]) -> Iterator[tuple[str, list]]:
+    for ref, rows in groupby(queries, key=lambda q: q[0]):
+        while batch := list(islice(rows, QUERIES_PER_BATCH)):
+            yield ref, batch
+
+
 def label_workload(
     spark: SparkSession,
     queries: Iterable[tuple[str, int, str]],
@@ -81,13 +97,14 @@ def label_workload(
     path: str,
     timeout_s: float = LABEL_TIMEOUT_S,
     parallel: int = 8,
-    flush_every: int = 1_000,
+    flush_every: int = 200,
 ) -> DataFrame:
     """Label queries (ref, query_idx, sql), given in order of ref, and keep the labels as a table at ``path``.
 
     Each query is its own Spark job, started from the driver; datasets run side by side in sessions of
     their own, into which ``register(session, ref)`` puts the views. Labels are written after every
-    ``flush_every`` datasets, so a restart loses little and may skip what is there already.
+    ``flush_every`` datasets, so a restart loses little and may skip what is there already
+    (``ordered_queries(pending(workload, labels, keys))``).
     """
 
     def label(dataset: tuple[str, list]) -> list[tuple]:
@@ -102,7 +119,7 @@ def label_workload(
             labels = [(None, None, "timeout")] * len(rows)
         return [(ref, idx, sql, *found) for (_, idx, sql), found in zip(rows, labels)]
 
-    datasets = ((ref, list(rows)) for ref, rows in groupby(queries, key=lambda q: q[0]))
+    datasets = _batches(queries)
     with ThreadPoolExecutor(parallel) as pool:
         while chunk := list(islice(datasets, flush_every)):
             labelled = [row for rows in pool.map(label, chunk) for row in rows]

@@ -28,23 +28,23 @@ def times(t: Tables):
     return scores(t).groupBy("dataset", "method").agg(F.max("value").alias("value"))
 
 
-def _rollup_sql(agg: str) -> str:
+def _rollup_sql(agg: str, digits: int) -> str:
     return f"""WITH c AS (SELECT method, position, dataset, {agg}(value) AS value FROM {SCORES_SQL} GROUP BY ALL),
             p AS (SELECT method, position, {agg}(value) AS value FROM c GROUP BY ALL)
-       SELECT 'dataset_position' AS level, method, position, dataset, round(value, 9) AS value FROM c
-       UNION ALL SELECT 'position', method, position, NULL, round(value, 9) FROM p
-       UNION ALL SELECT 'dataset', method, NULL, dataset, round({agg}(value), 9) FROM c GROUP BY method, dataset
-       UNION ALL SELECT 'overall', method, NULL, NULL, round({agg}(value), 9) FROM p GROUP BY method"""
+       SELECT 'dataset_position' AS level, method, position, dataset, round(value, {digits}) AS value FROM c
+       UNION ALL SELECT 'position', method, position, NULL, round(value, {digits}) FROM p
+       UNION ALL SELECT 'dataset', method, NULL, dataset, round({agg}(value), {digits}) FROM c GROUP BY method, dataset
+       UNION ALL SELECT 'overall', method, NULL, NULL, round({agg}(value), {digits}) FROM p GROUP BY method"""
 
 
-@query("i01_score_rollup_mean", _rollup_sql("avg"))
+@query("i01_score_rollup_mean", _rollup_sql("avg", 9))
 def score_rollup_mean(t: Tables):
     return rounded(benchmark.score_rollup(scores(t)), 9)
 
 
-@query("i01_score_rollup_sum", _rollup_sql("sum"))
+@query("i01_score_rollup_sum", _rollup_sql("sum", 4))
 def score_rollup_sum(t: Tables):
-    return rounded(benchmark.score_rollup(scores(t), "sum"), 9)
+    return rounded(benchmark.score_rollup(scores(t), "sum"), 4)
 
 
 @query(

@@ -88,3 +88,10 @@ def test_sixnf_round_trip(spark, base):
     # the explicit product of columns and rows has the same cells
     cells = sixnf.columns_by_rows(keyed, "row", ["id", "name", "x"])
     assert cells.exceptAll(triples.select("col", "row_id")).count() == 0
+
+
+def test_a_number_is_not_its_text(spark):
+    numbers, texts = other(spark, [(1,), (2,)], "x int"), other(spark, [("1",), ("2",)], "x string")
+    assert verdict(numbers, texts) == "comparison"
+    assert verdict(numbers, other(spark, [(2.0,), (1.0,)], "x double")) == "correct"
+    assert verdict(other(spark, [(True,)], "x boolean"), other(spark, [("yes",)], "x string")) == "comparison"

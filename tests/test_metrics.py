@@ -132,3 +132,17 @@ def test_sampled_split_sizes_are_exact(spark):
     rows = spark.createDataFrame([(random.choice([0, *range(50)]), i) for i in range(900)], "g int, i int")
     by_group = split_groups(rows, "g").groupBy("g").agg(F.count_distinct("split").alias("n"))
     assert by_group.where("n > 1").count() == 0
+
+
+def test_two_classes_need_not_be_neighbours(spark):
+    rows = [("gap", 0), ("gap", 2), ("gap", 2), ("three", 0), ("three", 1), ("three", 2), ("one", 5)]
+    df = spark.createDataFrame(rows, "g string, y int")
+    got = {r["g"]: r["many"] for r in df.groupBy("g").agg(metrics._many_classes().alias("many")).collect()}
+    assert got == {"gap": False, "three": True, "one": False}
+
+
+def test_simple_metrics_share_one_pass(binary):
+    both = metrics.evaluate(binary, ["acc", "cross_entropy", "brier"])
+    plan = both._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert both.count() == 9

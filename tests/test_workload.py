@@ -66,3 +66,19 @@ def test_yield_counts_datasets_without_flags(session):
     flags = session.createDataFrame([("a", "Valid"), ("a", "Empty"), ("b", None)], "ref string, status string")
     row = workload.yield_rate(flags, ["ref"], "status").first()
     assert row["yield"] == pytest.approx(1 / 30)
+
+
+def test_a_workload_table_is_read_in_order_and_resumed(session, tmp_path, monkeypatch):
+    from tabeval.operators.prompts import pending
+
+    monkeypatch.setattr(workload, "QUERIES_PER_BATCH", 3)
+    rows = [(f"d{i % 4}" if i < 20 else "hot", i, f"SELECT {i}") for i in range(40)]
+    table = session.createDataFrame(rows, "ref string, query_idx int, sql string").repartition(5)
+    listed = list(workload.ordered_queries(table))
+    assert listed == sorted(rows)
+    path = str(tmp_path / "labels")
+    first = workload.label_workload(session, listed[:17], lambda own, ref: None, path)
+    assert first.count() == 17
+    rest = workload.ordered_queries(pending(table, first, ["ref", "query_idx"]))
+    labels = workload.label_workload(session, rest, lambda own, ref: None, path)
+    assert labels.count() == 40 == labels.select("ref", "query_idx").distinct().count()
