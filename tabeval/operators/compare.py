@@ -24,7 +24,13 @@ def align(expected: DataFrame, actual: DataFrame) -> tuple[DataFrame, DataFrame]
     if len(expected.columns) != len(actual.columns):
         return None
     names = [f"c{i}" for i in range(len(expected.columns))]
-    return expected.toDF(*names), actual.toDF(*names)
+
+    def typed(df: DataFrame, other: DataFrame) -> DataFrame:
+        """A column without a type, which holds only nulls, takes the type of its partner."""
+        kinds = [b if a == "void" else a for (_, a), (_, b) in zip(df.dtypes, other.dtypes)]
+        return df.toDF(*names).select(*[F.col(c).cast("string" if k == "void" else k).alias(c) for c, k in zip(names, kinds)])
+
+    return typed(expected, actual), typed(actual, expected)
 
 
 def _kind(spark_type: str) -> str:
@@ -36,7 +42,7 @@ def _kind(spark_type: str) -> str:
 
 def same_kinds(expected: DataFrame, actual: DataFrame) -> bool:
     """Whether every pair of columns can hold equal values; a number never equals its text."""
-    return all("void" in (a, b) or _kind(a) == _kind(b) for (_, a), (_, b) in zip(expected.dtypes, actual.dtypes))
+    return all(_kind(a) == _kind(b) for (_, a), (_, b) in zip(expected.dtypes, actual.dtypes))
 
 
 def align_by_name(df: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tabeval.operators import metrics, models
 from tabeval.operators.benchmark import ranks, ranks_and_wins
-from tabeval.operators.splits import to_dataset, valid_split
+from tabeval.operators.splits import kfold, to_dataset, valid_split
 from tabeval.plans.registry import Tables, query
 from tabeval.session import scratch_path
 
@@ -15,7 +15,16 @@ WIDTH = 64
 def vectors(t: Tables):
     """Embeddings with one column per component."""
     wide = t.embeddings.select("vec_id", F.col("label").alias("y"), *[F.col("embedding")[i].cast("double").alias(f"x{i}") for i in range(WIDTH)])
-    return wide.where(F.col("vec_id") % 5 != 0), wide.where(F.col("vec_id") % 5 == 0)
+    return one_fold_out(wide)
+
+
+def one_fold_out(rows):
+    """Four of five folds to train on, the fifth to test on."""
+    folded = kfold(rows, "vec_id")
+    return folded.where("fold <> 0").drop("fold"), folded.where("fold = 0").drop("fold")
+
+
+FOLD_SQL = "(SELECT *, ('0x' || substr(md5(vec_id::VARCHAR || '42'), 1, 8))::BIGINT % 5 AS fold FROM embeddings)"
 
 
 def lines(t: Tables):
@@ -64,15 +73,15 @@ def linear_svm(t: Tables):
 
 @query(
     "l05_nearest_neighbours",
-    """SELECT vec_id, predicted, round(votes / 5, 6) AS share FROM (
+    f"""SELECT vec_id, predicted, round(votes / 5, 6) AS share FROM (
          SELECT vec_id, label AS predicted, count(*) AS votes,
            row_number() OVER (PARTITION BY vec_id ORDER BY count(*) DESC, label) AS place FROM (
            SELECT q.vec_id, p.label, row_number() OVER (PARTITION BY q.vec_id ORDER BY
                     list_sum(list_transform(list_zip(q.embedding, p.embedding), lambda z: (z[1]::DOUBLE - z[2]::DOUBLE) ** 2)), p.vec_id) AS rn
-           FROM embeddings q JOIN embeddings p ON q.vec_id % 5 = 0 AND p.vec_id % 5 <> 0) WHERE rn <= 5 GROUP BY 1, 2) WHERE place = 1""",
+           FROM {FOLD_SQL} q JOIN {FOLD_SQL} p ON q.fold = 0 AND p.fold <> 0) WHERE rn <= 5 GROUP BY 1, 2) WHERE place = 1""",
 )
 def nearest_neighbours(t: Tables):
-    train, test = t.embeddings.where(F.col("vec_id") % 5 != 0), t.embeddings.where(F.col("vec_id") % 5 == 0)
+    train, test = one_fold_out(t.embeddings)
     found = models.knn_classify(train, test, "vec_id", "embedding", "label", k=5)
     return found.withColumn("share", F.round("share", 6))
 

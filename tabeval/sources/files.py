@@ -6,7 +6,6 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from tabeval.functions.fixed import MAX_TABLE_ROWS
 from tabeval.functions.names import clean_table_text, sanitize_columns
@@ -48,7 +47,7 @@ def register_dataset(
         try:
             read(spark, path).createOrReplaceTempView(name)
             outcome.append((name, None))
-        except (AnalysisException, ValueError) as error:
+        except Exception as error:  # whatever is wrong with a foreign file is its outcome
             outcome.append((name, type(error).__name__))
     return outcome
 

@@ -95,3 +95,11 @@ def test_a_number_is_not_its_text(spark):
     assert verdict(numbers, texts) == "comparison"
     assert verdict(numbers, other(spark, [(2.0,), (1.0,)], "x double")) == "correct"
     assert verdict(other(spark, [(True,)], "x boolean"), other(spark, [("yes",)], "x string")) == "comparison"
+
+
+def test_columns_without_a_type_hold_nulls(spark, base, monkeypatch):
+    untyped = base.withColumn("x", F.lit(None))
+    assert verdict(untyped, base.withColumn("x", F.lit(None).cast("double"))) == "correct"
+    assert verdict(untyped, untyped) == "correct"
+    monkeypatch.setattr(ranks, "PLAIN_GROUP_ROWS", 2)
+    assert verdict(untyped, base) == "comparison"
