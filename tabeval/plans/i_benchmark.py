@@ -297,6 +297,20 @@ def sequential_variance(t: Tables):
     return benchmark.sequential_variance(rows, ["l_quantity", "returned", "l_linenumber", "l_extendedprice"], "win")
 
 
+@query(
+    "i17_sequential_variance_two_factors",
+    """WITH f AS (SELECT count(*) AS n, var_pop(l_extendedprice) * count(*) AS total, corr(l_extendedprice, l_quantity) AS a,
+                   corr(l_extendedprice, l_tax) AS b, corr(l_quantity, l_tax) AS c FROM lineitem),
+            s AS (SELECT n, total, total * a * a AS s1, total * (a * a + b * b - 2 * a * b * c) / (1 - c * c) AS s12 FROM f)
+       SELECT 'l_quantity' AS factor, 1 AS df, round(s1 / 1e9, 6) AS sum_sq, round(s1 / ((total - s12) / (n - 3)), 6) AS f_value FROM s
+       UNION ALL SELECT 'l_tax', 1, round((s12 - s1) / 1e9, 6), round((s12 - s1) / ((total - s12) / (n - 3)), 6) FROM s
+       UNION ALL SELECT 'Residuals', CAST(n - 3 AS INTEGER), round((total - s12) / 1e9, 6), NULL FROM s""",
+)
+def sequential_variance_two_factors(t: Tables):
+    table = benchmark.sequential_variance(t.lineitem, ["l_quantity", "l_tax"], "l_extendedprice")
+    return table.select("factor", "df", F.round(F.col("sum_sq") / 1e9, 6).alias("sum_sq"), F.round("f_value", 6).alias("f_value"))
+
+
 @query(
     "i18_five_number_summary",
     "SELECT l_returnflag, "

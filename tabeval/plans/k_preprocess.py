@@ -124,6 +124,32 @@ def quantile_normal(t: Tables):
     return preprocess.quantile_normal(rows, "l_extendedprice", F.col("l_linenumber") <= 4)
 
 
+@query(
+    "k10_power_transform_moments",
+    """SELECT 'l_extendedprice' AS col, count(*) AS n, true AS is_centred, true AS is_scaled FROM lineitem WHERE l_linenumber <= 4
+       UNION ALL SELECT 'l_quantity', count(*), true, true FROM lineitem WHERE l_linenumber <= 4""",
+)
+def power_transform_moments(t: Tables):
+    """The training rows of a transformed column have mean 0 and variance 1."""
+    long = power_transform(t).where(F.col("l_linenumber") <= 4).unpivot([], ["l_extendedprice", "l_quantity"], "col", "x")
+    return long.groupBy("col").agg(
+        F.count("x").alias("n"), (F.abs(F.avg("x")) < 1e-6).alias("is_centred"), (F.abs(F.var_pop("x") - 1) < 1e-6).alias("is_scaled")
+    )
+
+
+@query(
+    "k11_quantile_normal_shares",
+    """SELECT count(*) AS n, 0.16::DOUBLE AS below_minus_one, 0.5::DOUBLE AS below_zero, 0.84::DOUBLE AS below_one FROM lineitem WHERE l_linenumber <= 4""",
+)
+def quantile_normal_shares(t: Tables):
+    """The training rows lie around 0 as a standard normal does."""
+    rows = quantile_normal(t).where(F.col("l_linenumber") <= 4)
+    share = lambda limit, name: F.round(F.avg((F.col("l_extendedprice") <= limit).cast("int")), 2).alias(name)
+    return rows.agg(
+        F.count(F.lit(1)).alias("n"), share(-1.0, "below_minus_one"), share(0.0, "below_zero"), share(1.0, "below_one")
+    )
+
+
 @query(
     "k12_robust_scale",
     """SELECT l_orderkey, l_partkey, round((l_extendedprice - q2) / ((q3 - q1) / 1.3489795003921634), 6) AS l_extendedprice FROM lineitem,
