@@ -51,6 +51,24 @@ def arrow_map(df: DataFrame, step: Callable[[pa.RecordBatch], Iterable[dict[str,
     return df.mapInArrow(run, fields)
 
 
+def carried(docs: DataFrame, key: str, text: str, columns: list[str], more: dict, step: Callable, schema: str) -> tuple:
+    """Arguments of arrow_map for a step over (doc_id, text, ...) that hands on all columns of ``docs`` as struct ``row``.
+
+    Key and text are read out of the struct, so the text crosses to Python once.
+    """
+    frame = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *[c.alias(n) for n, c in more.items()])
+    extra = list(more)
+
+    def whole(batch: pa.RecordBatch) -> Iterator[dict]:
+        row = batch.column("row")
+        named = {"doc_id": row.field(key), "text": row.field(text)} | {n: batch.column(n) for n in extra}
+        view = pa.RecordBatch.from_arrays([named[c] for c in columns], names=columns)
+        for out in step(view):
+            yield out | {"row": row}
+
+    return frame, whole, f"{schema}, row {frame.schema['row'].dataType.simpleString()}"
+
+
 def as_batch(columns: dict, arrow: pa.Schema) -> pa.RecordBatch:
     arrays = [c if isinstance(c, pa.Array) and c.type == f.type else c.cast(f.type) if isinstance(c, pa.Array) else pa.array(c, f.type) for f, c in ((f, columns[f.name]) for f in arrow)]
     return pa.RecordBatch.from_arrays(arrays, schema=arrow)

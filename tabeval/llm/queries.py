@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabeval.llm import neardup, substring
+from tabeval.llm import decontam, langid, neardup, pieces, pii, substring
+from tabeval.llm.stages import PII_KEY, PIECES_MODEL
 
 QUERIES = {}
 ORACLES = {}
@@ -25,6 +26,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+@query("op1_language_id")
+def op1(spark, folder):
+    return langid.identify_languages(table(spark, folder, "documents"))
+
+
 OP2_SQL = """
 WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents
@@ -50,6 +56,12 @@ def op2(spark, folder):
     return neardup.near_duplicates(table(spark, folder, "documents"), words=4)
 
 
+@query("op3_sentencepiece")
+def op3(spark, folder):
+    done = pieces.encode(table(spark, folder, "documents"), PIECES_MODEL)
+    return done.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), "ids", "round_trip")
+
+
 OP5_SQL = """
 WITH w AS (
   SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents
@@ -71,3 +83,43 @@ FROM w LEFT JOIN left_ USING (doc_id)
 def op5(spark, folder):
     done = substring.remove_repeats(table(spark, folder, "documents"), size=20)
     return done.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op6_pii_surrogates")
+def op6(spark, folder):
+    return pii.pseudonymise(table(spark, folder, "documents"), PII_KEY).select("doc_id", "text", "n_entities")
+
+
+OP9_SQL = """
+WITH item AS (
+  SELECT item_id, ws, len(ws) AS n, least(5, len(ws)) AS k, len(ws) - least(5, len(ws)) + 1 AS span FROM (
+    SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS ws FROM benchmark) WHERE len(ws) > 0
+), ishingle AS (
+  SELECT item_id, k, s, count(*) AS c FROM (SELECT item_id, k, array_to_string(ws[i:i + k - 1], ' ') AS s FROM (SELECT *, unnest(range(1, span + 1)) AS i FROM item)) GROUP BY ALL
+), doc AS (
+  SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS ws FROM documents
+), dshingle AS (
+  SELECT doc_id, k, p, array_to_string(ws[p:p + k - 1], ' ') AS s FROM (
+    SELECT doc_id, ws, k, unnest(range(1, len(ws) - k + 2)) AS p FROM doc, (SELECT DISTINCT k FROM item))
+), win AS (
+  SELECT DISTINCT doc_id, item_id, p - j AS a FROM (
+    SELECT d.doc_id, i.item_id, d.p, unnest(range(0, span)) AS j FROM dshingle d JOIN ishingle s USING (k, s) JOIN item i USING (item_id))
+), fits AS (
+  SELECT win.* FROM win JOIN doc USING (doc_id) JOIN item USING (item_id) WHERE a >= 1 AND a + n - 1 <= len(doc.ws)
+), bag AS (
+  SELECT fits.doc_id, fits.item_id, a, i.span, d.s, i.k, count(*) AS c FROM fits JOIN item i USING (item_id)
+  JOIN dshingle d ON d.doc_id = fits.doc_id AND d.k = i.k AND d.p BETWEEN a AND a + span - 1 GROUP BY ALL
+), score AS (
+  SELECT doc_id, item_id, a, both_ / (2 * span - both_) AS best FROM (
+    SELECT b.doc_id, b.item_id, a, span, sum(least(b.c, s.c)) AS both_ FROM bag b JOIN ishingle s USING (item_id, k, s) GROUP BY ALL)
+), hit AS (
+  SELECT doc_id, list_sort(list(DISTINCT item_id)) AS items, max(best) AS best FROM score WHERE best >= 0.8 GROUP BY doc_id
+)
+SELECT documents.doc_id, hit.doc_id IS NOT NULL AS contaminated, coalesce(items, []) AS items, coalesce(best, 0.0)::DOUBLE AS best
+FROM documents LEFT JOIN hit USING (doc_id)
+"""
+
+
+@query("op9_decontamination", OP9_SQL)
+def op9(spark, folder):
+    return decontam.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
