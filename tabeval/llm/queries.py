@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabeval.llm import decontam, langid, neardup, pieces, pii, substring
+from tabeval.llm import ann, decontam, langid, neardup, pieces, pii, substring, urlfilter
 from tabeval.llm.stages import PII_KEY, PIECES_MODEL
 
 QUERIES = {}
@@ -90,6 +90,38 @@ def op6(spark, folder):
     return pii.pseudonymise(table(spark, folder, "documents"), PII_KEY).select("doc_id", "text", "n_entities")
 
 
+URL_RULES = [  # fixed values: host, path, verdict
+    ("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block"),
+]
+
+OP7_SQL = """
+WITH place AS (
+  SELECT page_id, translate(coalesce(regexp_extract(r, '^[^/?#]*'), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    coalesce(regexp_extract(r, '^[^/?#]*([^?#]*)', 1), '') AS path
+  FROM (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) END AS r FROM pages)
+), rules(rh, rp, verdict) AS (
+  VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'), ('net', '/es/', 'block'), ('net', '/fr/', 'block')
+), spot AS (SELECT DISTINCT host, path FROM place
+), best AS (
+  SELECT host, path, arg_max(rh || rp, len(rh || rp)) AS rule, arg_max(verdict, len(rh || rp)) AS verdict
+  FROM spot JOIN rules ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp) GROUP BY host, path
+)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM place LEFT JOIN best USING (host, path)
+"""
+
+
+@query("op7_url_filter", OP7_SQL)
+def op7(spark, folder):
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return urlfilter.judge(table(spark, folder, "pages"), rules)
+
+
+@query("op8_nearest_neighbours")
+def op8(spark, folder):
+    rows = table(spark, folder, "embeddings")
+    return ann.nearest(rows, rows.where("vec_id % 100 = 0"), k=10)
+
+
 OP9_SQL = """
 WITH item AS (
   SELECT item_id, ws, len(ws) AS n, least(5, len(ws)) AS k, len(ws) - least(5, len(ws)) + 1 AS span FROM (
