@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabeval.llm import ann, decontam, langid, neardup, pieces, pii, substring, urlfilter
+from tabeval.llm import ann, decontam, htmlwrap, langid, neardup, pieces, pii, substring, urlfilter, warc
 from tabeval.llm.stages import PII_KEY, PIECES_MODEL
 
 QUERIES = {}
@@ -62,6 +62,20 @@ def op3(spark, folder):
     return done.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), "ids", "round_trip")
 
 
+OP4_SQL = """
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+), f AS (SELECT payload_digest, min(page_id) AS first FROM p WHERE payload_bytes >= 100 GROUP BY payload_digest)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN first <> page_id THEN first END AS refers_to
+FROM p LEFT JOIN f USING (payload_digest)
+"""
+
+
+@query("op4_warc", OP4_SQL)
+def op4(spark, folder):
+    return warc.archived(table(spark, folder, "pages")).drop("payload")
+
+
 OP5_SQL = """
 WITH w AS (
   SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents
@@ -155,3 +169,8 @@ FROM documents LEFT JOIN hit USING (doc_id)
 @query("op9_decontamination", OP9_SQL)
 def op9(spark, folder):
     return decontam.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op10_html_extraction")
+def op10(spark, folder):
+    return htmlwrap.extract_text(table(spark, folder, "pages"))
