@@ -147,6 +147,8 @@ def links_across(groups: DataFrame, docs: DataFrame, words: int, percent: int) -
                 if place == 0:
                     sets.append((node, label, found))
                     continue
+                if not sets:  # no member was dealt to this block
+                    continue
                 index = index or BlockIndex(sets)
                 for other in index.similar(found, label, percent):
                     hubs.append(min(node, other))
