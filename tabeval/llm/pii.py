@@ -104,6 +104,12 @@ def chosen(options: list[str], noise: Column, place: int) -> Column:
     return F.element_at(F.array(*[F.lit(o) for o in options]), (number_at(noise, F.lit(place).cast("bigint"), len(options)) + 1).cast("int"))
 
 
+def syllables(noise: Column, n: Column) -> Column:
+    """A drawn name of n syllables; every further draw asks for one more, so there are always enough names."""
+    options = F.array(*[F.lit(s) for s in SYLLABLES])
+    return F.array_join(F.transform(F.sequence(F.lit(1).cast("bigint"), n.cast("bigint")), lambda p: F.element_at(options, (number_at(noise, p, len(SYLLABLES)) + 1).cast("int"))), "")
+
+
 def surrogate(kind: Column, unit: Column, attempt: Column, key: str) -> Column:
     """The surrogate of a unit in its canonical spelling."""
     noise = F.sha2(F.concat_ws("\u0001", F.lit(key), kind, unit, attempt.cast("string")), 256)
@@ -116,11 +122,11 @@ def surrogate(kind: Column, unit: Column, attempt: Column, key: str) -> Column:
     fresh = F.array_join(F.transform(parts, lambda p: redrawn(p["t"], p["n"], keep)), "@")  # computed once, whatever the type
     octets = F.array_join(F.transform(F.split(unit, r"\."), lambda o, i: F.when((i == 0) | (i == 3), number_at(noise, i.cast("bigint"), 254) + 1).otherwise(number_at(noise, i.cast("bigint"), 256)).cast("string")), ".")
     hexadecimal = F.substring(F.repeat(noise, 64), 1, 4096).substr(F.lit(1), F.length(unit))
-    plain = F.concat(*[chosen(SYLLABLES, noise, p) for p in range(3)], F.when(attempt > 0, chosen(SYLLABLES, noise, 9)).otherwise(""))
+    plain = syllables(noise, attempt + 3)
     latin = unit.rlike(r"^[\p{IsLatin}'’\-]+$")
     cased = F.when(unit.rlike(r"^\p{Lu}{2,}$"), F.upper(plain)).otherwise(F.initcap(plain))
     # a list is small: later draws join a drawn ending to a listed name
-    ending = F.when(attempt > 0, F.concat(F.lit("-"), F.initcap(F.concat(*[chosen(SYLLABLES, noise, p) for p in (4, 5, 6)])))).otherwise("")
+    ending = F.when(attempt > 0, F.concat(F.lit("-"), F.initcap(syllables(noise, attempt + 1)))).otherwise("")
     female, male = F.concat(chosen(GIVEN_F, noise, 0), ending), F.concat(chosen(GIVEN_M, noise, 0), ending)
     out = F.when(is_email, F.concat(fresh, F.regexp_extract(domain, r"\.[^.]*$", 0))).when(kind == "ip", octets)
     out = out.when((kind == "secret") & unit.rlike("^[0-9a-f]+$"), hexadecimal)
