@@ -248,7 +248,10 @@ def one_way_variance(df: DataFrame, factor: str, y: str) -> DataFrame:
         F.count(y).alias("n"), F.avg(y).alias("mean"), (F.var_pop(y) * F.count(y)).alias("inside")
     )
     n, k = F.sum("n"), F.count(F.lit(1))
-    between = F.sum(F.col("n") * F.col("mean") * F.col("mean")) - F.pow(F.sum(F.col("n") * F.col("mean")), F.lit(2)) / n
+    # around the overall mean: a difference of two large sums would lose the digits that matter
+    centre = levels.agg(F.sum(F.col("n") * F.col("mean")) / n).scalar()
+    levels = levels.withColumn("gap", F.col("mean") - centre)
+    between = F.sum(F.col("n") * F.col("gap") * F.col("gap"))
     facts = levels.agg((k - 1).alias("df_between"), (n - k).alias("df_within"), between.alias("ss_between"), F.sum("inside").alias("ss_within"))
     f = F.try_divide(F.col("ss_between") / F.col("df_between"), F.col("ss_within") / F.col("df_within"))
     return facts.withColumn("f_value", f)

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabeval.functions.fixed import MAX_CATALOG_ROWS, MAX_CLASSES, MAX_FEATURES, MIN_SAMPLES, SPARK_TO_SQL_TYPES
+from tabeval.functions.fixed import MAX_CLASSES, MAX_FEATURES, MIN_SAMPLES, SPARK_TO_SQL_TYPES
 from tabeval.operators.ranks import cumulative_by_value, first_per_group
 
 INDEX_COLUMNS = ("Unnamed: 0", "_c0", "")
@@ -18,11 +18,12 @@ def drop_index_column(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c not in INDEX_COLUMNS])
 
 
-def union_catalogs(catalogs: Sequence[DataFrame], order: str, limit: int = MAX_CATALOG_ROWS) -> DataFrame:
-    """Catalogs one behind the other, each in ``order``, cut at ``limit`` rows."""
+def union_catalogs(catalogs: Sequence[DataFrame], order: str, limit: int | None = None) -> DataFrame:
+    """Catalogs one behind the other, each in ``order``; ``limit`` keeps the first rows only."""
     numbered = [drop_index_column(c).withColumn("_source", F.lit(i)) for i, c in enumerate(catalogs)]
     whole = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), numbered)
-    return whole.orderBy("_source", order).limit(limit).drop("_source")
+    whole = whole.orderBy("_source", order)
+    return (whole if limit is None else whole.limit(limit)).drop("_source")
 
 
 def filter_catalog(
@@ -125,13 +126,15 @@ def dedupe_keep_first(df: DataFrame, subset: Sequence[str], order: Sequence[str]
 
 
 def composed_key(columns: Sequence[str]) -> Column:
+    """One text for a report; rows are told apart by the columns themselves."""
     return F.concat_ws("_", *[F.coalesce(F.col(c).cast("string"), F.lit("nan")) for c in columns])
 
 
 def exclude_overlap(df: DataFrame, other: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Drop rows whose columns, joined by ``_``, also occur in the other table."""
-    keys = other.select(composed_key(columns).alias("_key"))
-    return df.withColumn("_key", composed_key(columns)).join(keys, "_key", "left_anti").drop("_key")
+    """Drop rows whose columns also occur together in the other table; a null equals a null, and nothing else does."""
+    keys = other.select(*[F.col(c).alias(f"_other_{c}") for c in columns])
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_other_{c}")) for c in columns])
+    return df.join(keys, same, "left_anti")
 
 
 def exclude_patterns(df: DataFrame, name: str, patterns: Sequence[str], key: str, ids: Sequence) -> DataFrame:

@@ -13,12 +13,17 @@ from tabeval.operators.ranks import with_ordinal
 
 ROW_ID_ROLE = "FilePos"  # fixed value: type name of a row-id column
 INDEX_NAME = "COL1"  # fixed value: name of the CSV index column
-MISSING_TEXTS = ("{}", "")  # fixed value: how a missing cell may come back
+MISSING_TEXTS = ("{}", "")  # fixed value: how a missing cell may be written
+EMPTY_RECORD = ("{}",)  # fixed value: how a missing cell comes back in a result
 RTOL, ATOL = 1e-5, 1e-8  # fixed values: tolerance of the last comparison
 
 NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double")
 
 
+def is_numeric(spark_type: str) -> bool:
+    return spark_type in NUMERIC or spark_type.startswith("decimal")
+
+
 def align(expected: DataFrame, actual: DataFrame) -> tuple[DataFrame, DataFrame] | None:
     """Both tables with common column names by position; None when their widths differ."""
     if len(expected.columns) != len(actual.columns):
@@ -35,7 +40,7 @@ def align(expected: DataFrame, actual: DataFrame) -> tuple[DataFrame, DataFrame]
 
 def _kind(spark_type: str) -> str:
     """Types that can hold equal values: numbers and truth values, texts, times."""
-    if spark_type in NUMERIC or spark_type == "boolean" or spark_type.startswith("decimal"):
+    if is_numeric(spark_type) or spark_type == "boolean":
         return "number"
     return "time" if spark_type in ("date", "timestamp", "timestamp_ntz") else spark_type
 
@@ -57,15 +62,20 @@ def drop_row_ids(df: DataFrame, roles: dict[str, str]) -> DataFrame:
 
 def drop_all_null(df: DataFrame) -> DataFrame:
     """Without the columns that hold no value at all."""
-    filled = df.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in df.columns]).first()
-    return df.select(*[F.col(f"`{c}`") for c in df.columns if filled[c] > 0])
+    if not df.columns:
+        return df
+    names = [f"_{i}" for i in range(len(df.columns))]  # two columns may have one name
+    placed = df.toDF(*names)
+    filled = placed.agg(*[F.count(c).alias(c) for c in names]).first()
+    kept = [(c, name) for c, name in zip(names, df.columns) if filled[c] > 0]
+    return placed.select(*[c for c, _ in kept]).toDF(*[name for _, name in kept])
 
 
-def normalize_missing(df: DataFrame) -> DataFrame:
+def normalize_missing(df: DataFrame, texts: Sequence[str] = MISSING_TEXTS) -> DataFrame:
     """Texts that stand for a missing cell become null."""
     return df.select(
         *[
-            F.when(~F.col(f"`{c}`").isin(*MISSING_TEXTS), F.col(f"`{c}`")).alias(c) if kind == "string" else F.col(f"`{c}`")
+            F.when(~F.col(f"`{c}`").isin(*texts), F.col(f"`{c}`")).alias(c) if kind == "string" else F.col(f"`{c}`")
             for c, kind in df.dtypes
         ]
     )
@@ -95,6 +105,14 @@ def bag_differences(expected: DataFrame, actual: DataFrame) -> DataFrame:
     return counted.select(*expected.columns, side.alias("side"), F.abs("_n").alias("surplus"))
 
 
+def _bag_facts(expected: DataFrame, actual: DataFrame) -> tuple[int, bool]:
+    """How many rows the first side has more, and whether the bags are equal; one pass over both."""
+    sides = expected.withColumn("_n", F.lit(1)).unionAll(actual.withColumn("_n", F.lit(-1)))
+    counted = sides.groupBy(*expected.columns).agg(F.sum("_n").alias("_n"))
+    facts = counted.agg(F.sum("_n").alias("more"), F.count_if(F.col("_n") != 0).alias("different")).first()
+    return facts["more"] or 0, not facts["different"]
+
+
 def equal_bag(expected: DataFrame, actual: DataFrame) -> bool:
     return not _any_row(bag_differences(expected, actual))
 
@@ -112,7 +130,7 @@ def _ordered_for_pairing(df: DataFrame) -> DataFrame:
 
 def tolerant_differences(expected: DataFrame, actual: DataFrame, rtol: float = RTOL, atol: float = ATOL, nulls_equal: bool = False) -> DataFrame:
     """Sorts both sides by all columns and pairs them by place; numbers may differ a little, nulls are not equal."""
-    numeric = {c for (c, a), (_, b) in zip(expected.dtypes, actual.dtypes) if a in NUMERIC and b in NUMERIC}
+    numeric = {c for (c, a), (_, b) in zip(expected.dtypes, actual.dtypes) if is_numeric(a) and is_numeric(b)}
     left = _ordered_for_pairing(expected).select("_place", *[F.col(c).alias(f"e_{c}") for c in expected.columns])
     right = _ordered_for_pairing(actual).select("_place", *[F.col(c).alias(f"a_{c}") for c in actual.columns])
     same = []
@@ -133,8 +151,9 @@ def equal_tolerant(expected: DataFrame, actual: DataFrame, rtol: float = RTOL, a
 def compare(expected: DataFrame, actual: DataFrame | None, place: str | None = None, problem: str | None = None) -> tuple[str, str | None]:
     """Verdict and problem: ``correct``, ``comparison`` (other results) or ``error`` (no result).
 
-    Tries, in this order: equal at every place (when a place column is given), equal after missing texts
-    became null, equal as bags, equal within the tolerance. Later tries only run when earlier ones fail.
+    Tries, in this order: equal at every place (when a place column is given), equal as bags, equal as bags after empty
+    records of the actual side became null, equal within the tolerance. Later tries only run when earlier ones fail, and
+    none once the numbers of rows differ. Sorting is needed only if all other columns agree as bags.
     """
     if problem is not None or actual is None:
         return FAILED, problem
@@ -152,10 +171,32 @@ def compare(expected: DataFrame, actual: DataFrame | None, place: str | None = N
         numbered = [df.select(F.col(place), *[F.col(f"`{c}`") for c in df.columns if c != place]).toDF(place, *names) for df in (expected, actual)]
         if equal_ordered(*numbered, place):
             return CORRECT, None
-    right = normalize_missing(right)
-    if equal_bag(left, right) or equal_tolerant(left, right):
+    left, right = _comparable(left), _comparable(right)
+    more, same = _bag_facts(left, right)
+    if same:
         return CORRECT, None
-    return COMPARISON, None
+    if more:
+        return COMPARISON, None
+    if any(kind == "string" for _, kind in right.dtypes):
+        right = normalize_missing(right, EMPTY_RECORD)
+        if _bag_facts(left, right)[1]:
+            return CORRECT, None
+    exact = [c for (c, a), (_, b) in zip(left.dtypes, right.dtypes) if not (is_numeric(a) and is_numeric(b))]
+    if len(exact) == len(left.columns) or exact and not _bag_facts(left.select(*exact), right.select(*exact))[1]:
+        return COMPARISON, None
+    return (COMPARISON if _any_row(tolerant_differences(left, right)) else CORRECT), None
+
+
+def _comparable(df: DataFrame) -> DataFrame:
+    """Columns that cannot be grouped are compared by their JSON text, map entries in the order of their keys."""
+
+    def text(name: str, kind: str) -> Column:
+        column = F.col(name)
+        if kind.startswith("map<"):
+            return F.to_json(F.array_sort(F.map_entries(column))) if "map<" not in kind[4:] and "variant" not in kind else F.to_json(column)
+        return F.to_json(F.struct(column)) if "map<" in kind or "variant" in kind else column
+
+    return df.select(*[text(c, kind).alias(c) for c, kind in df.dtypes])
 
 
 def scalar_match(predictions: DataFrame, gold: DataFrame, key: str, predicted: str, expected: str, tries: str, max_tries: int = 3) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabeval.functions.probs import above, argmax, total
-from tabeval.operators.ranks import cumulative_by_value
+from tabeval.operators.ranks import attach, cumulative_by_value
 
 GROUP = ("dataset", "method", "split")
 
@@ -71,13 +71,16 @@ def balanced_accuracy(preds: DataFrame, group: Sequence[str] = GROUP) -> DataFra
 
 
 def auroc_binary(preds: DataFrame, group: Sequence[str] = GROUP, plain_limit: int | None = None) -> DataFrame:
-    """Share of (positive, negative) pairs in the right order, ties counting one half; one class only is null."""
+    """Share of (positive, negative) pairs in the right order, ties counting one half.
+
+    Null for a group of one class only, or with a class other than 0 and 1.
+    """
     scored = preds.select(*group, p_of(1).alias("score"), "y")
-    sums = {"pos": F.col("y").cast("bigint"), "neg": (1 - F.col("y")).cast("bigint")}
+    sums = {"pos": F.col("y").cast("bigint"), "neg": (1 - F.col("y")).cast("bigint"), "odd": (~F.col("y").isin(0, 1)).cast("bigint")}
     running = cumulative_by_value(scored, group, "score", sums, plain_limit)
     won = F.sum(F.col("pos") * (F.col("neg_below") + F.col("neg") / 2))
     pairs = F.max("pos_total").cast("double") * F.max("neg_total")
-    return running.groupBy(*group).agg(F.try_divide(won, pairs).alias("value"))
+    return running.groupBy(*group).agg(F.when(F.max("odd_total") == 0, F.try_divide(won, pairs)).alias("value"))
 
 
 def auroc_ovo(preds: DataFrame, n_classes: int, group: Sequence[str] = GROUP, plain_limit: int | None = None) -> DataFrame:
@@ -102,8 +105,24 @@ def auroc_ovo(preds: DataFrame, n_classes: int, group: Sequence[str] = GROUP, pl
     return marked.groupBy(*group).agg(F.when(F.count("area") == n_classes, mean).alias("value"))
 
 
-def auroc(preds: DataFrame, group: Sequence[str] = GROUP, n_classes: int = 2) -> DataFrame:
-    return auroc_binary(preds, group) if n_classes <= 2 else auroc_ovo(preds, n_classes, group)
+def auroc(preds: DataFrame, group: Sequence[str] = GROUP, n_classes: int | None = None) -> DataFrame:
+    """One-vs-one for groups with more than two classes, binary for the others.
+
+    Without ``n_classes`` every group is taken by the length of its ``probs``; the lengths are few and are looked up first.
+    """
+    if n_classes is not None:
+        return auroc_binary(preds, group) if n_classes <= 2 else auroc_ovo(preds, n_classes, group)
+    group = list(group)
+    # an empty or missing array scores nothing, but its group still has a row
+    kinds = preds.groupBy(*group).agg(F.coalesce(F.max(F.size("probs")), F.lit(0)).alias("_size"), _many_classes().alias("_many"))
+    sizes = [r["_size"] for r in kinds.where("_many and _size > 2").select("_size").distinct().collect()]
+    values = auroc_binary(preds, group)
+    out = attach(kinds, values, group, "left").withColumn("value", F.when(~F.col("_many"), F.col("value")))
+    for size in sizes:
+        wide = attach(preds, kinds.where(F.col("_many") & (F.col("_size") == size)).select(*group), group)
+        areas = auroc_ovo(wide, size, group).withColumnRenamed("value", "_area")
+        out = attach(out, areas, group, "left").withColumn("value", F.coalesce("_area", "value")).drop("_area")
+    return out.select(*group, "value")
 
 
 def cross_entropy_value(mode: str = "reference") -> Column:
@@ -151,10 +170,12 @@ def average_precision(preds: DataFrame, group: Sequence[str] = GROUP, mode: str
     """Binary average precision of the thresholded prediction (``reference``) or of the score (``score``)."""
     if mode == "score":
         scored = preds.select(*group, (-p_of(1)).alias("score"), "y")
-        running = cumulative_by_value(scored, group, "score", {"n": F.lit(1), "pos": F.col("y").cast("bigint")}, plain_limit)
+        odd = (~F.col("y").isin(0, 1)).cast("bigint")  # a third class has no average precision
+        running = cumulative_by_value(scored, group, "score", {"n": F.lit(1), "pos": F.col("y").cast("bigint"), "odd": odd}, plain_limit)
         upto = (F.col("pos_below") + F.col("pos")) / (F.col("n_below") + F.col("n"))
         gained = F.sum(F.col("pos") * upto)
-        return running.groupBy(*group).agg(F.try_divide(gained, F.max("pos_total").cast("double")).alias("value"))
+        value = F.try_divide(gained, F.max("pos_total").cast("double"))
+        return running.groupBy(*group).agg(F.when(F.max("odd_total") == 0, value).alias("value"))
     counts = _by_class(preds, group).groupBy(*group).agg(
         F.count(F.lit(1)).alias("classes"),
         F.sum("n").alias("n"),
@@ -219,7 +240,7 @@ COLUMN_METRICS: dict[str, Callable[[], Column]] = {
 
 # name -> function(predictions, group) for metrics that need an order or two steps
 TABLE_METRICS: dict[str, Callable[[DataFrame, Sequence[str]], DataFrame]] = {
-    "roc": auroc_binary,
+    "roc": auroc,
     "balanced_acc": balanced_accuracy,
     "ece": calibration_error,
     "average_precision": average_precision,

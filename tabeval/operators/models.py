@@ -385,24 +385,32 @@ def sweep_windows(windows: DataFrame, dataset: str, methods: Sequence[str] = tup
     return rows.groupBy(dataset, "split", "method").applyInPandas(run, schema)
 
 
+def finished(spark, path: str) -> bool:
+    """Whether a table at ``path`` was written to its end: only then has its folder the success marker."""
+    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
+
+
 def sweep_large(
     datasets: dict[str, tuple[DataFrame, DataFrame]], models: dict[str, dict], numeric: Sequence[str], path: str, categorical: Sequence[str] = ()
 ) -> tuple[DataFrame | None, list[tuple[str, str, str]]]:
     """Every distributed model on every large dataset (train, test).
 
     Predictions (y, probs, predicted, dataset, method, time_s) are written under ``path`` as each model ends,
-    so a failing model is noted and skipped, and a restart can leave out what is there.
+    so a failing model is noted with its message and skipped, and a restart leaves out what has ended.
     """
     failed: list[tuple[str, str, str]] = []
     for name, (train, test) in datasets.items():
         for model, params in models.items():
+            if finished(train.sparkSession, f"{path}/{name}-{model}"):
+                continue
             started = time.monotonic()
             try:
                 scored = fit_predict(train, test, model, numeric, categorical, **params).select("y", "probs", "predicted")
                 facts = {"dataset": F.lit(name), "method": F.lit(model), "time_s": F.lit(time.monotonic() - started)}
-                scored.withColumns(facts).write.parquet(f"{path}/{name}-{model}")
+                scored.withColumns(facts).write.mode("overwrite").parquet(f"{path}/{name}-{model}")
             except Exception as error:
-                failed.append((name, model, type(error).__name__))
+                failed.append((name, model, f"{type(error).__name__}: {str(error)[:200]}"))
     done = [f"{path}/{name}-{model}" for name in datasets for model in models if (name, model) not in {f[:2] for f in failed}]
     if not done:
         return None, failed

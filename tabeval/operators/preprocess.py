@@ -149,6 +149,7 @@ def yeo_johnson(x: Column, lam: Column) -> Column:
 
 
 FIRST_GRID = np.linspace(-3.0, 5.0, 9)
+MOVES = 30  # rounds that look for the first bracket
 STEPS = (0.2, 0.02, 0.002)  # of the five exponents around the best one, round by round
 
 
@@ -163,6 +164,36 @@ def _peak(lams: Sequence[float], scores: Sequence[float]) -> float:
     return float(lams[top] + (h * (below - above) / (2 * bend) if bend < 0 else 0.0))
 
 
+def _first_peaks(measure, likelihood, columns: Sequence[str]) -> dict[str, float]:
+    """About the best exponent of each column. While it is the last one tried, the search goes on twice as far out."""
+    scored: dict[str, dict[float, float]] = {c: {} for c in columns}
+    peaks: dict[str, float] = {}
+    grids: dict[str, Sequence[float]] = {c: FIRST_GRID for c in columns}
+    for _ in range(MOVES):
+        again = {}
+        for c, rows in measure(grids).items():
+            scored[c] |= {r["lam"]: likelihood(r) for r in rows}
+            lams = sorted(scored[c])
+            if not lams:  # a column that cannot be fitted is left alone
+                continue
+            top = max(range(len(lams)), key=lambda i: scored[c][lams[i]])
+            peaks[c] = lams[top]
+            if len(lams) > 1 and top in (0, len(lams) - 1):
+                if rows:  # further out nothing is finite otherwise
+                    reach = lams[-1] - lams[0]
+                    again[c] = lams[top] + (1 if top else -1) * np.linspace(reach / 8, reach, 8)
+            elif len(lams) > 1 and lams[top + 1] - lams[top - 1] > 2.0 + 1e-9:
+                again[c] = np.linspace(lams[top - 1], lams[top + 1], 9)
+            elif len(lams) > 1:
+                around = lams[top - 1 : top + 2]
+                even = abs(around[0] + around[2] - 2 * around[1]) < 1e-9
+                peaks[c] = _peak(around, [scored[c][v] for v in around]) if even else lams[top]
+        if not again:
+            break
+        grids = again
+    return peaks
+
+
 def fit_power(df: DataFrame, columns: Sequence[str], train: Column | None = None) -> dict[str, tuple[float, float, float]]:
     """Exponent, mean and deviation per column, by maximum likelihood.
 
@@ -186,13 +217,13 @@ def fit_power(df: DataFrame, columns: Sequence[str], train: Column | None = None
     def likelihood(row) -> float:
         return float(-row["n"] / 2 * np.log(row["var"]) + (row["lam"] - 1) * row["jacobian"])
 
-    grids = {c: FIRST_GRID for c in columns}
-    for step in (*STEPS, 0.0):
-        found = {c: rows for c, rows in measure(grids).items() if rows}  # a column that cannot be fitted is left alone
-        peaks = {c: _peak([r["lam"] for r in rows], [likelihood(r) for r in rows]) for c, rows in found.items()}
-        if not peaks:
-            return {}
-        grids = {c: [peak + step * i for i in range(-2, 3)] if step else [peak] for c, peak in peaks.items()}
+    peaks = _first_peaks(measure, likelihood, columns)
+    if not peaks:
+        return {}
+    for step in STEPS:
+        tried = measure({c: [peak + step * i for i in range(-2, 3)] for c, peak in peaks.items()})
+        peaks = {c: _peak([r["lam"] for r in rows], [likelihood(r) for r in rows]) for c, rows in tried.items() if rows}
+    grids = {c: [peak] for c, peak in peaks.items()}
     return {c: (r[0]["lam"], r[0]["mean"], float(np.sqrt(r[0]["var"]))) for c, r in measure(grids).items() if r}
 
 

@@ -171,10 +171,13 @@ def exact_quantiles(
     return found.select(*group, *picked)
 
 
+NULL_KEY = "\u0000null"  # no key is written like this
+
+
 def stable_hash(key: str | Column, seed: int | str) -> Column:
-    """A hash that orders rows the same way on every run and in every engine that has md5."""
+    """A hash that orders rows the same way on every run and in every engine that has md5. A null key has one, too."""
     column = F.col(key) if isinstance(key, str) else key
-    return F.md5(F.concat(column.cast("string"), F.lit(str(seed))))
+    return F.md5(F.concat(F.coalesce(column.cast("string"), F.lit(NULL_KEY)), F.lit(str(seed))))
 
 
 PREFIX_LENGTH = 4  # hexadecimal digits, so at most 65,536 prefixes

@@ -19,12 +19,29 @@ from tabeval.operators.ranks import exact_quantiles, stable_hash
 STATUS_SCHEMA = "ref string, query_idx int, sql string, status string, seconds double, problem string"
 
 
+def reads_only(spark: SparkSession, sql: str) -> bool:
+    """Whether a statement only reads: its parsed plan holds no command and no insert. Statements that fail to parse raise."""
+    jvm, session = spark._jvm, spark._jsparkSession
+    command = jvm.java.lang.Class.forName("org.apache.spark.sql.catalyst.plans.logical.Command", False, jvm.java.lang.Thread.currentThread().getContextClassLoader())
+    plans = [session.sessionState().sqlParser().parsePlan(sql)]
+    while plans:
+        plan = plans.pop()
+        if command.isInstance(plan) or plan.nodeName().startswith(("Insert", "UnresolvedExecuteImmediate", "ExecuteImmediate")):
+            return False
+        children = plan.children()
+        plans += [children.apply(i) for i in range(children.size())]
+    return True
+
+
 def run_query(spark: SparkSession, sql: str) -> tuple[str, str | None]:
     """Status and problem of one query. Every result cell is computed, on the executors; one row comes back."""
     try:
+        if not reads_only(spark, sql):
+            raise ValueError("not a query")
         result = spark.sql(sql)
         result = result.toDF(*[f"c{i}" for i in range(len(result.columns))])
-        facts = result.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64(*result.columns)).alias("cells")).first()
+        cells = [F.to_json(F.struct(c)) if "map<" in kind or "variant" in kind else F.col(c) for c, kind in result.dtypes]  # these have no hash
+        facts = result.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64(*cells)).alias("cells")).first()
         return (VALID if facts["n"] else EMPTY), None
     except Exception as error:  # any failure of a foreign query is its label
         return ERROR, f"{type(error).__name__}: {str(error).splitlines()[0][:200]}"

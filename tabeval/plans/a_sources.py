@@ -43,6 +43,19 @@ def read_csv_table(t: Tables):
     return table.withColumn("CCustkey", F.col("CCustkey").cast("bigint"))
 
 
+@query(
+    "a02_read_csv_texts",
+    """SELECT doc_id AS "DocId", '"' || lang || '", ' || text AS "Text", source AS "Source" FROM documents""",
+)
+def read_csv_texts(t: Tables):
+    """Whole texts with quotes, separators and line breaks, written and read back."""
+    path = scratch_path(t.spark, "csv")
+    quoted = F.concat(F.lit('"'), "lang", F.lit('", '), "text")
+    files.write_csv(t.documents.select("doc_id", quoted.alias("text"), "source"), path)
+    table = files.read_csv_table(t.spark, path)
+    return table.withColumn("DocId", F.col("DocId").cast("bigint"))
+
+
 @query(
     "a03_register_dataset",
     """SELECT p_brand AS brand, count(*) AS n, max(s_name) AS supplier FROM part

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from tabeval.functions import names
-from tabeval.functions.fixed import SQL_TYPES
+from tabeval.functions.fixed import MAX_CATALOG_ROWS, SQL_TYPES
 from tabeval.operators import catalog
 from tabeval.plans.registry import Tables, query
 
@@ -14,9 +14,25 @@ from tabeval.plans.registry import Tables, query
          SELECT 0 AS s, c_custkey AS k, c_name AS name, c_nationkey AS nation, c_acctbal AS balance, c_mktsegment AS segment
          FROM customer
          UNION ALL SELECT 1, s_suppkey, s_name, s_nationkey, s_acctbal, NULL FROM supplier)
-       ORDER BY s, k LIMIT 70000""",
+       ORDER BY s, k""",
 )
 def union_catalogs(t: Tables):
+    return catalog.union_catalogs(both_catalogs(t), "k").drop("k")
+
+
+@query(
+    "b01_union_catalogs_capped",
+    """SELECT name, nation, balance, segment FROM (
+         SELECT 0 AS s, c_custkey AS k, c_name AS name, c_nationkey AS nation, c_acctbal AS balance, c_mktsegment AS segment
+         FROM customer
+         UNION ALL SELECT 1, s_suppkey, s_name, s_nationkey, s_acctbal, NULL FROM supplier)
+       ORDER BY s, k LIMIT 70000""",
+)
+def union_catalogs_capped(t: Tables):
+    return catalog.union_catalogs(both_catalogs(t), "k", MAX_CATALOG_ROWS).drop("k")
+
+
+def both_catalogs(t: Tables):
     customers = t.customer.select(
         F.col("c_custkey").alias("k"), F.col("c_name").alias("name"), F.col("c_nationkey").alias("nation"),
         F.col("c_acctbal").alias("balance"), F.col("c_mktsegment").alias("segment"),
@@ -25,7 +41,7 @@ def union_catalogs(t: Tables):
         F.monotonically_increasing_id().alias("Unnamed: 0"), F.col("s_suppkey").alias("k"),
         F.col("s_name").alias("name"), F.col("s_nationkey").alias("nation"), F.col("s_acctbal").alias("balance"),
     )
-    return catalog.union_catalogs([customers, suppliers], "k").drop("k")
+    return [customers, suppliers]
 
 
 @query(

@@ -96,11 +96,22 @@ def drop_row_ids(t: Tables):
     return compare.drop_row_ids(wide, {"v1": "FilePos", "p_name": "String", "p_size": "Int64"})
 
 
+def holed(df, text):
+    """One status is written as ``text``."""
+    return df.withColumn("o_orderstatus", F.when(F.col("o_orderstatus") == "P", F.lit(text)).otherwise(F.col("o_orderstatus")))
+
+
+def mapped(df):
+    return df.select("o_orderkey", "o_custkey", F.create_map(F.lit("status"), "o_orderstatus").alias("m"))
+
+
 @query(
     "f09_verdicts",
     """SELECT * FROM (VALUES ('same order', 'correct'), ('shuffled', 'correct'), ('one cell changed', 'comparison'),
          ('one row dropped', 'comparison'), ('one row twice', 'comparison'), ('small noise', 'correct'), ('large noise', 'comparison'),
-         ('column missing', 'comparison'), ('expected column all null', 'correct'), ('failed', 'error'), ('empty response', 'error')) v(kind, verdict)""",
+         ('column missing', 'comparison'), ('expected column all null', 'correct'), ('failed', 'error'), ('empty response', 'error'),
+         ('empty texts shuffled', 'correct'), ('empty text against null', 'comparison'), ('empty record against null', 'correct'),
+         ('decimal against double', 'correct'), ('two columns of one name', 'correct'), ('map column', 'correct'), ('map changed', 'comparison')) v(kind, verdict)""",
 )
 def verdicts(t: Tables):
     base = result(t)
@@ -116,6 +127,13 @@ def verdicts(t: Tables):
         "large noise": (base, base.withColumn("o_totalprice", price * 1.01), None),
         "column missing": (base, base.drop("o_custkey"), None),
         "expected column all null": (base.withColumn("none", F.lit(None).cast("string")), base, None),
+        "empty texts shuffled": (holed(base, ""), holed(base, "").repartition(5, "o_custkey"), None),
+        "empty text against null": (holed(base, None), holed(base, ""), None),
+        "empty record against null": (holed(base, None), holed(base, "{}"), None),
+        "decimal against double": (base.withColumn("o_totalprice", price.cast("decimal(18,4)")), base.withColumn("o_totalprice", price.cast("double") * (1 + 1e-10)), None),
+        "two columns of one name": (base.select("o_orderkey", "o_custkey", F.col("o_custkey").alias("o_orderkey")), base.select("o_orderkey", "o_custkey", "o_custkey"), None),
+        "map column": (mapped(base), mapped(base).repartition(5, "o_custkey"), None),
+        "map changed": (mapped(base), mapped(one_cell_changed(base)), None),
         "failed": (base, None, None),
         "empty response": (base, base.select(), None),
     }

@@ -7,7 +7,6 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabeval.functions.fixed import MAX_TABLE_ROWS
 from tabeval.functions.names import clean_table_text, sanitize_columns
 from tabeval.operators.catalog import drop_index_column
 from tabeval.operators.prompts import PARTS_PER_VOLUME
@@ -30,11 +29,15 @@ def list_files(spark: SparkSession, root: str, pattern: str = "*.csv") -> DataFr
     )
 
 
-def read_csv_table(spark: SparkSession, path: str, max_rows: int | None = MAX_TABLE_ROWS) -> DataFrame:
-    """A CSV file with header and inferred types, clean column names and at most ``max_rows`` rows."""
-    table = spark.read.option("header", "true").option("inferSchema", "true").csv(path)
-    table = sanitize_columns(drop_index_column(table))
-    return table if max_rows is None else table.limit(max_rows)
+def read_csv_table(spark: SparkSession, path: str, max_rows: int | None = None, order: Sequence[str] = ()) -> DataFrame:
+    """A CSV file with header, inferred types and clean column names; whole unless ``max_rows`` asks for less.
+
+    Quoted fields may hold separators, doubled quotes and line breaks. The first ``max_rows`` rows are those in
+    ``order`` (by default of all columns), so that the same rows come back whatever the listing of the files.
+    """
+    reader = spark.read.option("header", "true").option("inferSchema", "true").option("quote", '"').option("escape", '"')
+    table = sanitize_columns(drop_index_column(reader.option("multiLine", "true").csv(path)))
+    return table if max_rows is None else table.orderBy(*(order or table.columns)).limit(max_rows)
 
 
 def register_dataset(

@@ -103,3 +103,23 @@ def test_columns_without_a_type_hold_nulls(spark, base, monkeypatch):
     assert verdict(untyped, untyped) == "correct"
     monkeypatch.setattr(ranks, "PLAIN_GROUP_ROWS", 2)
     assert verdict(untyped, base) == "comparison"
+
+
+def test_empty_texts_are_values_of_their_own(spark):
+    left = other(spark, [(1, "", 1.0), (2, "b", 2.0)])
+    assert verdict(left, other(spark, [(2, "b", 2.0), (1, "", 1.0)])) == "correct"
+    assert verdict(left, other(spark, [(2, "b", 2.0), (1, None, 1.0)])) == "comparison"
+
+
+def test_decimals_are_compared_with_the_tolerance(spark):
+    left = other(spark, [(1,)], "id int").selectExpr("CAST(1.1 AS DECIMAL(10,4)) AS x")
+    assert verdict(left, other(spark, [(1.1000000001,)], "x double")) == "correct"
+    assert verdict(left, other(spark, [(1.2,)], "x double")) == "comparison"
+
+
+def test_two_columns_of_one_name_and_maps(spark):
+    twice = "SELECT 1 AS a, 2 AS a, CAST(NULL AS INT) AS b"
+    assert verdict(spark.sql(twice), spark.sql("SELECT 1 AS a, 2 AS a")) == "correct"
+    assert verdict(spark.sql(twice), spark.sql("SELECT 2 AS a, 1 AS a")) == "comparison"
+    assert verdict(spark.sql("SELECT map('x', 1, 'y', 2) AS m"), spark.sql("SELECT map('y', 2, 'x', 1) AS m")) == "correct"
+    assert verdict(spark.sql("SELECT map('x', 1) AS m"), spark.sql("SELECT map('x', 2) AS m")) == "comparison"

@@ -109,6 +109,18 @@ def test_power_transform_finds_the_likeliest_exponent(spark):
     assert done[0] == pytest.approx(0, abs=1e-9) and done[1] == pytest.approx(1) and done[2] == 1.0
 
 
+def test_power_transform_leaves_the_first_bracket(spark):
+    x = (1 + np.linspace(1, 400, 400) / 400.0) ** (1 / 20) - 1  # (1 + x)^20 is uniform
+
+    def likelihood(lam):
+        return -len(x) / 2 * np.log(yeo_johnson(x, lam).var()) + (lam - 1) * np.log1p(x).sum()
+
+    fitted = preprocess.fit_power(spark.createDataFrame([(float(v),) for v in x], "x double"), ["x"])
+    lams = np.linspace(5, 60, 11001)
+    best = lams[np.argmax([likelihood(v) for v in lams])]
+    assert best > 8 and fitted["x"][0] == pytest.approx(best, abs=2e-2)
+
+
 def test_quantile_normal_is_monotone_and_normal(spark):
     x = rng.exponential(size=2000)
     df = spark.createDataFrame([(float(v),) for v in x] + [(None,)], "x double")
@@ -199,6 +211,8 @@ def test_sweep_skips_a_failing_model(table, tmp_path):
         {"t": (table, table)}, {"logistic": {"max_iter": 5}, "perceptron": {"layers": (9, 2)}}, ["a", "b"], str(tmp_path)
     )
     assert [f[:2] for f in failed] == [("t", "perceptron")] and done.count() == 300
+    again, failed = models.sweep_large({"t": (table, table)}, {"logistic": {"max_iter": 5}}, ["a", "b"], str(tmp_path))
+    assert failed == [] and sorted(again.collect()) == sorted(done.collect())  # what has ended is left out, not lost
 
 
 def test_small_sweep(spark):

@@ -146,3 +146,21 @@ def test_simple_metrics_share_one_pass(binary):
     plan = both._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
     assert both.count() == 9
+
+
+def test_registry_takes_the_auroc_by_the_number_of_classes(spark):
+    rng = np.random.default_rng(6)
+    rows = []
+    for name, k in (("two", 2), ("three", 3), ("five", 5)):
+        for _ in range(80):
+            p = rng.dirichlet(np.ones(k))
+            rows.append((name, int(rng.choice(k, p=p)), [float(v) for v in p]))
+    preds = spark.createDataFrame(rows, "dataset string, y int, probs array<double>")
+    got = {r["dataset"]: r["value"] for r in metrics.evaluate(preds, ["roc"], ["dataset"]).collect()}
+    for name, k in (("two", 2), ("three", 3), ("five", 5)):
+        own = preds.where(F.col("dataset") == name)
+        alone = metrics.auroc(own, ["dataset"], k).first()["value"]
+        assert got[name] == pytest.approx(alone) and 0.5 < got[name] <= 1
+    three = preds.where("dataset = 'three'")
+    assert metrics.auroc_binary(three, ["dataset"]).first()["value"] is None
+    assert metrics.average_precision(three, ["dataset"], mode="score").first()["value"] is None

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_module
-from tabeval.operators import analytics, benchmark, catalog, compare, preprocess
+from tabeval.operators import analytics, benchmark, catalog, compare, preprocess, ranks
 
 QUERIES = entry_module.queries()
 
@@ -64,3 +64,17 @@ def test_ties_within_a_dataset_need_no_second_shuffle(spark):
 def test_duplicates_are_dropped_without_python(spark):
     df = spark.range(10).select("id", F.lit(1).alias("k"))
     assert "Python" not in plan_of(catalog.dedupe_keep_first(df, ["k"], ["id"]))
+
+
+def test_excluded_rows_are_told_apart_by_their_columns(spark):
+    rows = spark.createDataFrame([("a_b", "c"), ("a", "b_c"), (None, "x"), ("nan", "x")], "p string, q string")
+    known = spark.createDataFrame([("a", "b_c"), (None, "x")], "p string, q string")
+    assert sorted(tuple(r) for r in catalog.exclude_overlap(rows, known, ["p", "q"]).collect()) == [("a_b", "c"), ("nan", "x")]
+
+
+def test_null_keys_have_a_place_in_splits(spark):
+    rows = spark.createDataFrame([(None, 1), *[(f"k{i}", 1) for i in range(20)]], "k string, x int")
+    counts = ranks.hash_counts(rows, "k", 1)
+    assert sum(counts.values()) == 21
+    cut = ranks.hash_cuts(rows, "k", 1, [7], counts)[0]
+    assert rows.where(ranks.below_cut("k", 1, cut)).count() == 7

@@ -82,3 +82,12 @@ def test_a_workload_table_is_read_in_order_and_resumed(session, tmp_path, monkey
     rest = workload.ordered_queries(pending(table, first, ["ref", "query_idx"]))
     labels = workload.label_workload(session, rest, lambda own, ref: None, path)
     assert labels.count() == 40 == labels.select("ref", "query_idx").distinct().count()
+
+
+def test_maps_and_variants_are_valid_and_only_queries_run(spark, tmp_path):
+    assert workload.run_query(spark, "SELECT map('a', 1) AS m, parse_json('{\"a\": 1}') AS v") == ("Valid", None)
+    spark.createDataFrame([(1,)], "x int").createOrReplaceTempView("kept")
+    for statement in ("DROP VIEW kept", f"INSERT OVERWRITE DIRECTORY '{tmp_path}/o' USING parquet SELECT 1", "CREATE TEMPORARY VIEW made AS SELECT 1", "WITH a AS (SELECT 1) INSERT INTO kept SELECT * FROM a"):
+        assert workload.run_query(spark, statement)[0] == "Error"
+    assert not (tmp_path / "o").exists() and workload.run_query(spark, "SELECT * FROM kept")[0] == "Valid"
+    assert workload.run_query(spark, "WITH a AS (SELECT 1 AS x) SELECT * FROM a WHERE x > 1")[0] == "Empty"
