@@ -133,7 +133,7 @@ def parse(html: str) -> Element:
             element = Element(tag, f"{tag}.{name}" if name else tag, skip)
             stack[-1].parts.append(element)
             if tag not in VOID and found.group(3).rstrip()[-1:] != "/" or tag in MAIN:
-                if len(stack) < DEPTH:
+                if len(stack) < DEPTH + 10 * (tag in MAIN):
                     stack.append(element)
                     mains += tag in MAIN
         elif found.group(0) == "<!--":
