@@ -39,7 +39,7 @@ def letter_table() -> np.ndarray:
 
 
 def ngrams(text: str, letters: np.ndarray) -> tuple[np.ndarray, bool]:
-    """The distinct n-grams of a text in lower case, words set off by single spaces, and whether it has a letter.
+    """The distinct n-grams with a letter of a text in lower case, words set off by single spaces, and whether there is a letter.
 
     An n-gram of up to three code points of 21 bits is one 64-bit number, so no two are confused.
     """
@@ -54,7 +54,8 @@ def ngrams(text: str, letters: np.ndarray) -> tuple[np.ndarray, bool]:
     for order in range(1, max(ORDERS) + 1):
         value = (value[: len(codes) - order + 1] << 21) + codes[order - 1 :]
         if order in ORDERS and len(value):
-            grams.append(np.unique(value))
+            found = np.unique(value)
+            grams.append(found[found != 32])  # a space alone says nothing, and every text has it
     return np.concatenate(grams), True  # orders differ in size, so they cannot clash
 
 
