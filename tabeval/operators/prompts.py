@@ -88,7 +88,8 @@ def batch_prompts(batched: DataFrame, group: Sequence[str], sql: str, head: str)
     """One prompt per batch: the shared head, then the batch's numbered queries."""
     item = _format("{i}.%s:\n```\n{sql}\n```\n" % fixed.SQL_LABEL, i=F.col("place") + 1, sql=F.col(sql))
     parts = batched.select(*group, "batch_no", F.col("place").alias("part_no"), item.alias("text"))
-    prompts = assemble(parts, [*group, "batch_no"]).drop("volume")
+    # a batch has as many parts as its caller chose, and is one prompt
+    prompts = assemble(parts, [*group, "batch_no"], per_volume=2**31 - 1).drop("volume")
     return prompts.withColumn("prompt", F.concat(F.lit(head), "prompt"))
 
 

@@ -13,6 +13,7 @@ from pyspark.sql.types import ArrayType, LongType
 from tabeval.functions.fixed import WINDOW_ROWS
 from tabeval.operators.analytics import split_rows
 from tabeval.operators.ranks import stable_hash, with_ordinal
+from tabeval.session import scratch_path
 
 NUMERIC_INPUTS = ("int", "bigint", "double", "float", "smallint", "tinyint")
 TEXT = "string"
@@ -53,10 +54,18 @@ def suitable(df: DataFrame, inputs: Sequence[str], target: str | None) -> list[s
     return numeric
 
 
+SMALL_ROWS = 100_000  # rows of a table of a few narrow columns that may be broadcast
+
+
+def small(table: DataFrame) -> DataFrame:
+    """The table, to be broadcast if it has few rows: a join on its key then leaves hot keys of the other side where they are."""
+    return F.broadcast(table) if table.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS else table
+
+
 def factorize(df: DataFrame, label: str, row_id: str, name: str = "y") -> DataFrame:
     """Codes by first appearance of each label, -1 for missing ones."""
     first_seen = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.min(row_id).alias("_first"))
-    codes = with_ordinal(first_seen, ["_first", label], name=name).drop("_first")
+    codes = small(with_ordinal(first_seen, ["_first", label], name=name).drop("_first"))
     return df.join(codes, label, "left").withColumn(name, F.coalesce(name, F.lit(-1)).cast("int"))
 
 
@@ -68,7 +77,7 @@ def to_dataset(df: DataFrame, inputs: Sequence[str], target: str, row_id: str) -
 
 def encode_labels(df: DataFrame, label: str, name: str = "code") -> DataFrame:
     """Code = number of smaller distinct labels."""
-    codes = with_ordinal(df.select(label).distinct().where(F.col(label).isNotNull()), [label], name=name)
+    codes = small(with_ordinal(df.select(label).distinct().where(F.col(label).isNotNull()), [label], name=name))
     return df.join(codes, label, "left").withColumn(name, F.col(name).cast("int"))
 
 
@@ -93,19 +102,20 @@ def window_starts(n_rows: pd.Series, window: pd.Series) -> pd.Series:
 
 
 def valid_split(
-    df: DataFrame, dataset: str, row_id: str, label: str, position: int, split: int = 1, window: int = WINDOW_ROWS
+    df: DataFrame, dataset: str, row_id: str, label: str, position: int, split: int = 1, window: int = WINDOW_ROWS,
+    regression: bool = False,
 ) -> DataFrame:
     """Train and test rows of one contiguous window per dataset, both halves holding every class.
 
     Split 1 keeps the row order, other splits permute it. The first of eight starts that fits is used; a
-    dataset without one gives no rows.
+    dataset without one gives no rows. A ``regression`` target has no classes, so its first start is used.
     """
     order = [F.col(row_id)] if split == 1 else [stable_hash(row_id, split), F.col(row_id)]
     numbered = with_ordinal(df, order, [dataset], "_no")
     facts = df.groupBy(dataset).agg(F.count(F.lit(1)).alias("_n"), F.count_distinct(label).alias("_classes"))
     facts = facts.withColumns(eval_sizes(F.col("_n"), position, window))
     facts = facts.withColumn("_starts", window_starts("_n", "window_rows"))
-    placed = numbered.join(facts, dataset)
+    placed = numbered.join(small(facts), dataset)
     offset = F.col("_no") - F.col("_start")
     # a row meets at most eight candidate windows, and a candidate holds at most ``window`` rows
     candidates = (
@@ -113,13 +123,19 @@ def valid_split(
         .where((offset >= 0) & (offset < F.col("window_rows")))
         .withColumn("part", F.when(offset < F.col("train_rows"), "train").otherwise("test"))
     )
+    # a few rows per dataset, kept so that the order is made once
+    path = scratch_path(df.sparkSession, "windows")
+    candidates.where("_try = 0" if regression else "true").write.parquet(path)
+    candidates = df.sparkSession.read.parquet(path)
+    if regression:
+        return candidates.select(*df.columns, (F.col("_no") - F.col("_start")).alias("place"), "part")
     halves = candidates.groupBy(dataset, "_try", "part").agg(
         (F.count_distinct(label) == F.first("_classes")).alias("_complete")
     )
     tries = halves.groupBy(dataset, "_try").agg((F.bool_and("_complete") & (F.count(F.lit(1)) == 2)).alias("_ok"))
     chosen = tries.where("_ok").groupBy(dataset).agg(F.min("_try").alias("_try"))
-    kept = candidates.join(chosen, [dataset, "_try"], "left_semi")
-    return kept.select(*df.columns, offset.alias("place"), "part")
+    kept = candidates.join(small(chosen), [dataset, "_try"], "left_semi")
+    return kept.select(*df.columns, (F.col("_no") - F.col("_start")).alias("place"), "part")
 
 
 def train_valid(df: DataFrame, columns: Sequence[str], key: str, seed: int = 42) -> DataFrame:

@@ -98,13 +98,13 @@ def ordered_queries(workload: DataFrame) -> Iterator[tuple[str, int, str]]:
     return (tuple(row) for row in spread.toLocalIterator(prefetchPartitions=True))
 
 
-QUERIES_PER_BATCH = 1_000  # a dataset with more queries is labelled in several batches
+QUERIES_PER_BATCH = 1_000  # labels written at a time
 
 
-def _batches(queries: Iterable[tuple[str, int, str]]) -> Iterator[tuple[str, list]]:
+def _datasets(queries: Iterable[tuple[str, int, str]]) -> Iterator[tuple[str, list]]:
+    """All queries of one dataset after the other: the time limit holds for a dataset, however many queries it has."""
     for ref, rows in groupby(queries, key=lambda q: q[0]):
-        while batch := list(islice(rows, QUERIES_PER_BATCH)):
-            yield ref, batch
+        yield ref, list(rows)
 
 
 def label_workload(
@@ -136,11 +136,12 @@ def label_workload(
             labels = [(None, None, "timeout")] * len(rows)
         return [(ref, idx, sql, *found) for (_, idx, sql), found in zip(rows, labels)]
 
-    datasets = _batches(queries)
+    datasets = _datasets(queries)
     with ThreadPoolExecutor(parallel) as pool:
         while chunk := list(islice(datasets, flush_every)):
-            labelled = [row for rows in pool.map(label, chunk) for row in rows]
-            spark.createDataFrame(labelled, STATUS_SCHEMA).write.mode("append").parquet(path)
+            labelled = (row for rows in pool.map(label, chunk) for row in rows)
+            while part := list(islice(labelled, QUERIES_PER_BATCH * 10)):
+                spark.createDataFrame(part, STATUS_SCHEMA).write.mode("append").parquet(path)
     return spark.read.schema(STATUS_SCHEMA).parquet(path)
 
 

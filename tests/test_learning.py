@@ -61,6 +61,13 @@ def test_window_and_labels_against_a_loop(spark):
     assert expected("hard") is None and not [r for r in rows if r["d"] == "hard"]
 
 
+def test_window_of_a_regression_target_is_the_first_start(spark):
+    df = spark.range(3000).select(F.lit("d").alias("d"), "id", (F.col("id") * 1.5).alias("y"))
+    rows = splits.valid_split(df, "d", "id", "y", 100, regression=True).collect()
+    start = random.Random(13).randint(0, 3000 - 200)
+    assert sorted((r["id"], r["place"], r["part"]) for r in rows) == [(start + k, k, "train" if k < 100 else "test") for k in range(200)]
+
+
 def test_window_does_not_depend_on_the_plan(spark, monkeypatch):
     df = spark.range(3000).select(F.lit("d").alias("d"), "id", (F.col("id") * 7 % 5).alias("y"))
     plain = {tuple(r) for r in splits.valid_split(df, "d", "id", "y", 100, split=2).collect()}

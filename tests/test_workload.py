@@ -68,6 +68,19 @@ def test_yield_counts_datasets_without_flags(session):
     assert row["yield"] == pytest.approx(1 / 30)
 
 
+def test_a_late_dataset_is_null_as_a_whole_however_many_queries_it_has(session, tmp_path, monkeypatch):
+    monkeypatch.setattr(workload, "QUERIES_PER_BATCH", 2)
+
+    def slow(spark, sql):
+        time.sleep(0.3)
+        return "Valid", None
+
+    monkeypatch.setattr(workload, "run_query", slow)
+    queries = [("late", i, "SELECT 1") for i in range(9)] + [("quick", 0, "SELECT 1")]
+    labels = workload.label_workload(session, queries, lambda own, ref: None, str(tmp_path / "l"), timeout_s=1.5)
+    assert {(r["ref"], r["status"]) for r in labels.collect()} == {("late", None), ("quick", "Valid")} and labels.count() == 10
+
+
 def test_a_workload_table_is_read_in_order_and_resumed(session, tmp_path, monkeypatch):
     from tabeval.operators.prompts import pending
 
