@@ -59,6 +59,20 @@ def with_range_bucket(df: DataFrame, value: str, n: int, name: str = "_bucket")
     return bucketizer.transform(wide).drop("_as_double")
 
 
+NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double")
+
+
+def _bucketed_by_order(counted: DataFrame, value: str, n: int) -> DataFrame:
+    """Rows with the number of their range of a value of any type that has an order; equal values share a range.
+
+    The ranges are kept as a written table: a row must not change its range when a task runs again.
+    """
+    spark = counted.sparkSession
+    path = scratch_path(spark, "ranges")
+    counted.repartitionByRange(n, value).withColumn("_bucket", F.spark_partition_id().cast("double")).write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def cumulative_by_value(
     df: DataFrame,
     group: Sequence[str],
@@ -85,7 +99,11 @@ def cumulative_by_value(
             *[F.coalesce(F.sum(name).over(earlier), F.lit(0)).alias(f"{name}_below") for name in sums],
             *[F.sum(name).over(whole).alias(f"{name}_total") for name in sums],
         )
-    counted = with_range_bucket(rows, value, ranges_wanted).groupBy(*group, "_bucket", value).agg(*added)
+    kind = dict(rows.dtypes)[value]
+    if kind in NUMERIC or kind.startswith("decimal"):
+        counted = with_range_bucket(rows, value, ranges_wanted).groupBy(*group, "_bucket", value).agg(*added)
+    else:
+        counted = _bucketed_by_order(rows.groupBy(*group, value).agg(*added), value, ranges_wanted)
     # at most one row per range and group, so these windows stay small
     ranges = counted.groupBy(*group, "_bucket").agg(*[F.sum(name).alias(f"_{name}") for name in sums])
     whole = Window.partitionBy(*group)

@@ -81,3 +81,10 @@ def test_shared_dir_needs_a_setting_on_a_cluster():
         shared_dir(session("spark://somewhere"))
     assert shared_dir(session("spark://somewhere", "hdfs:///shared")) == "hdfs:///shared"
     assert shared_dir(session("local[2]"))
+
+
+def test_text_is_ordered_in_ranges_as_in_one_piece(spark):
+    rows = [(i % 2, f"v{i * 37 % 90}") for i in range(400)] + [(0, None)]
+    df = spark.createDataFrame(rows, "g int, t string")
+    plain, cut = (sorted(tuple(r) for r in ranks.cumulative_by_value(df, ["g"], "t", plain_limit=limit).collect()) for limit in (None, 5))
+    assert plain == cut and len(plain) > 50
