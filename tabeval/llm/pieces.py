@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from tabeval.llm.frames import arrow_map, list_array, picked
 
 MARK = "▁"
-KEPT_WORDS = 250_000  # words, and pairs of pieces, a worker remembers; then it starts anew
+KEPT_WORDS = 800_000  # words, and pairs of pieces, a worker remembers; then it starts anew
 KEPT_CHARS = 40  # longer words are not remembered
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6  # fixed values of the model format
 UNIGRAM, BPE = 1, 2
@@ -187,6 +187,13 @@ class _Words(dict):
         return path
 
 
+def machine_of(model: dict) -> Transducer:
+    """The compiled model, kept with the broadcast value: the tasks of one worker share it and the words it remembers."""
+    if "machine" not in model:
+        model["machine"] = Transducer(model)
+    return model["machine"]
+
+
 def encode(docs: DataFrame, model_path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: key, ids and round_trip (decoding gives the normalised text back).
 
@@ -195,12 +202,9 @@ def encode(docs: DataFrame, model_path: str, key: str = "doc_id", text: str = "t
     """
     source = picked(docs, doc_id=key, text=text)
     shared = source.sparkSession.sparkContext.broadcast(read_model(model_path))  # bounded: one vocabulary
-    made: list[Transducer] = []
 
     def step(batch: pa.RecordBatch) -> Iterator[dict]:
-        if not made:
-            made.append(Transducer(shared.value))
-        machine = made[0]
+        machine = machine_of(shared.value)
         column, keys = batch.column("text").to_pylist(), batch.column("doc_id")
         for at in range(0, len(column), 1000):
             ids, same = [], []
@@ -223,7 +227,7 @@ def decode(rows: DataFrame, model_path: str, ids: str = "ids", key: str = "doc_i
     shared = source.sparkSession.sparkContext.broadcast(read_model(model_path))
 
     def step(batch: pa.RecordBatch) -> Iterator[dict]:
-        machine = Transducer(shared.value)
+        machine = machine_of(shared.value)
         yield {"doc_id": batch.column("doc_id"), "text": [None if x is None else machine.decode([i for i in x if i is not None]) for x in batch.column("ids").to_pylist()]}
 
     return arrow_map(source, step, f"doc_id {dict(source.dtypes)['doc_id']}, text string").withColumnRenamed("doc_id", key)
