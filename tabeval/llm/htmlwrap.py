@@ -5,14 +5,16 @@ expression: below every element each label occurs once; a label that some page l
 follows itself a repeated one, labels that come in different orders a repeated group of optional members, and texts that
 differ a slot. Merging is associative, so every task folds its pages and the few expressions per host are merged.
 
-Extraction walks a page along its host's wrapper. Boilerplate elements are no content, whatever the page; if the wrapper has an
-article, only that is content; without one, texts that are the same on all pages of the host are the template's and go.
+Extraction walks a page along its host's wrapper. Boilerplate elements are no content, whatever the page, but a class or id alone
+does not drop an article; if the wrapper has an article, only that is content; without one, texts that are the same on all pages of
+the host are the template's and go.
 """
 
 from __future__ import annotations
 
 import json
 import re
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from hashlib import blake2b
 from html import unescape
@@ -39,6 +41,7 @@ BOILERPLATE_NAMES = frozenset(
     newsletter notice notices overlay pager pagination paywall popup promo promotion recommended related replies reply responses share
     sharing sidebar sidebars signup skip social sponsor sponsored subscribe subscription toolbar topbar widget widgets""".split()
 )
+OTHERS_NAMES = frozenset("comment comments commentlist disqus recommended related replies reply responses".split())  # they hold articles that are not the page's
 BOILERPLATE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar".split())
 MAIN = ("article", "main")
 DEPTH = 80  # deeper elements are read as children of the element at this depth
@@ -52,39 +55,76 @@ def attributes(text: str) -> dict[str, str]:
 
 
 def is_boilerplate(tag: str, attrs: dict[str, str], inside_main: bool) -> bool:
+    """Whether an element is boilerplate by its tag, role or style, whatever it holds."""
     if tag in BOILERPLATE_TAGS or tag == "header" and not inside_main:
         return True
     if not attrs or tag in ("html", "body"):
         return False
     if "hidden" in attrs or attrs.get("aria-hidden") == "true" or attrs.get("role", "").lower() in BOILERPLATE_ROLES:
         return True
-    if re.search(r"display\s*:\s*none", attrs.get("style", "").lower()):
-        return True
-    words = re.split(r"[^a-z0-9]+", re.sub(r"([a-z0-9])([A-Z])", r"\1-\2", attrs.get("class", "") + " " + attrs.get("id", "")).lower())
-    return any(w in BOILERPLATE_NAMES for w in words) and not (tag in MAIN and "comment" not in words and "comments" not in words and "related" not in words)
+    return bool(re.search(r"display\s*:\s*none", attrs.get("style", "").lower()))
+
+
+def boilerplate_names(tag: str, attrs: dict[str, str], inside_main: bool) -> set[str]:
+    """The whole class tokens and the id that name boilerplate; parts of them (has-sidebar, widget-text) name nothing."""
+    if not attrs or tag in ("html", "body"):
+        return set()
+    names = BOILERPLATE_NAMES.intersection(f"{attrs.get('class', '')} {attrs.get('id', '')}".lower().split())
+    return names & OTHERS_NAMES if tag in MAIN else names - {"header"} if inside_main else names
 
 
 class Element:
-    """A structural element: label, whether it is boilerplate, and its texts and elements in page order."""
+    """A structural element: label, whether it is boilerplate, and its texts and elements in page order.
 
-    __slots__ = ("tag", "label", "skip", "inline", "parts")
+    ``named`` tells that it is boilerplate by its names only, ``others`` that these stand for other people's articles, ``holds``
+    that it is or has an article or main.
+    """
 
-    def __init__(self, tag: str, label: str, skip: bool, inline: bool = False):
-        self.tag, self.label, self.skip, self.inline, self.parts = tag, label, skip, inline, []
+    __slots__ = ("tag", "label", "skip", "inline", "parts", "named", "others", "holds")
+
+    def __init__(self, tag: str, label: str, skip: bool, inline: bool = False, names: Iterable[str] = ()):
+        self.tag, self.label, self.skip, self.inline, self.parts = tag, label, skip or bool(names), inline, []
+        self.named, self.others, self.holds = bool(names) and not skip, not OTHERS_NAMES.isdisjoint(names), False
 
 
 def parse(html: str) -> Element:
     """The tree of structural elements; inline elements dissolve into the text around them."""
     root = Element("", "", False)
-    stack, at, mains = [root], 0, 0
+    stack, at, mains, inlines = [root], 0, 0, 0
+    open_tags: Counter[str] = Counter()
+    skipped: list[Element] = []  # the open ones
+    named: list[Element] = []  # all of them
+    own = False  # whether there is an article or main of the page itself
+
+    def push(element: Element) -> None:
+        nonlocal mains, inlines, own
+        stack.append(element)
+        open_tags[element.tag] += 1
+        inlines += element.inline
+        if element.skip:
+            skipped.append(element)
+            if element.named:
+                named.append(element)
+        if element.tag in MAIN:
+            mains += 1
+            if all(e.named for e in skipped):
+                own = own or not any(e.others for e in skipped)
+                for e in skipped:
+                    e.holds = True
 
     def close(count: int) -> None:
-        nonlocal mains
-        for element in stack[len(stack) - count :]:
+        nonlocal mains, inlines
+        for element in stack[: len(stack) - count - 1 : -1]:
+            open_tags[element.tag] -= 1
             mains -= element.tag in MAIN
+            inlines -= element.inline
+            if element.skip:
+                skipped.pop()
         del stack[len(stack) - count :]
 
     def close_up_to(tags: Iterable[str], stop: Iterable[str]) -> None:
+        if not any(open_tags[t] for t in tags):
+            return
         for back in range(1, len(stack)):
             if stack[-back].tag in tags:
                 close(back)
@@ -101,7 +141,7 @@ def parse(html: str) -> Element:
             end = end.lower()
             if end == "br":
                 stack[-1].parts.append(" ")
-            elif end == "p" or end not in INLINE or any(e.inline for e in stack):
+            elif open_tags[end] and (end == "p" or end not in INLINE or inlines):
                 for back in range(1, len(stack)):
                     if stack[-back].tag == end:
                         close(back)
@@ -115,32 +155,34 @@ def parse(html: str) -> Element:
                 if tag not in ("script", "style", "title"):
                     stack[-1].parts.append(" ")
                 continue
-            skip = is_boilerplate(tag, attrs, mains > 0)
+            skip, names = is_boilerplate(tag, attrs, mains > 0), boilerplate_names(tag, attrs, mains > 0)
             if tag in INLINE:
                 if tag == "br":
                     stack[-1].parts.append(" ")
-                elif skip and tag not in VOID:
-                    hidden = Element(tag, f"{tag}!", True, True)
+                elif (skip or names) and tag not in VOID:
+                    hidden = Element(tag, f"{tag}!", skip, True, names)
                     stack[-1].parts.append(hidden)
-                    stack.append(hidden)
+                    push(hidden)
                 continue
             if tag in CLOSES_P:
                 close_up_to(("p",), ("article", "section", "div", "td", "li", "body", "main", "aside", "nav", "footer", "header", "table", "form"))
             if tag in SIBLINGS:
-                names, stop_at = SIBLINGS[tag]
-                close_up_to(names.split(), stop_at)
+                before, stop_at = SIBLINGS[tag]
+                close_up_to(before.split(), stop_at)
             name = re.sub(r"\d+", "0", attrs.get("class", "").strip().split(" ")[0])
-            element = Element(tag, f"{tag}.{name}" if name else tag, skip)
+            element = Element(tag, f"{tag}.{name}" if name else tag, skip, False, names)
             stack[-1].parts.append(element)
             if tag not in VOID and found.group(3).rstrip()[-1:] != "/" or tag in MAIN:
                 if len(stack) < DEPTH + 10 * (tag in MAIN):
-                    stack.append(element)
-                    mains += tag in MAIN
+                    push(element)
         elif found.group(0) == "<!--":
             stop = html.find("-->", at)
             at = stop + 3 if stop >= 0 else len(html)
     if at < len(html):
         stack[-1].parts.append(html[at:])
+    for element in named:  # names alone do not drop an article, unless they stand for others' articles beside the page's own
+        if element.holds and not (element.others and own):
+            element.skip = element.inline = False
     return root
 
 
@@ -262,16 +304,21 @@ def main_text(page: Element, wrapper: dict) -> str:
     marked = main_labels(wrapper)
 
     def has_main(element: Element) -> bool:
-        return any(not isinstance(p, str) and not p.skip and (p.tag in MAIN or has_main(p)) for p in element.parts)
+        todo = [element]
+        while todo:
+            for part in todo.pop().parts:
+                if not isinstance(part, str) and not part.skip:
+                    if part.tag in MAIN:
+                        return True
+                    todo.append(part)
+        return False
 
     marked = marked and has_main(page)  # a page without the optional article falls back to its body
 
     def walk(element: Element, slot: dict | None, inside: bool) -> None:
-        texts = []
         fixed = not marked and slot is not None and slot["text"] not in (None, "*") and slot["n"] > 2
         for part in blocks(element):
             if isinstance(part, str):
-                texts.append(part)
                 if inside and not fixed:
                     out.append(part)
             elif not part.skip:

@@ -56,3 +56,13 @@ def test_odd_pages(spark):
     assert [got[i][0] for i in (1, 2, 3, 4, 5, 7, 8, 12)] == ["", "", "plain text", "open", "a", "", "ok", ""]
     assert got[9][0] == " ".join(["word & word"] * 40_000) and got[10][0] == "in" and got[None][0] == "n" and got[11][0] == "a"
     assert texts(spark, []) == {}
+
+
+def test_layout_classes_do_not_drop_content(spark):
+    article = '<article><div class="article-header"><h1>Title</h1></div><div class="header">By</div><p>body {}</p><div class="elementor-widget-text-editor">more</div><div class="widget">w</div></article>'
+    wrapped = ["<div class='content-area has-sidebar'>{}</div>", "<div class=no-sidebar>{}</div>", "<div class=widget>{}</div>", "<span id=sidebar>{}</span>", "<section class=comments>{}</section>"]
+    pages = [(i, f"http://w{i}.org/{j}", f"<body>top{w.format(article.format(j))}end</body>") for i, w in enumerate(wrapped) for j in (0,)]
+    assert {t for t, _ in texts(spark, pages).values()} == {"Title By body 0 more"}
+    comment = "<article class='comment'>mine</article>"
+    beside = [(1, "http://x.org/", article.format(1) + comment), (2, "http://y.org/", comment), (3, "http://z.org/", "<div class='has-sidebar'><p>plain</p></div>")]
+    assert [texts(spark, beside)[i][0] for i in (1, 2, 3)] == ["Title By body 1 more", "mine", "plain"]
