@@ -7,7 +7,7 @@ differ a slot. Merging is associative, so every task folds its pages and the few
 
 Extraction walks a page along its host's wrapper. Boilerplate elements are no content, whatever the page, but a class or id alone
 does not drop an article; if the wrapper has an article, only that is content; without one, texts that are the same on all pages of
-the host are the template's and go.
+the host, at least DISTINCT of them with different content, are the template's and go.
 """
 
 from __future__ import annotations
@@ -45,6 +45,7 @@ OTHERS_NAMES = frozenset("comment comments commentlist disqus recommended relate
 BOILERPLATE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar".split())
 MAIN = ("article", "main")
 DEPTH = 80  # deeper elements are read as children of the element at this depth
+DISTINCT = 3  # pages of different content that must have a text before it is the template's
 
 TOKEN = re.compile(r"""<!--|<[!?][^>]*+>?|</([a-zA-Z][^\s/>]*+)[^>]*+>?|<([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)(>|(?=["'])[^>]*+>?|$)""")
 ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
@@ -205,29 +206,43 @@ def blocks(element: Element) -> Iterator[str | Element]:
         yield text
 
 
-# ---- wrappers: {"n": pages, "opt", "rep", "text": None | digest | "*", "kids": {label: wrapper}, "order": [[label, ...], ...]} ----
+# ---- wrappers: {"pages": digests of up to DISTINCT different contents, "opt", "rep", "text": None | digest | "*", "kids": {label: wrapper}, "order": [[label, ...], ...]} ----
 
 
 def digest(texts: list[str]) -> str | None:
     return blake2b("\n".join(texts).encode("utf-8", "surrogatepass"), digest_size=8).hexdigest() if texts else None
 
 
-def wrapper_of(element: Element) -> dict:
+def wrapper_of(page: Element) -> dict:
     """The expression of one page."""
-    kids: dict[str, dict] = {}
-    sequence, texts = [], []
-    for part in blocks(element):
-        if isinstance(part, str):
-            texts.append(part)
-            continue
-        own = wrapper_of(part) if not part.skip else {"n": 1, "opt": False, "rep": False, "skip": True, "text": None, "kids": {}, "order": []}
-        if part.label in kids:
-            kids[part.label] = merge(kids[part.label], own) | {"n": 1, "rep": True, "text": kids[part.label]["text"] if kids[part.label]["text"] == own["text"] else "*"}
-        else:
-            kids[part.label] = own
-        if not sequence or sequence[-1] != part.label:
-            sequence.append(part.label)
-    return {"n": 1, "opt": False, "rep": False, "skip": element.skip, "text": digest(texts), "kids": kids, "order": ordered([[[label] for label in sequence]])}
+    pages: list[str] = []  # shared by all parts of the expression, known when the page has been read
+    content: list[str] = []
+
+    def expression(element: Element) -> dict:
+        kids: dict[str, dict] = {}
+        sequence, texts = [], []
+        for part in blocks(element):
+            if isinstance(part, str):
+                texts.append(part)
+                content.append(part)
+                continue
+            if part.skip:
+                own = {"pages": pages, "opt": False, "rep": False, "skip": True, "text": None, "kids": {}, "order": []}
+            else:
+                content.append(f"<{part.label}>")
+                own = expression(part)
+                content.append("</>")
+            if part.label in kids:
+                kids[part.label] = merge(kids[part.label], own) | {"rep": True}
+            else:
+                kids[part.label] = own
+            if not sequence or sequence[-1] != part.label:
+                sequence.append(part.label)
+        return {"pages": pages, "opt": False, "rep": False, "skip": element.skip, "text": digest(texts), "kids": kids, "order": ordered([[[label] for label in sequence]])}
+
+    whole = expression(page)
+    pages.append(digest(content) or "")
+    return whole
 
 
 def ordered(streams: list[list[list[str]]]) -> list[list[str]]:
@@ -276,7 +291,7 @@ def merge(a: dict, b: dict) -> dict:
         kids[label] = merge(x, y) if x and y else (x or y) | {"opt": True}
     same = a["text"] == b["text"] and a["text"] != "*"
     return {
-        "n": a["n"] + b["n"], "opt": a["opt"] or b["opt"], "rep": a["rep"] or b["rep"], "skip": a["skip"] and b["skip"],
+        "pages": a["pages"] if a["pages"] == b["pages"] else sorted({*a["pages"], *b["pages"]})[:DISTINCT], "opt": a["opt"] or b["opt"], "rep": a["rep"] or b["rep"], "skip": a["skip"] and b["skip"],
         "text": a["text"] if same else "*", "kids": kids, "order": ordered([a["order"], b["order"]]) if a["order"] != b["order"] else a["order"],
     }
 
@@ -316,7 +331,7 @@ def main_text(page: Element, wrapper: dict) -> str:
     marked = marked and has_main(page)  # a page without the optional article falls back to its body
 
     def walk(element: Element, slot: dict | None, inside: bool) -> None:
-        fixed = not marked and slot is not None and slot["text"] not in (None, "*") and slot["n"] > 2
+        fixed = not marked and slot is not None and slot["text"] not in (None, "*") and len(slot["pages"]) == DISTINCT
         for part in blocks(element):
             if isinstance(part, str):
                 if inside and not fixed:
@@ -358,7 +373,7 @@ def extract_text(pages: DataFrame, key: str = "page_id", url: str = "url", html:
     """One row per page: key, url, text (blocks of the main content joined by one space) and n_chars (code points).
 
     Defined cases: null or empty html gives an empty text; pages without a host form one group; a host with a single page
-    has that page as its wrapper; unclosed elements, comments and quotes end with the page; null keys and repeated rows
+    has that page as its wrapper; copies of a page count once, whatever their number; unclosed elements, comments and quotes end with the page; null keys and repeated rows
     are extracted like any other; an empty table gives no rows.
     """
     source = picked(pages, page_id=key, _url=url, html=html).withColumn("host", host_of(F.col("_url")))

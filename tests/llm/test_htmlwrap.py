@@ -66,3 +66,14 @@ def test_layout_classes_do_not_drop_content(spark):
     comment = "<article class='comment'>mine</article>"
     beside = [(1, "http://x.org/", article.format(1) + comment), (2, "http://y.org/", comment), (3, "http://z.org/", "<div class='has-sidebar'><p>plain</p></div>")]
     assert [texts(spark, beside)[i][0] for i in (1, 2, 3)] == ["Title By body 1 more", "mine", "plain"]
+
+
+def test_copies_of_a_page_are_no_template(spark):
+    page = "<body><h1>Head</h1><div>direct<p>{}</p></div></body>"
+    pages = [(i, "http://three.org/", page.format("x")) for i in range(3)] + [(10 + i, None, page.format("null")) for i in range(4)]
+    pages += [(100 + i, f"http://many.org/{i}", f"<!-- {i} -->" + page.format("y")) for i in range(3000)] + [(5000, "http://many.org/o", "<body><p>other</p></body>")]
+    got = texts(spark, pages)
+    assert got[2][0] == "Head direct x" and got[13][0] == "Head direct null" and got[5000][0] == "other"
+    assert {got[100 + i][0] for i in range(3000)} == {"Head direct y"}
+    same = [(i, "http://t.org/", page.format(f"text {i % 3}")) for i in range(9)]  # three contents, thrice each
+    assert texts(spark, same)[7][0] == "text 1"
