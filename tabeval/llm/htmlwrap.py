@@ -44,7 +44,7 @@ BOILERPLATE_NAMES = frozenset(
 OTHERS_NAMES = frozenset("comment comments commentlist disqus recommended related replies reply responses".split())  # they hold articles that are not the page's
 BOILERPLATE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar".split())
 MAIN = ("article", "main")
-DEPTH = 80  # deeper elements are read as children of the element at this depth
+DEPTH = 80  # deeper elements have no place of their own in a wrapper: their parts belong to the element at this depth
 DISTINCT = 3  # pages of different content that must have a text before it is the template's
 
 TOKEN = re.compile(r"""<!--|<[!?][^>]*+>?|</([a-zA-Z][^\s/>]*+)[^>]*+>?|<([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)(>|(?=["'])[^>]*+>?|$)""")
@@ -78,13 +78,13 @@ class Element:
     """A structural element: label, whether it is boilerplate, and its texts and elements in page order.
 
     ``named`` tells that it is boilerplate by its names only, ``others`` that these stand for other people's articles, ``holds``
-    that it is or has an article or main.
+    that it is or has an article or main, ``deep`` that its parts are read as its parent's.
     """
 
-    __slots__ = ("tag", "label", "skip", "inline", "parts", "named", "others", "holds")
+    __slots__ = ("tag", "label", "skip", "inline", "parts", "named", "others", "holds", "deep")
 
-    def __init__(self, tag: str, label: str, skip: bool, inline: bool = False, names: Iterable[str] = ()):
-        self.tag, self.label, self.skip, self.inline, self.parts = tag, label, skip or bool(names), inline, []
+    def __init__(self, tag: str, label: str, skip: bool, inline: bool = False, names: Iterable[str] = (), deep: bool = False):
+        self.tag, self.label, self.skip, self.inline, self.parts, self.deep = tag, label, skip or bool(names), inline, [], deep
         self.named, self.others, self.holds = bool(names) and not skip, not OTHERS_NAMES.isdisjoint(names), False
 
 
@@ -161,7 +161,7 @@ def parse(html: str) -> Element:
                 if tag == "br":
                     stack[-1].parts.append(" ")
                 elif (skip or names) and tag not in VOID:
-                    hidden = Element(tag, f"{tag}!", skip, True, names)
+                    hidden = Element(tag, f"{tag}!", skip, True, names, len(stack) >= DEPTH)
                     stack[-1].parts.append(hidden)
                     push(hidden)
                 continue
@@ -171,11 +171,11 @@ def parse(html: str) -> Element:
                 before, stop_at = SIBLINGS[tag]
                 close_up_to(before.split(), stop_at)
             name = re.sub(r"\d+", "0", attrs.get("class", "").strip().split(" ")[0])
-            element = Element(tag, f"{tag}.{name}" if name else tag, skip, False, names)
+            # the outermost article has a place of its own at any depth
+            element = Element(tag, f"{tag}.{name}" if name else tag, skip, False, names, len(stack) >= DEPTH and (mains > 0 or tag not in MAIN))
             stack[-1].parts.append(element)
             if tag not in VOID and found.group(3).rstrip()[-1:] != "/" or tag in MAIN:
-                if len(stack) < DEPTH + 10 * (tag in MAIN):
-                    push(element)
+                push(element)
         elif found.group(0) == "<!--":
             stop = html.find("-->", at)
             at = stop + 3 if stop >= 0 else len(html)
@@ -192,18 +192,25 @@ def squeeze(text: str) -> str:
 
 
 def blocks(element: Element) -> Iterator[str | Element]:
-    """The texts of an element between its block children, and these children, in page order."""
-    text = ""
-    for part in element.parts:
-        if isinstance(part, str):
-            text += part
-        elif not part.inline:
-            if text := squeeze(text):
+    """The texts of an element between its block children, and these children, in page order; deep children dissolve."""
+    text, todo = "", [iter(element.parts)]
+    while todo:
+        for part in todo[-1]:
+            if isinstance(part, str):
+                text += part
+            elif not part.inline:
+                if text := squeeze(text):
+                    yield text
+                text = ""
+                if part.deep and not part.skip:
+                    todo.append(iter(part.parts))
+                    break
+                yield part
+        else:
+            todo.pop()
+            if text := squeeze(text):  # the end of a deep child ends a text too
                 yield text
             text = ""
-            yield part
-    if text := squeeze(text):
-        yield text
 
 
 # ---- wrappers: {"pages": digests of up to DISTINCT different contents, "opt", "rep", "text": None | digest | "*", "kids": {label: wrapper}, "order": [[label, ...], ...]} ----

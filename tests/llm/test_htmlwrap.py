@@ -77,3 +77,10 @@ def test_copies_of_a_page_are_no_template(spark):
     assert {got[100 + i][0] for i in range(3000)} == {"Head direct y"}
     same = [(i, "http://t.org/", page.format(f"text {i % 3}")) for i in range(9)]  # three contents, thrice each
     assert texts(spark, same)[7][0] == "text 1"
+
+
+def test_deep_closed_nesting_keeps_what_follows(spark):
+    for n in (100, 5000):
+        deep = "<div><article>" + "<div>" * n + "in<nav>menu<div>m</div></nav><form>f</form>" + "</div>" * n + "<p>tail</p></article></div>"
+        plain = "<body>" + "<div>" * n + "<p>a</p>b<nav>menu</nav>" + "</div>" * n + "<p>tail</p></body>"
+        assert [texts(spark, [(1, "http://a/", deep), (2, "http://b/", plain)])[i][0] for i in (1, 2)] == ["in tail", "a b tail"]
