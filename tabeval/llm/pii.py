@@ -32,7 +32,7 @@ GATE = rf"[@\d]|\b(?:{TITLES_F}|{TITLES_M}|{TITLES})\b|(?:token|secret|passw|key
 GIVEN_F = ["Anna", "Clara", "Diana", "Elena", "Frida", "Greta", "Helen", "Irene", "Julia", "Laura", "Maria", "Nora", "Paula", "Rosa", "Sofia", "Vera"]
 GIVEN_M = ["Adam", "Bruno", "Carl", "David", "Emil", "Felix", "Georg", "Hugo", "Ivan", "James", "Leo", "Martin", "Oscar", "Paul", "Robert", "Victor"]
 SYLLABLES = ["ba", "de", "fi", "go", "hu", "ka", "le", "mi", "no", "pu", "ra", "se", "ti", "vo", "wa", "zen"]
-ROUNDS = 64  # draws for one unit before giving up with an error
+ROUNDS = 3  # draws in the length of the unit; every later draw is longer, so that no space of surrogates is too small
 
 
 def kind_of(mention: Column) -> Column:
@@ -70,17 +70,20 @@ def number_at(noise: Column, place: Column, most: Column | int) -> Column:
 LETTERS = [  # ranges of one script and case that are closed under drawing
     ("a", "z"), ("A", "Z"), ("0", "9"), ("à", "ö"), ("ø", "ý"), ("À", "Ö"), ("Ø", "Ý"), ("а", "я"), ("А", "Я"), ("α", "ρ"), ("σ", "ω"),
     ("א", "ת"), ("ب", "غ"), ("ぁ", "ゖ"), ("ァ", "ヺ"), ("一", "龥"), ("가", "힣"),
+    ("ف", "ي"), ("ա", "ֆ"), ("Ա", "Ֆ"), ("क", "ह"), ("ก", "ฮ"), ("ა", "ჰ"),
 ]
 
 
 def redrawn(text: Column, noise: Column, keep: Column) -> Column:
     """Every letter and digit after the first ``keep`` characters drawn again within its script and case; others stay.
 
-    Noise is refreshed for every 16 places, so long units do not repeat.
+    Letters and digits of no listed script are drawn from a to z (A to Z if upper-case) and 0 to 9. Noise is refreshed for every 16 places, so long units do not repeat.
     """
 
     def by_range(c: Column, value) -> Column:
         out = F.lit(None).cast("bigint")
+        for low, high, others in (("0", "9", r"^\p{N}$"), ("a", "z", r"^\p{L}$"), ("A", "Z", r"^\p{Lu}$")):
+            out = F.when((c > "\x7f") & c.rlike(others), F.lit(value(ord(low), ord(high))).cast("bigint")).otherwise(out)
         for low, high in reversed(LETTERS):
             out = F.when((c >= low) & (c <= high), F.lit(value(ord(low), ord(high))).cast("bigint")).otherwise(out)
         return out
@@ -110,18 +113,25 @@ def syllables(noise: Column, n: Column) -> Column:
     return F.array_join(F.transform(F.sequence(F.lit(1).cast("bigint"), n.cast("bigint")), lambda p: F.element_at(options, (number_at(noise, p, len(SYLLABLES)) + 1).cast("int"))), "")
 
 
+def longer(text: Column, attempt: Column) -> Column:
+    """A text to draw again; after ROUNDS draws its last letter or digit is repeated, two more times for every further draw."""
+    last = F.regexp_extract(text, r"([\p{L}\p{N}])[^\p{L}\p{N}]*$", 1)
+    last = F.when(last == "", "x").otherwise(last)
+    return F.when(attempt > ROUNDS, F.concat(text, F.repeat(last, ((attempt - ROUNDS) * 2).cast("int")))).otherwise(text)
+
+
 def surrogate(kind: Column, unit: Column, attempt: Column, key: str) -> Column:
     """The surrogate of a unit in its canonical spelling."""
     noise = F.sha2(F.concat_ws("\u0001", F.lit(key), kind, unit, attempt.cast("string")), 256)
     domain = F.substring_index(unit, "@", -1)
     shared = F.sha2(F.concat_ws("\u0001", F.lit(key), F.lit("domain"), domain), 256)  # one domain stays one domain
     is_email = kind == "email"
-    parts = F.when(is_email, F.array(F.struct(F.substring_index(unit, "@", 1).alias("t"), noise.alias("n")), F.struct(F.regexp_replace(domain, r"\.[^.]*$", "").alias("t"), shared.alias("n"))))
-    parts = parts.otherwise(F.array(F.struct(unit.alias("t"), noise.alias("n"))))
+    parts = F.when(is_email, F.array(F.struct(longer(F.substring_index(unit, "@", 1), attempt).alias("t"), noise.alias("n")), F.struct(F.regexp_replace(domain, r"\.[^.]*$", "").alias("t"), shared.alias("n"))))
+    parts = parts.otherwise(F.array(F.struct(longer(unit, attempt).alias("t"), noise.alias("n"))))
     keep = F.when(kind == "card", 1).when(kind.isin("iban"), 2).when((kind == "phone") & unit.startswith("+"), 2).otherwise(0)
     fresh = F.array_join(F.transform(parts, lambda p: redrawn(p["t"], p["n"], keep)), "@")  # computed once, whatever the type
-    octets = F.array_join(F.transform(F.split(unit, r"\."), lambda o, i: F.when((i == 0) | (i == 3), number_at(noise, i.cast("bigint"), 254) + 1).otherwise(number_at(noise, i.cast("bigint"), 256)).cast("string")), ".")
-    hexadecimal = F.substring(F.repeat(noise, 64), 1, 4096).substr(F.lit(1), F.length(unit))
+    octets = F.array_join(F.transform(F.split(F.when(attempt > ROUNDS, F.concat(unit, F.repeat(F.lit(".0"), (attempt - ROUNDS).cast("int")))).otherwise(unit), r"\."), lambda o, i: F.when((i == 0) | (i == 3), number_at(noise, i.cast("bigint"), 254) + 1).otherwise(number_at(noise, i.cast("bigint"), 256)).cast("string")), ".")
+    hexadecimal = F.substring(F.repeat(noise, 64), 1, 4096).substr(F.lit(1), F.length(longer(unit, attempt)))
     plain = syllables(noise, attempt + 3)
     latin = unit.rlike(r"^[\p{IsLatin}'’\-]+$")
     cased = F.when(unit.rlike(r"^\p{Lu}{2,}$"), F.upper(plain)).otherwise(F.initcap(plain))
@@ -154,7 +164,7 @@ def attempts(units: DataFrame, key: str) -> DataFrame:
     """
     state = written(units.select("kind", "unit", F.lit(0).alias("attempt")), "units")
     redrawn_some = False
-    for _ in range(ROUNDS):
+    while True:  # draws get longer, so there is always an end
         drawn = state.withColumn("drawn", F.lower(drawn_for(F.col("kind"), F.col("unit"), F.col("attempt"), key)))
         owners = drawn.groupBy("kind", "drawn").agg(F.min(F.struct("attempt", "unit")).alias("owner"), F.count(F.lit(1)).alias("n"))
         shared = drawn.join(owners.where("n > 1"), ["kind", "drawn"]).where(F.col("owner.unit") != F.col("unit")).select("kind", "unit")
@@ -164,8 +174,6 @@ def attempts(units: DataFrame, key: str) -> DataFrame:
             break
         redrawn_some = True
         state = written(state.join(again, ["kind", "unit"], "left").select("kind", "unit", (F.col("attempt") + F.coalesce("more", F.lit(0))).alias("attempt")), "units")
-    else:
-        raise RuntimeError("surrogates still clash")
     return state.where("attempt > 0") if redrawn_some else state.limit(0)
 
 
@@ -173,17 +181,20 @@ def rendered(mention: Column, kind: Column, units: Column) -> Column:
     """A mention with its units' surrogates, in the format of the mention."""
     first = F.element_at(units, 1)
     digits = F.regexp_replace(first, r"[^0-9]", "")
+    # what a longer surrogate has more stands at the end
+    more = digits.substr(F.length(F.regexp_replace(mention, r"[^0-9]", "")) + 1, F.length(digits))
     spread = F.array_join(F.transform(F.split(mention, ""), lambda c, i: F.when(
         c.rlike("^[0-9]$"), digits.substr(F.length(F.regexp_replace(mention.substr(F.lit(1), i + 1), r"[^0-9]", "")), F.lit(1))
     ).otherwise(c)), "")
+    rest = first.substr(F.length(F.regexp_replace(mention, " ", "")) + 1, F.length(first))
     packed = F.array_join(F.transform(F.split(mention, ""), lambda c, i: F.when(
         c != " ", first.substr(F.length(F.regexp_replace(mention.substr(F.lit(1), i + 1), " ", "")), F.lit(1))
     ).otherwise(c)), "")
     title = F.regexp_extract(mention, rf"^(?:{TITLES_F}|{TITLES_M}|{TITLES})\.?[  ]", 0)
     return (
         F.when((kind == "email") & (mention == F.upper(mention)) & (mention != F.lower(mention)), F.upper(first))
-        .when(kind == "name", F.concat(title, F.array_join(units, " "))).when(kind.isin("phone", "ssn", "card"), spread)
-        .when(kind == "iban", packed).otherwise(first)
+        .when(kind == "name", F.concat(title, F.array_join(units, " "))).when(kind.isin("phone", "ssn", "card"), F.concat(spread, more))
+        .when(kind == "iban", F.concat(packed, rest)).otherwise(first)
     )
 
 

@@ -89,3 +89,17 @@ def test_plan_has_no_python(spark):
     frame = spark.createDataFrame([(1, "x@y.org", "k", "u", 3)], SCHEMA)
     plan = pii.pseudonymise(frame, KEY)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan.replace("LogicalRDD", ""))
+
+
+def test_small_spaces_and_other_scripts_get_surrogates(spark):
+    phones = [f"+1{i:04d}" for i in range(5500)]
+    mails = [f"{chr(97 + i)}@q.com" for i in range(26)] + ["Ա@ու.am", "ا@ق.org", "__@1.de"]
+    names = ["Mr Արամ", "Mr Արմեն", "Mrs Ⴀა", "Dr Ⲁⲁ"]
+    secrets = ["password=" + "=" * n for n in range(12, 16)]
+    real = phones + mails + names + secrets
+    frame = spark.createDataFrame(list(enumerate(real)), "doc_id bigint, text string")
+    rows = {r["doc_id"]: r for r in pii.pseudonymise(frame, "k").collect()}
+    shown = [rows[i]["text"] for i in range(len(real))]
+    assert all(rows[i]["n_entities"] == 1 for i in rows) and len(rows) == len(real)
+    assert len(set(shown)) == len(real) and not set(shown) & set(real)
+    assert all(t.startswith("+1") and t[1:].isdigit() for t in shown[:5500]) and all("԰" < t[3] < "֐" for t in shown[5529:5531])
