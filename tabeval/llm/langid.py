@@ -21,7 +21,8 @@ from tabeval.llm.frames import arrow_map, carried, picked
 
 ORDERS = (1, 2, 3)
 SAMPLE_PER_LANGUAGE = 300  # labelled documents the fit may see, a bounded sample
-SAMPLE_CHARS = 20_000  # longer documents are not used for the fit
+SAMPLE_CHARS = 20_000  # of a document the fit may see, from its first letter on
+SAMPLE_TOTAL = 100_000_000  # characters the fit may see; with many languages the excerpts are shorter
 LANDMARKS_PER_LANGUAGE = 32
 MAX_LANGUAGES = 100  # the commonest ones are learned
 RIDGE = 1e-3
@@ -129,17 +130,20 @@ def fit(sample: list[tuple[str, str]]) -> Model | None:
     return model
 
 
-def training_sample(docs: DataFrame, per_language: int) -> list[tuple[str, str]]:
-    """At most about ``per_language`` texts of each language, picked by a hash of the key, so that reruns agree."""
-    usable = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("learn") & (F.length("text") <= SAMPLE_CHARS))
-    counts = {r["lang"]: r["n"] for r in usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()}
+def training_sample(docs: DataFrame, per_language: int, max_languages: int | None = MAX_LANGUAGES, sample_chars: int = SAMPLE_CHARS) -> list[tuple[str, str]]:
+    """Excerpts of at most about ``per_language`` texts of each language, whatever their lengths, picked by a hash of the key, so that reruns agree."""
+    usable = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("learn"))
+    common = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang")
+    counts = {r["lang"]: r["n"] for r in (common if max_languages is None else common.limit(max_languages)).collect()}
     if not counts:
         return []
     # a share per language: the picked rows are a bounded number, whatever the size of the table
     shares = F.element_at(F.create_map(*[F.lit(x) for l, n in counts.items() for x in (l, min(1.0, per_language / n))]), F.col("lang"))
     draw = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(17)), F.lit(1 << 30)) / float(1 << 30)
-    picked_rows = usable.where(draw < shares).select("text", "lang", F.xxhash64("doc_id").alias("h"))
-    rows = picked_rows.orderBy("h", "lang", F.xxhash64("text")).limit(2 * per_language * len(counts)).collect()
+    picked_rows = usable.where(draw < shares).select("text", "lang", F.xxhash64("doc_id").alias("h"), F.xxhash64("text").alias("t"))
+    most = max(1, min(sample_chars, SAMPLE_TOTAL // (per_language * len(counts))))
+    excerpt = F.when(F.length("text") <= most, F.col("text")).otherwise(F.substring(F.regexp_replace("text", r"^[^\p{L}\p{M}]++", ""), 1, most))
+    rows = picked_rows.withColumn("text", excerpt).orderBy("h", "lang", "t").limit(2 * per_language * len(counts)).collect()
     return [(r["text"], r["lang"]) for r in rows]
 
 
@@ -148,18 +152,19 @@ def held_out(key) -> Column:
     return F.coalesce(F.pmod(F.crc32(key.cast("string").cast("binary")), F.lit(3)) == 1, F.lit(True))
 
 
-def identify_languages(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", per_language: int = SAMPLE_PER_LANGUAGE, carry: bool = False) -> DataFrame:
+def identify_languages(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", per_language: int = SAMPLE_PER_LANGUAGE, carry: bool = False, max_languages: int | None = MAX_LANGUAGES, sample_chars: int = SAMPLE_CHARS) -> DataFrame:
     """One row per document: key, held_out, lang_pred, score (0 to 1) and similarity to the nearest landmark.
 
     Learned from documents with a language whose crc32(key as text) mod 3 is not 1 (held_out tells those), from
-    a sample of about ``per_language`` rows per language. Defined cases: a null text or one without a letter is ``und``
+    a sample of about ``per_language`` rows per language. Languages are counted over all of them; the ``max_languages`` commonest are
+    learned (None: all), from at most ``sample_chars`` characters of a text. Defined cases: a null text or one without a letter is ``und``
     with score 0; a null key counts as held out; with nothing to learn from all is ``und``; equal decision values go to
     the language that sorts first; an empty table gives no rows. Only the text decides. ``carry`` adds the document's own
     columns as one struct ``row``, so that a filter needs no join.
     """
     source = picked(docs, doc_id=key, text=text, lang=lang)
     source = source.withColumn("held_out", held_out(F.col("doc_id")))
-    model = fit(training_sample(source.withColumn("learn", ~F.col("held_out")), per_language))
+    model = fit(training_sample(source.withColumn("learn", ~F.col("held_out")), per_language, max_languages, sample_chars))
     shared = source.sparkSession.sparkContext.broadcast(model)
     tables: list[np.ndarray] = []
 

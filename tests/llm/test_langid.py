@@ -59,3 +59,13 @@ def test_long_texts_are_read_to_their_end(spark):
     late = "aba bab " + "cdc dcd dcc cdd ddc ccd " * 20_000
     got = langid.identify_languages(spark.createDataFrame([*[(10 * i + j, *r[1:]) for i, r in enumerate(rows) for j in [0]], (9999, late, None, "", "")], SCHEMA))
     assert {r["doc_id"]: r["lang_pred"] for r in got.collect()}[9999] == "cc"
+
+
+def test_long_documents_are_learned(spark):
+    words = {"xa": "lorem ipsum dolor sit amet ", "xb": "ninde gwok tawa ruku mbele "}
+    long = [(f"k{i}", "1 " * 15_000 * (i % 2) + words[l] * 1000, l) for i, l in enumerate(["xa", "xb"] * 20)]
+    rows = langid.identify_languages(spark.createDataFrame(long, "doc_id string, text string, lang string")).collect()
+    right = {k: l for k, _, l in long}
+    assert len(rows) == 40 and all(r["lang_pred"] == right[r["doc_id"]] for r in rows)
+    only = langid.identify_languages(spark.createDataFrame(long, "doc_id string, text string, lang string"), max_languages=1).collect()
+    assert len({r["lang_pred"] for r in only}) == 1
