@@ -3,8 +3,9 @@
 For every benchmark item all windows of its length are considered. A window is fingerprinted if it holds enough of
 the benchmark's shingles to reach the wanted similarity at all (a necessary condition, so nothing is lost). Its
 fingerprint is looked up in a multi-index: split into blocks, two fingerprints within the radius differ in at most
-radius // blocks bits of some block, and all such block values are indexed. Candidates within the radius are
-verified by the exact similarity of the weighted shingles (weights are the numbers of occurrences).
+radius // blocks bits of some block, and all such block values are indexed. Where a window or an item repeats a
+shingle, the distance tells little: there the candidates are all items that hold one of the window's rarest shingles, of which a
+similar item must have one. Candidates are verified by the exact similarity of the weighted shingles (weights are the numbers of occurrences).
 """
 
 from __future__ import annotations
@@ -56,7 +57,8 @@ class ItemIndex:
         hasher = WordHasher(BREAKS)
         self.words, self.least = words, least
         self.items, self.tables = {}, defaultdict(lambda: defaultdict(list))
-        shingles_by_size = defaultdict(set)
+        shingles_by_size, by_length = defaultdict(set), defaultdict(list)
+        self.repeats: list[bool] = []  # whether an item has a shingle more than once
         for item, text in items:
             hashes = item_words(hasher, text)
             if not len(hashes):
@@ -64,10 +66,13 @@ class ItemIndex:
             run = shingle_run(hashes, words)
             place = len(self.items)
             self.items[place] = (item, fingerprint(run), Counter(run.tolist()))
+            self.repeats.append(len(self.items[place][2]) < len(run))
+            by_length[len(hashes)].append(place)
             shingles_by_size[min(words, len(hashes))].update(run.tolist())
             for block, value in self._near(fingerprint(run)):
                 self.tables[len(hashes)][block, value].append(place)
         self.tables = {n: dict(t) for n, t in self.tables.items()}
+        self.holders = {n: (self._holders(places), self._holders([p for p in places if self.repeats[p]])) for n, places in by_length.items()}
         self.gates = {}
         for size, found in shingles_by_size.items():
             values = np.array(sorted(found), dtype=np.uint64)
@@ -88,6 +93,23 @@ class ItemIndex:
             for mask in masks:
                 yield block, part ^ mask
 
+    def _holders(self, places: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        """Shingles in order, and beside each an item that holds it."""
+        sizes = [len(self.items[p][2]) for p in places]
+        shingles = np.fromiter((s for p in places for s in self.items[p][2]), dtype=np.uint64, count=sum(sizes))
+        order = np.argsort(shingles, kind="stable")
+        return shingles[order], np.repeat(np.array(places, dtype=np.int64), sizes)[order]
+
+    @staticmethod
+    def _sharing(part: np.ndarray, need: int, holders: tuple[np.ndarray, np.ndarray]) -> set[int]:
+        """The items that may share ``need`` of the window's shingles: they hold one of any len(part) - need + 1 of these."""
+        shingles, places = holders
+        if not len(shingles):
+            return set()
+        low, high = np.searchsorted(shingles, part), np.searchsorted(shingles, part, "right")
+        rarest = np.argsort(high - low, kind="stable")[: len(part) - need + 1]
+        return {p for at in rarest.tolist() for p in places[low[at] : high[at]].tolist()}
+
     def _known(self, run: np.ndarray, size: int) -> np.ndarray:
         """Which shingles of a run some item holds."""
         gate, values = self.gates[size]
@@ -113,17 +135,22 @@ class ItemIndex:
                     continue
                 span = n - size + 1  # shingles of a window of n words
                 need = math.ceil(2 * self.least / (1 + self.least) * span - 1e-9)
+                last = run[:0]
                 for start in np.flatnonzero(below[span:] - below[:-span] >= need).tolist():
                     part = run[start : start + span]
-                    mark, weights = fingerprint(part), None
+                    if np.array_equal(part, last):
+                        continue  # a run of one word
+                    mark, last, weights = fingerprint(part), part, None
                     near = {place for key in enumerate(self._blocks(mark)) for place in table.get(key, ())}
+                    near = {place for place in near if (mark ^ self.items[place][1]).bit_count() <= RADIUS}
+                    every, repeating = self.holders[n]
+                    near |= self._sharing(part, need, every if len(np.unique(part)) < span else repeating)
                     for place in near:
-                        item, other, bag = self.items[place]
-                        if (mark ^ other).bit_count() <= RADIUS:
-                            weights = weights or Counter(part.tolist())
-                            score = similarity(weights, bag)
-                            if score >= self.least - 1e-12:
-                                found[item] = max(score, found.get(item, 0.0))
+                        item, _, bag = self.items[place]
+                        weights = weights or Counter(part.tolist())
+                        score = similarity(weights, bag)
+                        if score >= self.least - 1e-12:
+                            found[item] = max(score, found.get(item, 0.0))
         return found
 
 

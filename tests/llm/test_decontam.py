@@ -95,3 +95,16 @@ def test_null_keys_and_empty_tables(spark):
     assert got == [(1, True, [5], 1.0), (1, True, [5], 1.0), (None, True, [5], 1.0)]
     assert [tuple(r) for r in run(spark, [(1, text)], []).collect()] == [(1, False, [], 0.0)]
     assert run(spark, [], [(5, text)]).collect() == []
+
+
+def test_windows_with_repeated_shingles_are_verified_exactly():
+    def best(item, text):
+        index = decontam.ItemIndex([(1, item)], 5, 0.8)
+        return index.matches(decontam.item_words(decontam.WordHasher(decontam.BREAKS), text))
+
+    for run in (11, 16, 22, 33):
+        for seed in range(20):
+            head = " ".join(f"w{seed}x{i}" for i in range(9 * run))
+            repeated, other = " ".join(["zero"] * run), " ".join(f"o{seed}x{i}" for i in range(run))
+            assert best(f"{head} {repeated}", f"{head} {other}").get(1, 0) >= 0.8 and best(f"{head} {other}", f"{head} {repeated}").get(1, 0) >= 0.8
+    assert best("0 " * 50, "0 " * 5000) == {1: 1.0}
