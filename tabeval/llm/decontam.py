@@ -13,6 +13,7 @@ from __future__ import annotations
 import math
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from hashlib import blake2b
 from itertools import combinations
 
 import numpy as np
@@ -26,6 +27,7 @@ from tabeval.llm.words import WordHasher, windows
 BREAKS = tuple(b for b in range(128) if not chr(b).isalnum())  # ASCII that is neither letter nor digit ends a word
 BITS, BLOCKS, RADIUS = 64, 8, 22  # a similarity of 0.8 is about 9.7 +- 2.9 differing bits
 ITEM_BLOCK = 20_000  # items that are broadcast at a time
+ITEM_CHARS = 16_000_000  # and their characters
 GATE = 20  # bits of the shingle gate
 
 
@@ -154,6 +156,20 @@ class ItemIndex:
         return found
 
 
+def item_blocks(items: DataFrame) -> Iterator[list[tuple[int, str]]]:
+    """The benchmark in blocks of at most ITEM_BLOCK items and, but for a longer item, ITEM_CHARS characters; one block at least."""
+    block, chars, given = [], 0, False
+    for row in items.toLocalIterator():
+        size = len(row["text"] or "")
+        if block and (len(block) == ITEM_BLOCK or chars + size > ITEM_CHARS):
+            yield block
+            block, chars, given = [], 0, True
+        block.append((row["item"], row["text"]))
+        chars += size
+    if block or not given:
+        yield block
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", words: int = 5, least: float = 0.8, carry: bool = False) -> DataFrame:
     """One row per document: key, contaminated, items (sorted ids of the items it holds) and best similarity.
 
@@ -163,26 +179,25 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
 
     ``carry`` adds the document's own columns as one struct ``row``, so that a filter needs no join.
 
-    The benchmark is the stated query set. It is broadcast in blocks of ITEM_BLOCK items; a larger one costs one scan per block.
+    The benchmark is the stated query set. It is broadcast in blocks of ITEM_BLOCK items or ITEM_CHARS characters, read one at a time; a larger one costs one scan per block.
     """
     source = picked(docs, doc_id=key, text=text)
-    items = [(row["item"], row["text"]) for row in picked(benchmark, item=item, text=item_text).toLocalIterator()]
     kind = dict(source.dtypes)["doc_id"]
     parts = []
-    for at in range(0, max(1, len(items)), ITEM_BLOCK):
-        shared = source.sparkSession.sparkContext.broadcast(items[at : at + ITEM_BLOCK])
-        step, kinds = _matcher(shared, words, least), f"doc_id {kind}, items array<bigint>, hit boolean, best double"
+    for block in item_blocks(picked(benchmark, item=item, text=item_text)):
+        shared = source.sparkSession.sparkContext.broadcast(block)
+        step, kinds = _matcher(shared, words, least), f"doc_id {kind}, mark string, items array<bigint>, hit boolean, best double"
         with_row = carry and not parts
         parts.append(arrow_map(*carried(docs, key, text, source.columns, {}, step, kinds)) if with_row else arrow_map(source, step, kinds))
     if len(parts) == 1:
         held = parts[0]
-    else:
-        numbered = [p.where("hit") for p in parts[1:]]
-        rest = numbered[0]
-        for p in numbered[1:]:
+    else:  # what a document holds depends on its text only, so the blocks meet by its digest
+        hits = [p.where("hit").select("mark", "items", "best").dropDuplicates(["mark"]) for p in parts[1:]]
+        rest = hits[0]
+        for p in hits[1:]:
             rest = rest.unionByName(p)
-        rest = rest.groupBy("doc_id").agg(F.flatten(F.collect_list("items")).alias("more"), F.max("best").alias("high"))
-        held = parts[0].join(rest, "doc_id", "left").select(
+        rest = rest.groupBy("mark").agg(F.flatten(F.collect_list("items")).alias("more"), F.max("best").alias("high"))
+        held = parts[0].join(rest, "mark", "left").select(
             "doc_id", F.concat("items", F.coalesce("more", F.array().cast("array<bigint>"))).alias("items"),
             (F.col("hit") | F.col("high").isNotNull()).alias("hit"), F.greatest("best", F.coalesce("high", F.lit(0.0))).alias("best"), *(["row"] if carry else []),
         )
@@ -196,9 +211,11 @@ def _matcher(shared, words: int, least: float):
         if not made:
             made.append(ItemIndex(shared.value, words, least))
         hasher = WordHasher(BREAKS)
-        found = [made[0].matches(item_words(hasher, t)) if t else {} for t in batch.column("text").to_pylist()]
+        texts = batch.column("text").to_pylist()
+        found = [made[0].matches(item_words(hasher, t)) if t else {} for t in texts]
         yield {
             "doc_id": batch.column("doc_id"),
+            "mark": [blake2b(t.encode("utf-8", "surrogatepass"), digest_size=16).hexdigest() if t else None for t in texts],
             "items": list_array([np.array([i for i in f if i is not None], dtype=np.int64) for f in found], pa.int64()),
             "hit": [bool(f) for f in found],
             "best": [max(f.values(), default=0.0) for f in found],

@@ -108,3 +108,11 @@ def test_windows_with_repeated_shingles_are_verified_exactly():
             repeated, other = " ".join(["zero"] * run), " ".join(f"o{seed}x{i}" for i in range(run))
             assert best(f"{head} {repeated}", f"{head} {other}").get(1, 0) >= 0.8 and best(f"{head} {other}", f"{head} {repeated}").get(1, 0) >= 0.8
     assert best("0 " * 50, "0 " * 5000) == {1: 1.0}
+
+
+def test_blocks_meet_by_text_also_without_a_key(spark, monkeypatch):
+    monkeypatch.setattr(decontam, "ITEM_CHARS", 60)
+    items = [" ".join(f"i{n}w{k}" for k in range(12)) for n in range(3)]
+    docs = spark.createDataFrame([(None, items[2] + " a"), (None, "clean text"), (None, None), (7, items[1]), (7, items[2] + " " + items[0])], "doc_id bigint, text string")
+    got = decontam.contaminated(docs, spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string"))
+    assert sorted((r["doc_id"] or 0, r["contaminated"], r["items"]) for r in got.collect()) == [(0, False, []), (0, False, []), (0, True, [2]), (7, True, [0, 2]), (7, True, [1])]
