@@ -132,6 +132,11 @@ class ItemIndex:
             if not known.any():
                 continue
             below = np.concatenate([[0], np.cumsum(known)])
+            order = np.argsort(run, kind="stable")
+            same = run[order[1:]] == run[order[:-1]]
+            before = np.full(len(run), -1)
+            before[order[1:][same]] = order[:-1][same]
+            before = np.maximum.accumulate(before)  # a window that ends here and starts there or earlier repeats a shingle
             for n, table in self.tables.items():
                 if min(self.words, n) != size or n > len(hashes):
                     continue
@@ -140,13 +145,14 @@ class ItemIndex:
                 last = run[:0]
                 for start in np.flatnonzero(below[span:] - below[:-span] >= need).tolist():
                     part = run[start : start + span]
-                    if np.array_equal(part, last):
+                    repeated = before[start + span - 1] >= start
+                    if repeated and np.array_equal(part, last):
                         continue  # a run of one word
                     mark, last, weights = fingerprint(part), part, None
                     near = {place for key in enumerate(self._blocks(mark)) for place in table.get(key, ())}
                     near = {place for place in near if (mark ^ self.items[place][1]).bit_count() <= RADIUS}
                     every, repeating = self.holders[n]
-                    near |= self._sharing(part, need, every if len(np.unique(part)) < span else repeating)
+                    near |= self._sharing(part, need, every if repeated else repeating)
                     for place in near:
                         item, _, bag = self.items[place]
                         weights = weights or Counter(part.tolist())
