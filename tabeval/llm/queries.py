@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabeval.llm import ann, decontam, htmlwrap, langid, neardup, pieces, pii, substring, urlfilter, warc
+from tabeval.llm import ann, centroids, decontam, htmlwrap, langid, licenses, neardup, pieces, pii, runs, substring, urlfilter, warc
 from tabeval.llm.stages import PII_KEY, PIECES_MODEL
 
 QUERIES = {}
@@ -174,3 +174,96 @@ def op9(spark, folder):
 @query("op10_html_extraction")
 def op10(spark, folder):
     return htmlwrap.extract_text(table(spark, folder, "pages"))
+
+
+@query("op11_periodic_runs")
+def op11(spark, folder):
+    done = runs.collapse_runs(table(spark, folder, "documents"), loop_tails=True)
+    # the longest run; of equally long ones the first, then the one with the smallest period
+    order = F.transform("runs", lambda r: F.struct(-r["length"], r["start"].alias("start"), r["period"].alias("period"), r["length"].alias("length")))
+    lines = F.transform("runs", lambda r: F.concat(F.array_join(F.array(r["start"], r["length"], r["period"]).cast("array<string>"), ","), F.lit("\n")))
+    told = done.select("doc_id", F.size("runs").cast("bigint").alias("n_runs"), F.array_min(order).alias("top"), F.array_join(lines, "").alias("lines"), "collapsed")
+    return told.select(
+        "doc_id", "n_runs", "top.start", "top.length", "top.period",
+        F.floor(F.lit(1000) * F.col("top.length") / F.col("top.period")).alias("exponent_milli"),
+        F.sha2("lines", 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_sql(rounds: int = 10, k: int = 8) -> str:
+    """Every round as two tables: vectors with their nearest centroid, centroids moved to floors of means."""
+    parts = [f"""
+WITH kept AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64
+), comp AS MATERIALIZED (SELECT vec_id, unnest(range(1, 65)) AS j, unnest(v) AS x FROM kept
+), c0 AS MATERIALIZED (
+  SELECT no, unnest(range(1, 65)) AS j, unnest(v) AS x FROM (
+    SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id::VARCHAR)) - 1 AS no, v FROM kept QUALIFY no < {k})
+)"""]
+    for r in range(rounds + 1):
+        parts.append(f"""
+, d{r} AS MATERIALIZED (
+  SELECT vec_id, (arg_min(no, dist * {k} + no))::INTEGER AS no, min(dist)::BIGINT AS dist FROM (
+    SELECT vec_id, no, sum((comp.x - c.x) * (comp.x - c.x))::BIGINT AS dist FROM comp JOIN c{r} c USING (j) GROUP BY vec_id, no) GROUP BY vec_id
+)""")
+        if r < rounds:
+            parts.append(f"""
+, m{r} AS (
+  SELECT no, j, sum(x)::BIGINT AS s, count(*)::BIGINT AS n FROM comp JOIN d{r} USING (vec_id) GROUP BY no, j
+), c{r + 1} AS MATERIALIZED (
+  SELECT c.no, c.j, coalesce(CASE WHEN s % n < 0 THEN s // n - 1 ELSE s // n END, c.x)::BIGINT AS x FROM c{r} c LEFT JOIN m{r} USING (no, j)
+)""")
+    parts.append(f"""
+SELECT vec_id, no AS cluster, dist AS distance, (sum(dist) OVER (PARTITION BY no))::BIGINT AS cluster_inertia,
+  (sum(dist) OVER ())::BIGINT AS inertia, centroid_sha256
+FROM d{rounds} JOIN (SELECT no, sha256(string_agg(x::VARCHAR, ',' ORDER BY j)) AS centroid_sha256 FROM c{rounds} GROUP BY no) USING (no)
+""")
+    return "".join(parts)
+
+
+@query("op12_centroid_clusters", op12_sql())
+def op12(spark, folder):
+    done = centroids.cluster(table(spark, folder, "embeddings"), k=8, rounds=10, seed=3)
+    return done.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", centroids.digest(F.col("centroid")).alias("centroid_sha256"))
+
+
+def op13_sql() -> str:
+    """Every fit of a template by counting the words in place for all words, without an index of rare ones."""
+    shapes = ", ".join(
+        f"({t}, '{label}', '{passage}', {len(passage.split())}, {len(passage.split()) - licenses.misses(len(passage.split()), licenses.SHARE)})"
+        for t, (label, passage, _) in enumerate(licenses.TEMPLATES)
+    )
+    keys = ", ".join(f"({t}, ' {key} ')" for t, (_, _, phrases) in enumerate(licenses.TEMPLATES) for key in phrases)
+    bases = ", ".join(f"('{phrase}', '{label}', {len(phrase.split())})" for phrase, label in licenses.BASE_PHRASES.items())
+    return f"""
+WITH shape(t, label, passage, n, least) AS (VALUES {shapes}), key(t, phrase) AS (VALUES {keys}), base(phrase, label, k) AS (VALUES {bases}
+), doc AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents
+), word AS (SELECT doc_id, unnest(ws) AS w, unnest(range(0, len(ws))) AS i FROM doc
+), shape_word AS (SELECT t, unnest(string_split(passage, ' ')) AS w, unnest(range(0, n)) AS j FROM shape
+), fit AS (
+  SELECT doc_id, t, i - j AS o, count(*) AS same FROM word JOIN shape_word USING (w) GROUP BY ALL
+), near_ AS (
+  SELECT fit.doc_id, t, label, same / n AS share, ' ' || array_to_string(ws[greatest(o, 0) + 1:o + n], ' ') || ' ' AS stretch
+  FROM fit JOIN shape USING (t) JOIN doc USING (doc_id) WHERE same >= least
+), found AS (
+  SELECT doc_id, label, share FROM near_
+  WHERE NOT EXISTS (SELECT 1 FROM key WHERE key.t = near_.t AND NOT contains(near_.stretch, key.phrase))
+), place AS (
+  SELECT doc_id, i, base.label FROM word JOIN base ON w = string_split(phrase, ' ')[1] JOIN doc USING (doc_id) WHERE array_to_string(ws[i + 1:i + k], ' ') = phrase
+), b AS (
+  SELECT doc_id, count(*) AS n_base, min(i) AS first_word, max(i) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM place GROUP BY doc_id
+), l AS (
+  SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM (SELECT doc_id, label FROM place UNION ALL SELECT doc_id, label FROM found) GROUP BY doc_id
+), s AS (SELECT doc_id, max(share) AS best FROM found GROUP BY doc_id)
+SELECT doc.doc_id, len(ws)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word, last_word::BIGINT AS last_word,
+  coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, (CASE WHEN n_base > 0 THEN 1.0 ELSE coalesce(best, 0.0) END)::DOUBLE AS score
+FROM doc LEFT JOIN b USING (doc_id) LEFT JOIN l USING (doc_id) LEFT JOIN s USING (doc_id)
+"""
+
+
+@query("op13_license_scan", op13_sql())
+def op13(spark, folder):
+    done = licenses.scan(table(spark, folder, "documents"))
+    return done.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
