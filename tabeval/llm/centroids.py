@@ -34,11 +34,16 @@ def starts(vectors: DataFrame, k: int, seed: int) -> list[list[int]]:
     return [r["v"] for r in vectors.select(hashed.alias("h"), "v").orderBy(F.col("h").asc_nulls_last(), "v").limit(k).collect()]
 
 
+def literal(values: Sequence[int]) -> Column:
+    """An array of whole numbers as one literal; as text it is one call to the JVM however long it is."""
+    return F.expr(f"array({', '.join(f'{x}L' for x in values)})")
+
+
 def nearest(v: Column, centroids: Sequence[Sequence[int]]) -> Column:
     """(distance, cluster): squared Euclidean distance to the nearest centroid, ties to the smaller number."""
     options = []
     for number, centroid in enumerate(centroids):
-        squares = F.zip_with(v, F.array(*[F.lit(x).cast("bigint") for x in centroid]), lambda a, b: (a - b) * (a - b))
+        squares = F.zip_with(v, literal(centroid), lambda a, b: (a - b) * (a - b))
         distance = F.aggregate(squares, F.lit(0).cast("bigint"), lambda total, x: total + x)
         options.append(F.struct(distance.alias("distance"), F.lit(number).alias("cluster")))
     return F.array_min(F.array(*options))
@@ -47,8 +52,8 @@ def nearest(v: Column, centroids: Sequence[Sequence[int]]) -> Column:
 def moved(vectors: DataFrame, centroids: list[list[int]]) -> list[list[int]]:
     """Every centroid that has vectors becomes the floor of their mean in each component; the others stay."""
     size = len(centroids[0])
-    placed = vectors.select(nearest(F.col("v"), centroids)["cluster"].alias("cluster"), *[F.get("v", F.lit(j)).alias(f"v{j}") for j in range(size)])
-    sums = placed.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), *[F.sum(f"v{j}").alias(f"v{j}") for j in range(size)])
+    placed = vectors.select(nearest(F.col("v"), centroids)["cluster"].alias("cluster"), "v")
+    sums = placed.groupBy("cluster").agg(F.expr("count(1) AS n"), *[F.expr(f"sum(get(v, {j})) AS v{j}") for j in range(size)])
     out = [list(c) for c in centroids]
     for row in sums.collect():  # one row a centroid
         out[row["cluster"]] = [row[f"v{j}"] // row["n"] for j in range(size)]
@@ -83,7 +88,7 @@ def cluster(rows: DataFrame, key: str = "vec_id", vector: str = "embedding", siz
         return F.get(F.array(*values), F.col(column))
 
     each = of_cluster([F.lit(spread.get(i)).cast("bigint") for i in range(len(centroids))])
-    centre = of_cluster([F.array(*[F.lit(x).cast("bigint") for x in c]) for c in centroids])
+    centre = of_cluster([literal(c) for c in centroids])
     return placed.select(
         F.col("key").alias(key), "cluster", "distance", each.alias("cluster_inertia"),
         F.lit(sum(spread.values())).cast("bigint").alias("inertia"), centre.alias("centroid"),
