@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabeval.functions.fixed import COMPARISON, CORRECT, FAILED
-from tabeval.operators.ranks import with_ordinal
+from tabeval.session import scratch_path, shuffle_partitions
 
 ROW_ID_ROLE = "FilePos"  # fixed value: type name of a row-id column
 INDEX_NAME = "COL1"  # fixed value: name of the CSV index column
@@ -31,8 +33,8 @@ def align(expected: DataFrame, actual: DataFrame) -> tuple[DataFrame, DataFrame]
     names = [f"c{i}" for i in range(len(expected.columns))]
 
     def typed(df: DataFrame, other: DataFrame) -> DataFrame:
-        """A column without a type, which holds only nulls, takes the type of its partner."""
-        kinds = [b if a == "void" else a for (_, a), (_, b) in zip(df.dtypes, other.dtypes)]
+        """A column without a type, which holds only nulls, takes the type of its partner; truth values beside numbers are 0 and 1."""
+        kinds = [b if a == "void" else "int" if a == "boolean" and is_numeric(b) else a for (_, a), (_, b) in zip(df.dtypes, other.dtypes)]
         return df.toDF(*names).select(*[F.col(c).cast("string" if k == "void" else k).alias(c) for c, k in zip(names, kinds)])
 
     return typed(expected, actual), typed(actual, expected)
@@ -71,14 +73,14 @@ def drop_all_null(df: DataFrame) -> DataFrame:
     return placed.select(*[c for c, _ in kept]).toDF(*[name for _, name in kept])
 
 
+def _filled(name: str, kind: str, texts: Sequence[str]) -> Column:
+    column = F.col(f"`{name}`")
+    return F.when(~column.isin(*texts), column) if kind == "string" else column
+
+
 def normalize_missing(df: DataFrame, texts: Sequence[str] = MISSING_TEXTS) -> DataFrame:
     """Texts that stand for a missing cell become null."""
-    return df.select(
-        *[
-            F.when(~F.col(f"`{c}`").isin(*texts), F.col(f"`{c}`")).alias(c) if kind == "string" else F.col(f"`{c}`")
-            for c, kind in df.dtypes
-        ]
-    )
+    return df.select(*[_filled(c, kind, texts).alias(c) for c, kind in df.dtypes])
 
 
 def _any_row(df: DataFrame) -> bool:
@@ -105,12 +107,21 @@ def bag_differences(expected: DataFrame, actual: DataFrame) -> DataFrame:
     return counted.select(*expected.columns, side.alias("side"), F.abs("_n").alias("surplus"))
 
 
-def _bag_facts(expected: DataFrame, actual: DataFrame) -> tuple[int, bool]:
-    """How many rows the first side has more, and whether the bags are equal; one pass over both."""
-    sides = expected.withColumn("_n", F.lit(1)).unionAll(actual.withColumn("_n", F.lit(-1)))
-    counted = sides.groupBy(*expected.columns).agg(F.sum("_n").alias("_n"))
-    facts = counted.agg(F.sum("_n").alias("more"), F.count_if(F.col("_n") != 0).alias("different")).first()
-    return facts["more"] or 0, not facts["different"]
+def _net_hash(columns: Sequence[str]) -> Column:
+    """The sum of row hashes, those of the second side subtracted; other than 0 only if the bags differ."""
+    return F.sum(F.xxhash64(*columns).cast("decimal(38,0)") * F.col("_n"))
+
+
+def _first_facts(expected: DataFrame, actual: DataFrame, texts: Sequence[str], exact: Sequence[str]) -> dict:
+    """What one pass over both sides tells: their rows, how many the first has more, and whether the bags certainly differ -
+    as they are, with missing cells of the second side normalized, and so in the columns that have no tolerance."""
+    names = expected.columns
+    left = expected.select(*names, *[F.col(c).alias(f"n_{c}") for c in names], F.lit(1).alias("_n"))
+    right = actual.select(*names, *[_filled(c, kind, texts).alias(f"n_{c}") for c, kind in actual.dtypes], F.lit(-1).alias("_n"))
+    facts = {"rows": F.count(F.lit(1)), "more": F.sum("_n"), "bag": _net_hash(names), "normalized": _net_hash([f"n_{c}" for c in names])}
+    if exact:
+        facts["exact"] = _net_hash([f"n_{c}" for c in exact])
+    return left.unionAll(right).agg(*[F.coalesce(v, F.lit(0)).alias(k) for k, v in facts.items()]).first().asDict()
 
 
 def equal_bag(expected: DataFrame, actual: DataFrame) -> bool:
@@ -118,24 +129,60 @@ def equal_bag(expected: DataFrame, actual: DataFrame) -> bool:
 
 
 def _close(a: Column, b: Column, rtol: float, atol: float) -> Column:
-    return F.abs(a.cast("double") - b.cast("double")) <= F.lit(atol) + F.lit(rtol) * F.abs(b.cast("double"))
+    """Equal numbers, infinite ones too, or finite ones within the tolerance; NaN is close to nothing."""
+    a, b = a.cast("double"), b.cast("double")
+    finite = (F.abs(a) < float("inf")) & (F.abs(b) < float("inf"))  # NaN is larger than any number
+    return F.when(finite, F.abs(a - b) <= F.lit(atol) + F.lit(rtol) * F.abs(b)).otherwise((a == b) & ~F.isnan(a))
+
+
+SALTS = 1024
+RANGE_ROWS, LEAST_RANGE_ROWS = 500_000, 20_000  # rows of both sides that one range holds, about
 
 
-def _ordered_for_pairing(df: DataFrame) -> DataFrame:
-    """Rows numbered in the order of all columns. Equal rows are told apart by a salt, so that a
-    row with very many copies is spread over several ranges; their mutual order does not matter."""
-    salted = df.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(1024)))
-    return with_ordinal(salted, [F.col(c) for c in df.columns] + [F.col("_salt")], name="_place").drop("_salt")
+def _placed(expected: DataFrame, actual: DataFrame, size: int) -> DataFrame:
+    """The rows of both sides (``_side`` 0 and 1) with their place in the order of all columns of their side.
 
+    Both sides are cut into the same ranges and sorted there; a place is the place inside the range and the number of rows of
+    the side in earlier ranges. Equal rows are told apart by a salt, so that a row with very many copies
+    is spread over several ranges; their mutual order does not matter. The ranges are kept as a written table:
+    a row must not change its place when a task runs again.
+    """
+    spark = expected.sparkSession
+    columns = expected.columns
+    salt = F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).alias("_salt")
+    sides = expected.select("*", F.lit(0).alias("_side"), salt).unionAll(actual.select("*", F.lit(1).alias("_side"), salt))
+    path = scratch_path(spark, "paired")
+    ranges = max(1, math.ceil(size / RANGE_ROWS), min(shuffle_partitions(spark), math.ceil(size / LEAST_RANGE_ROWS)))
+    ordered = (
+        sides.repartitionByRange(ranges, *columns, "_salt")
+        .sortWithinPartitions("_side", *columns, "_salt")
+        .select("_side", *columns, F.monotonically_increasing_id().alias("_id"))
+    )
+    ordered.write.parquet(path)
+    rows = spark.read.schema(ordered.schema).parquet(path).withColumn("_range", F.shiftright("_id", 33))
+    pieces = rows.groupBy("_side", "_range").agg(F.count(F.lit(1)).alias("_rows"), F.min("_id").alias("_first"))
+    earlier = Window.partitionBy("_side").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # a row a range
+    pieces = pieces.select("_side", "_range", (F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift"))
+    return rows.join(pieces, ["_side", "_range"]).select("_side", (F.col("_id") + F.col("_shift")).alias("_place"), *columns)
 
-def tolerant_differences(expected: DataFrame, actual: DataFrame, rtol: float = RTOL, atol: float = ATOL, nulls_equal: bool = False) -> DataFrame:
-    """Sorts both sides by all columns and pairs them by place; numbers may differ a little, nulls are not equal."""
+
+def tolerant_differences(
+    expected: DataFrame, actual: DataFrame, rtol: float = RTOL, atol: float = ATOL, nulls_equal: bool = False, rows: int | None = None
+) -> DataFrame:
+    """Sorts both sides by all columns and pairs them by place; numbers may differ a little, nulls are not equal.
+
+    The columns of a side have names of their own and pair by position. Infinite numbers are close to themselves only, NaN to
+    nothing. ``rows`` is the number of rows of both sides, if the caller knows it.
+    """
+    rows = expected.count() + actual.count() if rows is None else rows
     numeric = {c for (c, a), (_, b) in zip(expected.dtypes, actual.dtypes) if is_numeric(a) and is_numeric(b)}
-    left = _ordered_for_pairing(expected).select("_place", *[F.col(c).alias(f"e_{c}") for c in expected.columns])
-    right = _ordered_for_pairing(actual).select("_place", *[F.col(c).alias(f"a_{c}") for c in actual.columns])
+    kinds = dict(expected.dtypes), {c: b for c, (_, b) in zip(expected.columns, actual.dtypes)}
+    placed = _placed(expected, actual.toDF(*expected.columns), rows)
+    left = placed.where("_side = 0").select("_place", *[F.col(c).cast(kinds[0][c]).alias(f"e_{c}") for c in expected.columns])
+    right = placed.where("_side = 1").select("_place", *[F.col(c).cast(kinds[1][c]).alias(f"a_{d}") for c, d in zip(expected.columns, actual.columns)])
     same = []
-    for c in expected.columns:
-        e, a = F.col(f"e_{c}"), F.col(f"a_{c}")
+    for c, d in zip(expected.columns, actual.columns):
+        e, a = F.col(f"e_{c}"), F.col(f"a_{d}")
         equal = _close(e, a, rtol, atol) if c in numeric else e == a
         equal = F.coalesce(equal, F.lit(False))
         same.append(equal | (e.isNull() & a.isNull()) if nulls_equal else equal)
@@ -143,17 +190,19 @@ def tolerant_differences(expected: DataFrame, actual: DataFrame, rtol: float = R
 
 
 def equal_tolerant(expected: DataFrame, actual: DataFrame, rtol: float = RTOL, atol: float = ATOL, nulls_equal: bool = False) -> bool:
-    if expected.count() != actual.count():
+    n = expected.count()
+    if n != actual.count():
         return False
-    return not _any_row(tolerant_differences(expected, actual, rtol, atol, nulls_equal))
+    return not _any_row(tolerant_differences(expected, actual, rtol, atol, nulls_equal, 2 * n))
 
 
 def compare(expected: DataFrame, actual: DataFrame | None, place: str | None = None, problem: str | None = None) -> tuple[str, str | None]:
     """Verdict and problem: ``correct``, ``comparison`` (other results) or ``error`` (no result).
 
-    Tries, in this order: equal at every place (when a place column is given), equal as bags, equal as bags after empty
-    records of the actual side became null, equal within the tolerance. Later tries only run when earlier ones fail, and
-    none once the numbers of rows differ. Sorting is needed only if all other columns agree as bags.
+    Correct are results that are equal as bags - those equal at every place are -, equal as bags after empty records of the
+    actual side became null, or equal within the tolerance. One pass over both sides tells what is left to try: hashes that
+    differ show different bags, hashes that agree are confirmed row by row. ``place``, a column with the order of rows, is no part of
+    the result. Sorting is needed only if the columns without a tolerance agree as bags.
     """
     if problem is not None or actual is None:
         return FAILED, problem
@@ -161,30 +210,28 @@ def compare(expected: DataFrame, actual: DataFrame | None, place: str | None = N
         return FAILED, "empty response"
     plain = (expected, actual) if place is None else (expected.drop(place), actual.drop(place))
     aligned = align(*plain) or align(drop_all_null(plain[0]), plain[1])
-    if aligned is None:
+    if aligned is None or not same_kinds(*aligned):
         return COMPARISON, None
-    left, right = aligned
-    if not same_kinds(left, right):
-        return COMPARISON, None
-    if place is not None and left.columns and len(plain[0].columns) == len(left.columns):
-        names = left.columns
-        numbered = [df.select(F.col(place), *[F.col(f"`{c}`") for c in df.columns if c != place]).toDF(place, *names) for df in (expected, actual)]
-        if equal_ordered(*numbered, place):
-            return CORRECT, None
-    left, right = _comparable(left), _comparable(right)
-    more, same = _bag_facts(left, right)
-    if same:
-        return CORRECT, None
-    if more:
+    left, right = (_comparable(df) for df in aligned)
+    if not left.columns:
+        return (CORRECT if left.count() == right.count() else COMPARISON), None
+    filled = normalize_missing(right, EMPTY_RECORD)  # the same as before where no column is text
+    exact = [c for (c, a), (_, b) in zip(left.dtypes, right.dtypes) if not (is_numeric(a) and is_numeric(b))]
+    facts = _first_facts(left, right, EMPTY_RECORD, exact)
+    if facts["more"]:
         return COMPARISON, None
-    if any(kind == "string" for _, kind in right.dtypes):
-        right = normalize_missing(right, EMPTY_RECORD)
-        if _bag_facts(left, right)[1]:
+    for name, other in (("bag", right), ("normalized", filled)):
+        if not facts[name] and equal_bag(left, other):
             return CORRECT, None
-    exact = [c for (c, a), (_, b) in zip(left.dtypes, right.dtypes) if not (is_numeric(a) and is_numeric(b))]
-    if len(exact) == len(left.columns) or exact and not _bag_facts(left.select(*exact), right.select(*exact))[1]:
+    if len(exact) == len(left.columns) or facts.get("exact"):
         return COMPARISON, None
-    return (COMPARISON if _any_row(tolerant_differences(left, right)) else CORRECT), None
+    return (COMPARISON if _any_row(tolerant_differences(left, filled, rows=facts["rows"])) else CORRECT), None
+
+
+def compare_all(cases: dict[str, tuple], parallelism: int = 8) -> dict[str, tuple[str, str | None]]:
+    """The verdict of every case (expected, actual[, place[, problem]]); a few are compared side by side."""
+    with ThreadPoolExecutor(parallelism) as pool:
+        return dict(zip(cases, pool.map(lambda case: compare(*case), cases.values())))
 
 
 def _comparable(df: DataFrame) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Training, tuning and applying models as Spark jobs."""
+"""Training, tuning and applying models as Spark jobs. Neighbours are in ``neighbours``, sweeps in ``sweep``."""
 
 from __future__ import annotations
 
@@ -6,24 +6,23 @@ import math
 import random
 import time
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from inspect import signature
 
-import numpy as np
-import pandas as pd
 from pyspark.ml import Estimator, Model, Pipeline
 from pyspark.ml import classification as mlc
 from pyspark.ml import regression as mlr
 from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.feature import Imputer, MinMaxScaler, OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabeval.functions.probs import argmax, softmax
+from tabeval.operators.neighbours import NeighboursClassifier
 from tabeval.operators.preprocess import unshift_outputs
-from tabeval.operators.ranks import first_per_group
+from tabeval.session import scratch_path
 
 FEATURES, LABEL = "features", "y"
 
@@ -54,10 +53,10 @@ def logistic(n_rows: int = 1, penalty: str = "l2", C: float = 1.0, max_iter: int
     )
 
 
-def random_forest(n_rows: int = 1, n_estimators: int = 100, max_depth: int = 10, min_samples_split: int = 2, seed: int = 0) -> Estimator:
+def random_forest(n_rows: int = 1, n_estimators: int = 100, max_depth: int = 10, min_samples_split: int = 2, max_features: str = "sqrt", seed: int = 0) -> Estimator:
     return mlc.RandomForestClassifier(
         featuresCol=FEATURES, labelCol=LABEL, numTrees=n_estimators, maxDepth=min(max_depth, 30),
-        minInstancesPerNode=max(1, min_samples_split // 2), featureSubsetStrategy="sqrt", seed=seed,
+        minInstancesPerNode=max(1, min_samples_split // 2), featureSubsetStrategy=max_features, seed=seed,
     )
 
 
@@ -88,6 +87,10 @@ def perceptron(n_rows: int = 1, layers: Sequence[int] = (10, 16, 2), max_iter: i
     return mlc.MultilayerPerceptronClassifier(featuresCol=FEATURES, labelCol=LABEL, layers=list(layers), maxIter=max_iter, seed=0)
 
 
+def neighbours(n_rows: int = 1, n_neighbors: int = 5, classes: int = 2) -> Estimator:
+    return NeighboursClassifier(k=n_neighbors, classes=classes, features=FEATURES, label=LABEL)
+
+
 def _log_uniform(low: float, high: float) -> Callable[[random.Random], float]:
     return lambda r: math.exp(r.uniform(low, high))
 
@@ -107,6 +110,7 @@ MODELS: dict[str, ModelSpec] = {
         random_forest, one_hot=False, scale=False,
         space={
             "n_estimators": lambda r: r.randrange(20, 200),
+            "max_features": lambda r: r.choice(["auto", "sqrt"]),
             "max_depth": lambda r: r.randrange(1, 45),
             "min_samples_split": lambda r: r.choice([5, 10]),
         },
@@ -115,6 +119,7 @@ MODELS: dict[str, ModelSpec] = {
     "svm": ModelSpec(linear_svm, space={"C": lambda r: r.choice([0.1, 1, 10, 100])}),
     "ridge": ModelSpec(ridge, space={"alpha": lambda r: r.choice([0.1, 1.0, 10.0]), "fit_intercept": lambda r: r.choice([True, False])}),
     "perceptron": ModelSpec(perceptron),
+    "neighbours": ModelSpec(neighbours, space={"n_neighbors": lambda r: r.randrange(1, 16)}),
 }
 
 
@@ -138,9 +143,9 @@ def preparation(numeric: Sequence[str], categorical: Sequence[str], spec: ModelS
 
 
 def train_facts(train: DataFrame, label: str = LABEL) -> dict[str, float]:
-    """What penalties are scaled by: the number of training rows and the deviation of the label."""
-    row = train.agg(F.count(F.lit(1)).alias("n_rows"), F.stddev_pop(label).alias("label_std")).first()
-    return {"n_rows": row["n_rows"], "label_std": row["label_std"] or 1.0}
+    """What models ask for: the number of training rows, the deviation of the label, and how many classes label codes stand for."""
+    row = train.agg(F.count(F.lit(1)).alias("n_rows"), F.stddev_pop(label).alias("label_std"), F.max(label).alias("top")).first()
+    return {"n_rows": row["n_rows"], "label_std": row["label_std"] or 1.0, "classes": max(2, int(row["top"] or 0) + 1)}
 
 
 def pipeline(name: str, numeric: Sequence[str], categorical: Sequence[str] = (), facts: dict | None = None, **params) -> Pipeline:
@@ -180,6 +185,24 @@ class SearchResult:
     best_score: float
     tried: int
     fit_seconds: float
+    scores: list[tuple[dict, float | None]] = field(default_factory=list)  # every set with its score, the default one first
+
+
+def prepared_folds(
+    train: DataFrame, numeric: Sequence[str], categorical: Sequence[str], spec: ModelSpec, folds: int, seed: int = 0, fold_column: str = ""
+) -> list[tuple[DataFrame, DataFrame]]:
+    """For each fold the other rows and its own, prepared by what was fitted on the other rows; written once."""
+    number = F.col(fold_column) if fold_column else F.pmod(F.xxhash64(*numeric, *categorical, LABEL, F.lit(seed)), F.lit(folds))
+    rows = train.select(*numeric, *categorical, LABEL, number.cast("int").alias("_fold"))
+    path = scratch_path(train.sparkSession, "folds")
+
+    def prepare(fold: int) -> tuple[DataFrame, DataFrame]:
+        fitted = Pipeline(stages=preparation(numeric, categorical, spec)).fit(rows.where(F.col("_fold") != fold))
+        fitted.transform(rows).select(FEATURES, LABEL, (F.col("_fold") == fold).alias("held_out")).write.parquet(f"{path}/{fold}")
+        ready = train.sparkSession.read.parquet(f"{path}/{fold}")
+        return ready.where("not held_out"), ready.where("held_out")
+
+    return [prepare(fold) for fold in range(folds)]
 
 
 def random_search(
@@ -189,113 +212,42 @@ def random_search(
     """Random hyper-parameters under a time budget, scored by cross-validation.
 
     The default parameters are kept unless a sampled set scores better; the winner is fitted once more on
-    all training rows. ``parallelism`` sets are scored side by side, and the clock is checked between batches.
+    all training rows. Inputs are prepared once per fold; a set refits the model alone. ``parallelism`` fits go side by side,
+    and the clock is checked between batches. A set that cannot be fitted does not count.
     """
     rng = random.Random(seed)
     started = time.monotonic()
-    facts = train_facts(train)
-    base = pipeline(name, numeric, categorical, facts)
-
-    def scores(batch: list[dict]) -> list[float | None]:
-        stages = [pipeline(name, numeric, categorical, facts, **params).getStages() for params in batch]
-        validator = CrossValidator(
-            estimator=base, estimatorParamMaps=[{base.stages: s} for s in stages], evaluator=evaluator,
-            numFolds=folds, seed=seed, parallelism=parallelism, foldCol=fold_column,
-        )
+    spec, facts = MODELS[name], train_facts(train)
+    asked = {k: v for k, v in facts.items() if k in signature(spec.build).parameters}
+    parts = prepared_folds(train, numeric, categorical, spec, folds, seed, fold_column)
+
+    def score(params: dict) -> float | None:
         try:
-            return [float(x) for x in validator.fit(train).avgMetrics]
-        except Exception:  # find the set that cannot be fitted; it does not count
-            return [None] if len(batch) == 1 else [score for params in batch for score in scores([params])]
+            return sum(evaluator.evaluate(spec.build(**{**asked, **params}).fit(rows).transform(held)) for rows, held in parts) / folds
+        except Exception:
+            return None
 
     def sample(count: int) -> list[dict]:
-        return [{key: draw(rng) for key, draw in MODELS[name].space.items()} for _ in range(count)]
-
-    sampled = max_evals if MODELS[name].space else 0
-    batch = [{}, *sample(min(parallelism - 1, sampled))]
-    tried = len(batch) - 1
-    found = list(zip(batch, scores(batch)))
-    while tried < sampled and time.monotonic() - started < budget_s:
-        batch = sample(min(parallelism, sampled - tried))
-        tried += len(batch)
-        found += zip(batch, scores(batch))
-    scored = [(params, score) for params, score in found if score is not None]
+        return [{key: draw(rng) for key, draw in spec.space.items()} for _ in range(count)]
+
+    sampled = max_evals if spec.space else 0
+    with ThreadPoolExecutor(parallelism) as pool:
+        batch = [{}, *sample(min(parallelism - 1, sampled))]
+        tried = len(batch) - 1
+        found = list(zip(batch, pool.map(score, batch)))
+        while tried < sampled and time.monotonic() - started < budget_s:
+            batch = sample(min(parallelism, sampled - tried))
+            tried += len(batch)
+            found += zip(batch, pool.map(score, batch))
+    scored = [(params, value) for params, value in found if value is not None]
+    if not scored:
+        raise ValueError(f"{name} cannot be fitted with any parameters")
     sign = 1.0 if evaluator.isLargerBetter() else -1.0
     best_params, best = max(scored, key=lambda x: sign * x[1])  # the first of equals, so the default stays on a tie
     fit_started = time.monotonic()
     model = pipeline(name, numeric, categorical, facts, **best_params).fit(train)
     default = found[0][1] if found[0][1] is not None else float("nan")
-    return SearchResult(model, best_params, default, best, tried, time.monotonic() - fit_started)
-
-
-# ---- nearest neighbours -------------------------------------------------------------------------------
-
-BLOCK_ROWS = 5_000  # rows of either side that meet in one task
-
-
-def _nearest(queries: np.ndarray, points: np.ndarray, keys: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For each query the positions and exact distances of its k nearest points, ties by key."""
-    found = []
-    norms = (points * points).sum(axis=1)
-    for start in range(0, len(queries), 256):
-        part = queries[start : start + 256]
-        rough = (part * part).sum(axis=1)[:, None] + norms[None, :] - 2.0 * (part @ points.T)
-        kth = np.partition(rough, min(k, len(points)) - 1, axis=1)[:, min(k, len(points)) - 1]
-        # the fast distances carry rounding errors: keep whatever could be among the k nearest, then measure exactly
-        slack = 1e-9 * (1.0 + np.abs(rough).max(axis=1))
-        for row, query in enumerate(part):
-            near = np.nonzero(rough[row] <= kth[row] + slack[row])[0]
-            exact = ((points[near] - query) ** 2).sum(axis=1)
-            order = np.lexsort((keys[near], exact))[:k]
-            found.append((near[order], exact[order]))
-    return found
-
-
-def nearest_neighbours(train: DataFrame, test: DataFrame, key: str, features: str, label: str, k: int = 5, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """The exact k nearest training rows of every test row: (key, place, neighbour, distance, label).
-
-    Both sides are cut into blocks of bounded size. Every task compares one block with one other and passes
-    on k rows per test row, from which the final k are taken.
-    """
-    chunks = max(1, math.ceil(test.count() / block_rows))
-    blocks = max(1, math.ceil(train.count() / block_rows))
-
-    def number(n: int) -> Column:
-        return F.pmod(F.xxhash64(key), F.lit(n))
-
-    def every(n: int) -> Column:
-        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)).cast("array<bigint>"))
-
-    left = test.select(F.col(key), F.col(features).cast("array<double>").alias("q"), number(chunks).alias("chunk"), every(blocks).alias("block"))
-    right = train.select(
-        F.col(key).alias("neighbour"), F.col(features).cast("array<double>").alias("p"), F.col(label).alias("label"),
-        F.pmod(F.xxhash64(key), F.lit(blocks)).alias("block"), every(chunks).alias("chunk"),
-    )
-    kinds = dict(test.dtypes) | {"label": dict(train.dtypes)[label]}
-
-    def compare(queries: pd.DataFrame, points: pd.DataFrame) -> pd.DataFrame:
-        out = {key: [], "neighbour": [], "distance": [], "label": []}
-        if len(queries) and len(points):
-            ids, labels = points["neighbour"].to_numpy(), points["label"].to_numpy()
-            results = _nearest(np.stack(queries["q"].to_numpy()), np.stack(points["p"].to_numpy()), ids, k)
-            for query, (near, distances) in zip(queries[key], results):
-                out[key] += [query] * len(near)
-                out["neighbour"] += list(ids[near])
-                out["distance"] += list(np.sqrt(distances))
-                out["label"] += list(labels[near])
-        return pd.DataFrame(out)
-
-    schema = f"`{key}` {kinds[key]}, neighbour {kinds[key]}, distance double, label {kinds['label']}"
-    best = left.groupBy("chunk", "block").cogroup(right.groupBy("chunk", "block")).applyInPandas(compare, schema)
-    return first_per_group(best, [key], [F.col("distance"), F.col("neighbour")], k)
-
-
-def knn_classify(train: DataFrame, test: DataFrame, key: str, features: str, label: str, k: int = 5, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """The label most of the k nearest rows have, the smaller label on a tie, and its share of the votes."""
-    votes = nearest_neighbours(train, test, key, features, label, k, block_rows).groupBy(key, "label").agg(F.count(F.lit(1)).alias("votes"))
-    ballot = F.struct(F.col("votes"), (-F.col("label")).alias("minus"))
-    return votes.groupBy(key).agg(F.max(ballot).alias("top"), F.sum("votes").alias("n")).select(
-        key, (-F.col("top.minus")).alias("predicted"), (F.col("top.votes") / F.col("n")).alias("share")
-    )
+    return SearchResult(model, best_params, default, best, tried, time.monotonic() - fit_started, found)
 
 
 # ---- ensembles ----------------------------------------------------------------------------------------
@@ -319,99 +271,3 @@ def predict(df: DataFrame, probs: str = "probs", classes: Sequence | None = None
     place = argmax(F.col(probs))
     winner = place if classes is None else F.get(F.array(*[F.lit(c) for c in classes]), place)
     return df.withColumns({"predicted": winner, "winning_probability": F.array_max(probs)})
-
-
-# ---- sweeps -------------------------------------------------------------------------------------------
-
-
-def _one_hot_targets(y: np.ndarray, classes: int) -> np.ndarray:
-    return np.eye(classes)[y]
-
-
-def _small_ridge(x: np.ndarray, y: np.ndarray, test: np.ndarray, classes: int) -> np.ndarray:
-    """Ridge regression on the one-hot labels, as probabilities."""
-    mean, std = x.mean(axis=0), x.std(axis=0) + 1e-6
-    a = np.hstack([(x - mean) / std, np.ones((len(x), 1))])
-    w = np.linalg.solve(a.T @ a + np.eye(a.shape[1]), a.T @ _one_hot_targets(y, classes))
-    scores = np.hstack([(test - mean) / std, np.ones((len(test), 1))]) @ w
-    raised = np.exp(scores - scores.max(axis=1, keepdims=True))
-    return raised / raised.sum(axis=1, keepdims=True)
-
-
-def _small_knn(x: np.ndarray, y: np.ndarray, test: np.ndarray, classes: int, k: int = 5) -> np.ndarray:
-    low, width = x.min(axis=0), np.ptp(x, axis=0)
-    width[width == 0] = 1.0
-    results = _nearest((test - low) / width, (x - low) / width, np.arange(len(x)), k)
-    return np.stack([_one_hot_targets(y[near], classes).mean(axis=0) for near, _ in results])
-
-
-def _small_prior(x: np.ndarray, y: np.ndarray, test: np.ndarray, classes: int) -> np.ndarray:
-    return np.tile(_one_hot_targets(y, classes).mean(axis=0), (len(test), 1))
-
-
-SMALL_MODELS = {"ridge": _small_ridge, "knn": _small_knn, "prior": _small_prior}
-
-
-def sweep_windows(windows: DataFrame, dataset: str, methods: Sequence[str] = tuple(SMALL_MODELS)) -> DataFrame:
-    """Every method on the window of every dataset: predictions (dataset, method, split, place, y, probs, time_s).
-
-    ``windows`` has features, y, split, place and part; a window is bounded (WINDOW_ROWS), so one task
-    fits one dataset, split and method. A method that fails on a dataset is skipped.
-    """
-    kind = dict(windows.dtypes)[dataset]
-    schema = f"`{dataset}` {kind}, method string, split int, place bigint, y int, probs array<double>, time_s double"
-    rows = windows.withColumn("method", F.explode(F.array(*[F.lit(m) for m in methods])))
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({c: [] for c in (dataset, "method", "split", "place", "y", "probs", "time_s")})
-        train, test = pdf[pdf["part"] == "train"].sort_values("place"), pdf[pdf["part"] == "test"].sort_values("place")
-        labels = {c: i for i, c in enumerate(sorted(pdf["y"].unique()))}
-        method = pdf["method"].iloc[0]
-        try:
-            started = time.monotonic()
-            probs = SMALL_MODELS[method](
-                np.stack(train["features"].to_numpy()).astype(float), train["y"].map(labels).to_numpy(),
-                np.stack(test["features"].to_numpy()).astype(float), len(labels),
-            )
-            seconds = time.monotonic() - started
-        except (ValueError, np.linalg.LinAlgError):
-            return empty
-        out = test[[dataset, "method", "split", "place"]].copy()
-        out["y"] = test["y"].map(labels).astype("int32")
-        out["probs"] = [list(map(float, p)) for p in probs]
-        out["time_s"] = seconds
-        return out
-
-    return rows.groupBy(dataset, "split", "method").applyInPandas(run, schema)
-
-
-def finished(spark, path: str) -> bool:
-    """Whether a table at ``path`` was written to its end: only then has its folder the success marker."""
-    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
-
-
-def sweep_large(
-    datasets: dict[str, tuple[DataFrame, DataFrame]], models: dict[str, dict], numeric: Sequence[str], path: str, categorical: Sequence[str] = ()
-) -> tuple[DataFrame | None, list[tuple[str, str, str]]]:
-    """Every distributed model on every large dataset (train, test).
-
-    Predictions (y, probs, predicted, dataset, method, time_s) are written under ``path`` as each model ends,
-    so a failing model is noted with its message and skipped, and a restart leaves out what has ended.
-    """
-    failed: list[tuple[str, str, str]] = []
-    for name, (train, test) in datasets.items():
-        for model, params in models.items():
-            if finished(train.sparkSession, f"{path}/{name}-{model}"):
-                continue
-            started = time.monotonic()
-            try:
-                scored = fit_predict(train, test, model, numeric, categorical, **params).select("y", "probs", "predicted")
-                facts = {"dataset": F.lit(name), "method": F.lit(model), "time_s": F.lit(time.monotonic() - started)}
-                scored.withColumns(facts).write.mode("overwrite").parquet(f"{path}/{name}-{model}")
-            except Exception as error:
-                failed.append((name, model, f"{type(error).__name__}: {str(error)[:200]}"))
-    done = [f"{path}/{name}-{model}" for name in datasets for model in models if (name, model) not in {f[:2] for f in failed}]
-    if not done:
-        return None, failed
-    return train.sparkSession.read.parquet(*done), failed

@@ -12,13 +12,15 @@ from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
+from pyspark.ml.feature import OneHotEncoder
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from tabeval.functions.fixed import MAX_FEATURES
 from tabeval.functions.probs import pad, rotate
-from tabeval.operators.ranks import attach, cumulative_by_value, exact_quantiles, may_sort_groups
+from tabeval.operators.ranks import attach, cumulative_by_value, exact_quantiles, may_sort_groups, with_ordinal
+from tabeval.operators.splits import small
 
 STD_OFFSET, CLIP = 0.000001, 100.0  # fixed values of the z-score
 
@@ -55,11 +57,29 @@ def one_hot(df: DataFrame, column: str, train: Column | None = None) -> DataFram
     seen = _train(df, train).select(column).distinct().where(F.col(column).isNotNull()).orderBy(column)
     categories = [row[0] for row in seen.limit(MAX_WIDE_CATEGORIES + 1).collect()]
     if len(categories) > MAX_WIDE_CATEGORIES:
-        raise ValueError(f"{column} has too many categories for one column each; use StringIndexer and OneHotEncoder")
+        raise ValueError(f"{column} has too many categories for one column each; use one_hot_sparse")
     flags = {f"{column}_{c}": F.coalesce((F.col(column) == c).cast("double"), F.lit(0.0)) for c in categories}
     return df.withColumns(flags).drop(column)
 
 
+def one_hot_sparse(df: DataFrame, column: str, train: Column | None = None, name: str | None = None) -> DataFrame:
+    """A sparse vector with a place per category seen in training, in the order of the categories; other columns pass through.
+
+    Null and categories that were not seen give a vector without entries; a vector has one place at least. There may be any number
+    of categories: they are a table of codes, which is broadcast only if it is small, and a row holds one entry whatever their number.
+    """
+    seen = _train(df, train).select(column).distinct().where(F.col(column).isNotNull())
+    codes = small(with_ordinal(seen, [column], name="_code"))
+    size = max(codes.count(), 1)
+    name = name or f"{column}_hot"
+    # the number of values stands in the column's metadata, so the encoder need not look for it; the code past the last is dropped
+    known = {"ml_attr": {"type": "nominal", "num_vals": size + 1, "name": "_code"}}
+    coded = df.join(codes, column, "left").withColumn("_code", F.coalesce("_code", F.lit(size)).cast("double"))
+    coded = coded.withMetadata("_code", known)
+    encoder = OneHotEncoder(inputCol="_code", outputCol=name, dropLast=True, handleInvalid="error")
+    return encoder.fit(coded).transform(coded).select(*[F.col(f"`{c}`") for c in df.columns if c != column], name)
+
+
 def min_max(df: DataFrame, columns: Sequence[str], train: Column | None = None) -> DataFrame:
     """Scale to 0..1 by the training range; a constant column becomes 0 on the training rows."""
     aggregates = {f"{c}_{name}": f(_valid(c)) for c in columns for name, f in (("low", F.min), ("high", F.max))}
@@ -194,25 +214,36 @@ def _first_peaks(measure, likelihood, columns: Sequence[str]) -> dict[str, float
     return peaks
 
 
+MAX_AGGREGATES = 300  # expressions of one aggregation
+
+
 def fit_power(df: DataFrame, columns: Sequence[str], train: Column | None = None) -> dict[str, tuple[float, float, float]]:
     """Exponent, mean and deviation per column, by maximum likelihood.
 
-    Every round is one job that scores a few exponents for all columns; the next ones lie closer around the
-    peak, and the last job measures the transformed columns.
+    Every round is one aggregation that scores a few exponents of all columns side by side, without copying a row; the
+    next ones lie closer around the peak, and the last round measures the transformed columns.
     """
-    long = _train(df, train).select(*[_valid(c).alias(c) for c in columns]).unpivot([], list(columns), "col", "x")
-    long = long.where(F.col("x").isNotNull())
+    names = [f"x{i}" for i in range(len(columns))]
+    number = dict(zip(columns, names))
+    rows = _train(df, train).select(*[_valid(c).alias(x) for c, x in number.items()])
 
     def measure(grids: dict[str, Sequence[float]]) -> dict[str, list]:
-        table = F.create_map(*[x for c, g in grids.items() for x in (F.lit(c), F.array(*[F.lit(float(v)) for v in g]))])
-        tried = long.select("col", "x", F.explode(F.try_element_at(table, F.col("col"))).alias("lam"))
-        tried = tried.withColumn("t", yeo_johnson(F.col("x"), F.col("lam")))
-        rows = tried.groupBy("col", "lam").agg(
-            F.count(F.lit(1)).alias("n"), F.var_pop("t").alias("var"), F.avg("t").alias("mean"),
-            F.sum(F.signum("x") * F.ln(1 + F.abs("x"))).alias("jacobian"),
-        ).collect()  # a few rows per column
-        usable = [r for r in rows if r["var"] is not None and np.isfinite(r["var"]) and r["var"] > 0]
-        return {c: sorted((r for r in usable if r["col"] == c), key=lambda r: r["lam"]) for c in grids}
+        asked = [(c, float(lam)) for c, grid in grids.items() for lam in grid]
+        found: dict[str, list] = {c: [] for c in grids}
+        for low in range(0, len(asked), MAX_AGGREGATES // 2):
+            part = asked[low : low + MAX_AGGREGATES // 2]
+            moments = []
+            for i, (c, lam) in enumerate(part):
+                t = yeo_johnson(F.col(number[c]), F.lit(lam))
+                moments += [F.var_pop(t).alias(f"var{i}"), F.avg(t).alias(f"mean{i}")]
+            for x in {number[c] for c, _ in part}:
+                moments += [F.count(x).alias(f"n_{x}"), F.sum(F.signum(x) * F.ln(1 + F.abs(F.col(x)))).alias(f"jacobian_{x}")]
+            row = rows.agg(*moments).first()
+            for i, (c, lam) in enumerate(part):
+                var, x = row[f"var{i}"], number[c]
+                if var is not None and np.isfinite(var) and var > 0:
+                    found[c].append({"lam": lam, "n": row[f"n_{x}"], "var": var, "mean": row[f"mean{i}"], "jacobian": row[f"jacobian_{x}"]})
+        return {c: sorted(known, key=lambda r: r["lam"]) for c, known in found.items()}
 
     def likelihood(row) -> float:
         return float(-row["n"] / 2 * np.log(row["var"]) + (row["lam"] - 1) * row["jacobian"])
@@ -222,7 +253,7 @@ def fit_power(df: DataFrame, columns: Sequence[str], train: Column | None = None
         return {}
     for step in STEPS:
         tried = measure({c: [peak + step * i for i in range(-2, 3)] for c, peak in peaks.items()})
-        peaks = {c: _peak([r["lam"] for r in rows], [likelihood(r) for r in rows]) for c, rows in tried.items() if rows}
+        peaks = {c: _peak([r["lam"] for r in known], [likelihood(r) for r in known]) for c, known in tried.items() if known}
     grids = {c: [peak] for c, peak in peaks.items()}
     return {c: (r[0]["lam"], r[0]["mean"], float(np.sqrt(r[0]["var"]))) for c, r in measure(grids).items() if r}
 

@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-import random
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, LongType
 
 from tabeval.functions.fixed import WINDOW_ROWS
 from tabeval.operators.analytics import split_rows
@@ -91,14 +88,14 @@ def eval_sizes(n_rows: Column, position: int, window: int = WINDOW_ROWS) -> dict
 SEEDS = range(13, 21)  # fixed value: seeds of the window starts that are tried
 
 
-@F.pandas_udf(ArrayType(LongType()))
-def window_starts(n_rows: pd.Series, window: pd.Series) -> pd.Series:
-    """The start of the window for each seed, one small array per dataset."""
+def window_starts(n_rows: Column, window: Column) -> Column:
+    """The start of the window for each seed: a hash of the seed and the number of rows, among the starts that leave a whole window."""
 
-    def starts(n: int, w: int) -> list[int]:
-        return [random.Random(seed).randint(0, n - w) if n > w else 0 for seed in SEEDS]
+    def start(seed: int) -> Column:
+        number = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), n_rows.cast("string"))), 1, 8), 16, 10).cast("bigint")
+        return F.when(n_rows > window, F.pmod(number, n_rows - window + 1)).otherwise(F.lit(0).cast("bigint"))
 
-    return pd.Series([starts(int(n), int(w)) for n, w in zip(n_rows, window)])
+    return F.array(*[start(seed) for seed in SEEDS])
 
 
 def valid_split(
@@ -114,7 +111,7 @@ def valid_split(
     numbered = with_ordinal(df, order, [dataset], "_no")
     facts = df.groupBy(dataset).agg(F.count(F.lit(1)).alias("_n"), F.count_distinct(label).alias("_classes"))
     facts = facts.withColumns(eval_sizes(F.col("_n"), position, window))
-    facts = facts.withColumn("_starts", window_starts("_n", "window_rows"))
+    facts = facts.withColumn("_starts", window_starts(F.col("_n"), F.col("window_rows")))
     placed = numbered.join(small(facts), dataset)
     offset = F.col("_no") - F.col("_start")
     # a row meets at most eight candidate windows, and a candidate holds at most ``window`` rows

@@ -101,6 +101,16 @@ def holed(df, text):
     return df.withColumn("o_orderstatus", F.when(F.col("o_orderstatus") == "P", F.lit(text)).otherwise(F.col("o_orderstatus")))
 
 
+def topped(df, value):
+    """The dearest order costs ``value``, which need not be finite."""
+    top = df.agg(F.max("o_totalprice")).scalar()
+    return df.withColumn("o_totalprice", F.when(F.col("o_totalprice") == top, F.lit(float(value))).otherwise(F.col("o_totalprice")))
+
+
+def noisy(df):
+    return df.withColumn("o_totalprice", F.col("o_totalprice") * (1 + 1e-9))
+
+
 def mapped(df):
     return df.select("o_orderkey", "o_custkey", F.create_map(F.lit("status"), "o_orderstatus").alias("m"))
 
@@ -111,7 +121,10 @@ def mapped(df):
          ('one row dropped', 'comparison'), ('one row twice', 'comparison'), ('small noise', 'correct'), ('large noise', 'comparison'),
          ('column missing', 'comparison'), ('expected column all null', 'correct'), ('failed', 'error'), ('empty response', 'error'),
          ('empty texts shuffled', 'correct'), ('empty text against null', 'comparison'), ('empty record against null', 'correct'),
-         ('decimal against double', 'correct'), ('two columns of one name', 'correct'), ('map column', 'correct'), ('map changed', 'comparison')) v(kind, verdict)""",
+         ('decimal against double', 'correct'), ('two columns of one name', 'correct'), ('map column', 'correct'), ('map changed', 'comparison'),
+         ('one name and a place', 'correct'), ('infinite against a number', 'comparison'), ('not a number against a number', 'comparison'),
+         ('infinite on both sides', 'correct'), ('noise beside infinite', 'correct'), ('infinite of either sign', 'comparison'),
+         ('not a number, same bags', 'correct'), ('noise beside not a number', 'comparison'), ('truth values as numbers', 'correct')) v(kind, verdict)""",
 )
 def verdicts(t: Tables):
     base = result(t)
@@ -134,10 +147,19 @@ def verdicts(t: Tables):
         "two columns of one name": (base.select("o_orderkey", "o_custkey", F.col("o_custkey").alias("o_orderkey")), base.select("o_orderkey", "o_custkey", "o_custkey"), None),
         "map column": (mapped(base), mapped(base).repartition(5, "o_custkey"), None),
         "map changed": (mapped(base), mapped(one_cell_changed(base)), None),
+        "one name and a place": (base.select("o_orderkey", "o_custkey", F.col("o_totalprice").alias("o_custkey")), base.select("o_orderkey", "o_custkey", "o_totalprice"), "o_orderkey"),
+        "infinite against a number": (base, topped(base, "Infinity"), None),
+        "not a number against a number": (base, topped(base, "NaN"), None),
+        "infinite on both sides": (topped(base, "Infinity"), topped(base, "Infinity").repartition(5, "o_custkey"), None),
+        "noise beside infinite": (topped(base, "Infinity"), noisy(topped(base, "Infinity")), None),
+        "infinite of either sign": (topped(base, "Infinity"), topped(base, "-Infinity"), None),
+        "not a number, same bags": (topped(base, "NaN"), topped(base, "NaN"), None),
+        "noise beside not a number": (topped(base, "NaN"), noisy(topped(base, "NaN")), None),
+        "truth values as numbers": (base.select("o_orderkey", F.col("o_totalprice") > 9), base.select("o_orderkey", (F.col("o_totalprice") > 9).cast("int")), None),
         "failed": (base, None, None),
         "empty response": (base, base.select(), None),
     }
-    rows = [(kind, compare.compare(expected, actual, place)[0]) for kind, (expected, actual, place) in cases.items()]
+    rows = [(kind, verdict) for kind, (verdict, _) in compare.compare_all(cases).items()]
     return t.spark.createDataFrame(rows, "kind string, verdict string")
 
 

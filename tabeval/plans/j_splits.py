@@ -72,7 +72,36 @@ def eval_sizes(t: Tables):
     return sizes.withColumns(splits.eval_sizes(F.col("n"), 5))
 
 
-@query("j06_valid_split")
+def window_sql(source: str, dataset: str, order: str, label: str, position: int, columns: str) -> str:
+    """The rows (dataset, columns, place, part) of the first of eight windows whose halves hold every class."""
+    train = f"(CASE WHEN 2 * {position} > least(n, 2000) THEN least(n, 2000) // 2 ELSE {position} END)"
+    return f"""(
+      WITH numbered AS (
+        SELECT *, row_number() OVER (PARTITION BY {dataset} ORDER BY {order}) - 1 AS row_no FROM {source}
+      ), facts AS (
+        SELECT {dataset}, n, classes, {train} AS train_rows FROM (
+          SELECT {dataset}, count(*) AS n, count(DISTINCT {label}) AS classes FROM {source} GROUP BY ALL)
+      ), tries AS (
+        SELECT {dataset}, classes, train_rows, try, CASE WHEN n > 2 * train_rows
+            THEN ('0x' || substr(md5((try + 13)::VARCHAR || ':' || n::VARCHAR), 1, 8))::BIGINT % (n - 2 * train_rows + 1) ELSE 0 END AS first_row
+        FROM facts, (SELECT unnest(range(8)) AS try)
+      ), candidate AS (
+        SELECT numbered.*, classes, try, row_no - first_row AS place, CASE WHEN row_no - first_row < train_rows THEN 'train' ELSE 'test' END AS part
+        FROM numbered JOIN tries ON numbered.{dataset} = tries.{dataset} AND row_no >= first_row AND row_no < first_row + 2 * train_rows
+      ), chosen AS (
+        SELECT {dataset}, min(try) AS try FROM (
+          SELECT {dataset}, try, bool_and(complete) AND count(*) = 2 AS fits FROM (
+            SELECT {dataset}, try, part, count(DISTINCT {label}) = max(classes) AS complete FROM candidate GROUP BY ALL) GROUP BY ALL)
+        WHERE fits GROUP BY ALL
+      )
+      SELECT {dataset}, {columns}, place::BIGINT AS place, part FROM candidate SEMI JOIN chosen USING ({dataset}, try))"""
+
+
+@query(
+    "j06_valid_split",
+    "SELECT * FROM "
+    + window_sql("lineitem", "l_linenumber", "l_orderkey, l_partkey, l_suppkey, l_quantity", "l_returnflag", 1000, "l_orderkey, l_partkey, l_suppkey, l_returnflag, l_quantity"),
+)
 def valid_split(t: Tables):
     # one dataset per line number; the label is the return flag
     return splits.valid_split(
@@ -80,7 +109,7 @@ def valid_split(t: Tables):
             "row_id", F.struct("l_orderkey", "l_partkey", "l_suppkey", "l_quantity")
         ),
         "l_linenumber", "row_id", "l_returnflag", 1000,
-    )
+    ).drop("row_id")
 
 
 @query(

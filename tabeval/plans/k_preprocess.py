@@ -1,5 +1,6 @@
 """K1-K18 over the driver tables. Training rows are chosen by an ordinary column, as a split column would be."""
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tabeval.operators import preprocess
@@ -42,6 +43,22 @@ def one_hot(t: Tables):
     return preprocess.one_hot(rows, "c_mktsegment", F.col("c_mktsegment") != "BUILDING")
 
 
+@query(
+    "k02_one_hot_sparse",
+    """SELECT l_orderkey, l_partkey, l_suppkey, (SELECT count(DISTINCT l_suppkey) FROM lineitem WHERE l_linenumber <= 2) AS size, place,
+         CASE WHEN place IS NULL THEN 0 ELSE 1 END AS entries
+       FROM lineitem LEFT JOIN (SELECT l_suppkey, row_number() OVER (ORDER BY l_suppkey) - 1 AS place FROM (SELECT DISTINCT l_suppkey FROM lineitem WHERE l_linenumber <= 2)) c
+         USING (l_suppkey)""",
+)
+def one_hot_sparse(t: Tables):
+    """A place per supplier of the training rows."""
+    rows = t.lineitem.select("l_orderkey", "l_partkey", "l_linenumber", "l_suppkey", F.col("l_suppkey").alias("supplier"))
+    hot = preprocess.one_hot_sparse(rows, "supplier", F.col("l_linenumber") <= 2).withColumn("flags", vector_to_array("supplier_hot"))
+    place = F.nullif(F.array_position("flags", 1.0), F.lit(0)) - 1
+    entries = F.aggregate("flags", F.lit(0.0), lambda total, x: total + x).cast("int")
+    return hot.select("l_orderkey", "l_partkey", "l_suppkey", F.size("flags").cast("bigint").alias("size"), place.alias("place"), entries.alias("entries"))
+
+
 @query(
     "k03_min_max",
     """SELECT l_orderkey, l_partkey, round((l_quantity - a) / (b - a), 6) AS l_quantity, round((l_extendedprice - c) / (d - c), 6) AS l_extendedprice
@@ -112,12 +129,48 @@ def scale_by_used(t: Tables):
     )
 
 
-@query("k10_power_transform")
-def power_transform(t: Tables):
+YEO_JOHNSON_SQL = """(CASE WHEN x >= 0 THEN CASE WHEN abs(lam) < 1e-12 THEN ln(1 + x) ELSE (pow(1 + x, lam) - 1) / lam END
+  ELSE CASE WHEN abs(lam - 2) < 1e-12 THEN -ln(1 - x) ELSE -(pow(1 - x, 2 - lam) - 1) / (2 - lam) END END)"""
+
+
+def _power_sql(columns: list[str], source: str, rows: str, keys: str) -> str:
+    """Exponents on the same grids: nine from -3 to 5, then three times five around the peak of the parabola through the best."""
+    train = " UNION ALL ".join(f"SELECT '{c}' AS col, {c}::DOUBLE AS x FROM {source} WHERE {rows}" for c in columns)
+    parts = [f"""
+WITH t AS MATERIALIZED ({train}
+), base AS MATERIALIZED (SELECT col, count(*) AS n, sum(sign(x) * ln(1 + abs(x))) AS jac FROM t GROUP BY col
+), p0 AS MATERIALIZED (SELECT col, 1.0::DOUBLE AS lam FROM base)"""]
+    for r, (step, half) in enumerate([(1.0, 4), (0.2, 2), (0.02, 2), (0.002, 2)]):
+        parts.append(f"""
+, g{r} AS MATERIALIZED (SELECT col, i, lam + {step} * (i - {half}) AS lam FROM p{r}, (SELECT unnest(range({2 * half + 1})) AS i)
+), l{r} AS MATERIALIZED (
+  SELECT col, i, lam, max(-n / 2 * ln(var)) + max((lam - 1) * jac) AS score FROM (
+    SELECT col, i, lam, var_pop({YEO_JOHNSON_SQL}) AS var FROM t JOIN g{r} USING (col) GROUP BY ALL) JOIN base USING (col) GROUP BY ALL
+), p{r + 1} AS MATERIALIZED (
+  SELECT col, CASE WHEN below IS NULL OR above IS NULL OR below - 2 * score + above >= 0 THEN lam
+      ELSE lam + {step} * (below - above) / (2 * (below - 2 * score + above)) END AS lam FROM (
+    SELECT *, lag(score) OVER (PARTITION BY col ORDER BY i) AS below, lead(score) OVER (PARTITION BY col ORDER BY i) AS above,
+      row_number() OVER (PARTITION BY col ORDER BY score DESC, i) AS place FROM l{r}) WHERE place = 1
+)""")
+    parts.append(f"""
+, fitted AS MATERIALIZED (SELECT col, lam, avg({YEO_JOHNSON_SQL}) AS mean, stddev_pop({YEO_JOHNSON_SQL}) AS std FROM t JOIN p4 USING (col) GROUP BY ALL)""")
+    shown = ", ".join(
+        f"round(((SELECT {YEO_JOHNSON_SQL} FROM (SELECT lineitem.{c}::DOUBLE AS x)) - f{i}.mean) / f{i}.std, 3) AS {c}".replace("lam", f"f{i}.lam") for i, c in enumerate(columns)
+    )
+    joins = ", ".join(f"(SELECT * FROM fitted WHERE col = '{c}') f{i}" for i, c in enumerate(columns))
+    return "".join(parts) + f"\nSELECT {keys}, {shown} FROM {source}, {joins}"
+
+
+def power_transformed(t: Tables):
     rows = t.lineitem.select("l_orderkey", "l_partkey", "l_extendedprice", "l_quantity", "l_linenumber")
     return preprocess.power_transform(rows, ["l_extendedprice", "l_quantity"], F.col("l_linenumber") <= 4)
 
 
+@query("k10_power_transform", _power_sql(["l_extendedprice", "l_quantity"], "lineitem", "l_linenumber <= 4", "l_orderkey, l_partkey, l_linenumber"))
+def power_transform(t: Tables):
+    return _round(power_transformed(t), "l_extendedprice", "l_quantity", digits=3)
+
+
 @query("k11_quantile_normal")
 def quantile_normal(t: Tables):
     rows = t.lineitem.select("l_orderkey", "l_partkey", "l_extendedprice", "l_linenumber")
@@ -131,7 +184,7 @@ def quantile_normal(t: Tables):
 )
 def power_transform_moments(t: Tables):
     """The training rows of a transformed column have mean 0 and variance 1."""
-    long = power_transform(t).where(F.col("l_linenumber") <= 4).unpivot([], ["l_extendedprice", "l_quantity"], "col", "x")
+    long = power_transformed(t).where(F.col("l_linenumber") <= 4).unpivot([], ["l_extendedprice", "l_quantity"], "col", "x")
     return long.groupBy("col").agg(
         F.count("x").alias("n"), (F.abs(F.avg("x")) < 1e-6).alias("is_centred"), (F.abs(F.var_pop("x") - 1) < 1e-6).alias("is_scaled")
     )

@@ -1,11 +1,14 @@
 """L1-L11, M4 over the driver tables; training and test rows are told apart by an ordinary column."""
 
+from functools import reduce
+
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import functions as F
 
-from tabeval.operators import metrics, models
+from tabeval.operators import metrics, models, neighbours, sweep
 from tabeval.operators.benchmark import ranks, ranks_and_wins
 from tabeval.operators.splits import kfold, to_dataset, valid_split
+from tabeval.plans.j_splits import window_sql
 from tabeval.plans.registry import Tables, query
 from tabeval.session import scratch_path
 
@@ -82,7 +85,7 @@ def linear_svm(t: Tables):
 )
 def nearest_neighbours(t: Tables):
     train, test = one_fold_out(t.embeddings)
-    found = models.knn_classify(train, test, "vec_id", "embedding", "label", k=5)
+    found = neighbours.knn_classify(train, test, "vec_id", "embedding", "label", k=5)
     return found.withColumn("share", F.round("share", 6))
 
 
@@ -114,14 +117,26 @@ def perceptron(t: Tables):
     return _scores(scored, "perceptron")
 
 
-@query("l08_random_search")
+FOLDS_SQL = """(SELECT *, ('0x' || substr(md5(l_orderkey::VARCHAR || '42'), 1, 8))::BIGINT % 5 AS fold FROM lineitem WHERE l_linenumber <= 5)"""
+
+
+@query(
+    "l08_random_search",
+    f"""SELECT 'logistic' AS method, 2 AS tried, sum(n)::BIGINT AS n_rows, min(n) AS least_fold, max(n) AS largest_fold,
+          true AS chosen_is_best, true AS default_kept_unless_beaten, true AS every_set_in_space FROM (SELECT fold, count(*) AS n FROM {FOLDS_SQL} GROUP BY fold)""",
+)
 def random_search(t: Tables):
-    train, _ = lines(t)
+    """What holds for every search: the chosen set scores best of all tried, and the default one stays on a tie. Folds come with the rows."""
+    train = kfold(lines(t)[0], "l_orderkey")
+    size = train.groupBy("fold").agg(F.count(F.lit(1)).alias("n")).agg(F.sum("n"), F.min("n"), F.max("n")).first()
     area = BinaryClassificationEvaluator(labelCol="y", rawPredictionCol="rawPrediction", metricName="areaUnderROC")
-    found = models.random_search("logistic", train, NUMERIC, area, ["l_linestatus"], max_evals=2, folds=5)
-    better = bool(found.best_score >= found.default_score)
-    rows = [("logistic", found.tried, found.default_score, found.best_score, better)]
-    return t.spark.createDataFrame(rows, "method string, tried int, default_score double, best_score double, kept_better boolean")
+    found = models.random_search("logistic", train, NUMERIC, area, ["l_linestatus"], max_evals=2, folds=5, fold_column="fold")
+    known = [score for _, score in found.scores if score is not None]
+    kept = (found.params == {}) == (found.best_score == found.default_score)
+    drawn = all(set(params) == {"penalty", "max_iter", "fit_intercept", "C"} for params, _ in found.scores[1:])
+    row = ("logistic", found.tried, *size, found.best_score == max(known), kept, drawn)
+    names = "method string, tried int, n_rows bigint, least_fold bigint, largest_fold bigint, chosen_is_best boolean"
+    return t.spark.createDataFrame([row], names + ", default_kept_unless_beaten boolean, every_set_in_space boolean")
 
 
 MEMBERS = 3
@@ -154,25 +169,72 @@ def predict(t: Tables):
     return found.select("vec_id", "predicted", F.round("winning_probability", 6).alias("winning_probability"))
 
 
-def sweep_predictions(t: Tables):
+SPLITS, BUDGETS = (1, 2), (0.0, 0.5)
+
+
+def order_windows(t: Tables):
     """Orders of each priority are a small dataset: the status from price, customer and month."""
     data = to_dataset(t.orders.withColumn("month", F.month("o_orderdate")), ["o_totalprice", "o_custkey", "month"], "o_orderstatus", "o_orderkey")
     data = data.join(t.orders.select("o_orderkey", "o_orderpriority"), "o_orderkey")
-    windows = [
-        valid_split(data, "o_orderpriority", "o_orderkey", "y", 1000, split).withColumn("split", F.lit(split)) for split in (1, 2)
-    ]
-    return models.sweep_windows(windows[0].unionByName(windows[1]), "o_orderpriority")
+    parts = [valid_split(data, "o_orderpriority", "o_orderkey", "y", 1000, split).withColumn("split", F.lit(split)) for split in SPLITS]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+def order_sweep(t: Tables, methods=None, budgets=BUDGETS):
+    return sweep.sweep_small(order_windows(t), "o_orderpriority", scratch_path(t.spark, "sweep"), methods, budgets)
+
 
+def _order_windows_sql(split: int) -> str:
+    order = "o_orderkey" if split == 1 else f"md5(o_orderkey::VARCHAR || '{split}'), o_orderkey"
+    return f"SELECT *, {split} AS split FROM " + window_sql("orders", "o_orderpriority", order, "o_orderstatus", 1000, "o_orderkey, o_orderstatus")
 
-@query("l11_sweep")
-def sweep(t: Tables):
-    predictions = sweep_predictions(t).withColumnRenamed("o_orderpriority", "dataset")
-    return metrics.evaluate(predictions, ["acc", "balanced_acc", "cross_entropy"]).withColumn("value", F.round("value", 6))
+
+ORDER_WINDOWS_SQL = "(" + " UNION ALL ".join(_order_windows_sql(split) for split in SPLITS) + ")"
+CELLS_SQL = ", ".join(f"('{m}', {b}::DOUBLE)" for m in sweep.SMALL_MODELS for b in BUDGETS)
+
+
+@query(
+    "l11_sweep",
+    f"""SELECT o_orderpriority AS dataset, method, split, budget_s, true AS has_ended, count_if(part = 'train')::BIGINT AS n_train, count_if(part = 'test')::BIGINT AS n_test,
+          count_if(part = 'test')::BIGINT AS n_predictions, 0::BIGINT AS ran_again FROM {ORDER_WINDOWS_SQL}, (VALUES {CELLS_SQL}) v(method, budget_s) GROUP BY ALL""",
+)
+def order_sweep_cells(t: Tables):
+    """Every cell has ended with a prediction for every test row, and a second call runs none."""
+    windows, path = order_windows(t), scratch_path(t.spark, "sweep")
+    done = sweep.sweep_small(windows, "o_orderpriority", path, budgets=BUDGETS)
+    again = sweep.sweep_small(windows, "o_orderpriority", path, budgets=BUDGETS)
+    told = done.predictions().groupBy(*sweep.CELL).agg(F.count(F.lit(1)).alias("n_predictions"))
+    ended = F.col("state").isin(sweep.DONE, sweep.LATE).alias("has_ended")
+    return done.cells().join(told, sweep.CELL, "left").select(*sweep.CELL, ended, "n_train", "n_test", "n_predictions", F.lit(again.ran).cast("bigint").alias("ran_again"))
+
+
+@query(
+    "l11_sweep_prior",
+    f"""WITH w AS (SELECT * FROM {ORDER_WINDOWS_SQL}
+        ), code AS (
+          SELECT o_orderstatus, row_number() OVER (ORDER BY min(o_orderkey)) AS code FROM orders GROUP BY 1
+        ), freq AS (
+          SELECT o_orderpriority, split, o_orderstatus, code, n / sum(n) OVER (PARTITION BY o_orderpriority, split) AS p FROM (
+            SELECT o_orderpriority, split, o_orderstatus, code, count(*) AS n FROM w JOIN code USING (o_orderstatus) WHERE part = 'train' GROUP BY ALL)
+        ), model AS (
+          SELECT o_orderpriority, split, ln(sum(exp(p))) AS norm, arg_max(o_orderstatus, p * 1000000 - code) AS guess, count(*) AS classes FROM freq GROUP BY ALL
+        ), scored AS (
+          SELECT o_orderpriority AS dataset, split, avg(CASE WHEN o_orderstatus = guess THEN 1.0 ELSE 0.0 END) AS acc, 1.0 / max(classes) AS balanced_acc, avg(norm - p) AS cross_entropy
+          FROM w JOIN model USING (o_orderpriority, split) JOIN freq USING (o_orderpriority, split, o_orderstatus) WHERE part = 'test' GROUP BY ALL
+        )
+        SELECT dataset, 'prior' AS method, split, budget_s, metric, round(value, 6)::DOUBLE AS value
+        FROM (UNPIVOT (SELECT dataset, split, acc::DOUBLE AS acc, balanced_acc::DOUBLE AS balanced_acc, cross_entropy::DOUBLE AS cross_entropy FROM scored)
+              ON acc, balanced_acc, cross_entropy INTO NAME metric VALUE value), (VALUES (0.0::DOUBLE), (0.5::DOUBLE)) b(budget_s)""",
+)
+def order_sweep_prior(t: Tables):
+    scores = order_sweep(t, ["prior"]).scores(["acc", "balanced_acc", "cross_entropy"])
+    return scores.withColumn("value", F.round("value", 6))
 
 
 @query("l11_sweep_ranks")
 def sweep_ranks(t: Tables):
-    predictions = sweep_predictions(t).withColumnRenamed("o_orderpriority", "dataset")
+    """Ranks over datasets by accuracy, straight from the table of cells."""
+    predictions = order_sweep(t, budgets=(0.0,)).predictions()
     return ranks_and_wins(ranks(metrics.accuracy(predictions, ["dataset", "method"])))
 
 
@@ -182,7 +244,7 @@ def model_registry(t: Tables):
     train, test = lines(t)
     datasets = {s: (train.where(F.col("l_linestatus") == s), test.where(F.col("l_linestatus") == s)) for s in ("F", "O")}
     wanted = {"logistic": {"max_iter": 20}, "perceptron": {"layers": (2, 2)}}
-    done, failed = models.sweep_large(datasets, wanted, NUMERIC, scratch_path(t.spark, "sweep"))
+    done, failed = sweep.sweep_large(datasets, wanted, NUMERIC, scratch_path(t.spark, "sweep"))
     hit = (F.col("predicted") == F.col("y")).cast("int")
     noted = t.spark.createDataFrame([(d, m, None) for d, m, _ in failed], "dataset string, method string, accuracy double")
     return noted.unionByName(done.groupBy("dataset", "method").agg(F.round(F.avg(hit), 4).alias("accuracy")))

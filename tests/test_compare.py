@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tabeval.operators import compare, ranks
+from tabeval.operators import compare
 
 SCHEMA = "id int, name string, x double"
 ROWS = [(1, "a", 1.0), (2, None, 2.0), (3, "c", None), (3, "c", None)]
@@ -65,7 +65,7 @@ def test_ordered_comparison_sees_a_swap(spark):
 
 
 def test_pairing_of_very_many_equal_rows(spark, monkeypatch):
-    monkeypatch.setattr(ranks, "PLAIN_GROUP_ROWS", 100)
+    monkeypatch.setattr(compare, "RANGE_ROWS", 100)
     many = spark.range(500).select((F.col("id") % 3).alias("k"), F.lit(1.5).alias("x"))
     noisy = many.withColumn("x", F.col("x") + 1e-9)
     assert compare.equal_tolerant(many, noisy)
@@ -97,11 +97,58 @@ def test_a_number_is_not_its_text(spark):
     assert verdict(other(spark, [(True,)], "x boolean"), other(spark, [("yes",)], "x string")) == "comparison"
 
 
+def test_numbers_that_are_not_finite(spark):
+    inf, nan = float("inf"), float("nan")
+
+    def numbers(*values):
+        return other(spark, [(float(v),) for v in values], "x double")
+
+    for wrong in (numbers(1, inf), numbers(1, nan), numbers(1, -inf)):
+        assert verdict(numbers(1, 5), wrong) == "comparison" and verdict(wrong, numbers(1, 5)) == "comparison"
+    assert verdict(numbers(1, inf), numbers(1 + 1e-9, inf)) == "correct"
+    assert verdict(numbers(1, inf), numbers(1 + 1e-9, -inf)) == "comparison"
+    assert verdict(numbers(1, nan), numbers(nan, 1)) == "correct"  # equal as bags
+    assert verdict(numbers(1, nan), numbers(nan, 1 + 1e-9)) == "comparison"
+    assert verdict(numbers(0.0), numbers(-0.0)) == "correct"
+
+
+def test_one_name_twice_beside_a_place(spark):
+    twice = spark.sql("SELECT 1 AS p, 2 AS a, 3 AS a UNION ALL SELECT 2, 4, 5")
+    assert verdict(twice, twice, place="p") == "correct"
+    assert verdict(twice, spark.sql("SELECT 1 AS p, 2 AS a, 3 AS a UNION ALL SELECT 2, 4, 6"), place="p") == "comparison"
+
+
+def test_truth_values_are_numbers(spark):
+    assert verdict(other(spark, [(True,), (False,)], "x boolean"), other(spark, [(0,), (1,)], "x int")) == "correct"
+    assert verdict(other(spark, [(True,)], "x boolean"), other(spark, [(0.0,)], "x double")) == "comparison"
+
+
+@pytest.mark.parametrize("rows", [1, 7, 1000])
+def test_pairing_agrees_with_sorting(spark, monkeypatch, rows):
+    """Places do not depend on the ranges: pairs are those of two sorted lists, also where noise moves rows between ranges."""
+    monkeypatch.setattr(compare, "RANGE_ROWS", rows)
+    left = [(i % 5, float(i * i % 23) / 3, None if i % 7 == 0 else f"t{i % 4}") for i in range(60)]
+    right = [(k, x + (0.4 if i % 9 == 0 else 0.0), s) for i, (k, x, s) in enumerate(left)]
+    schema = "k int, x double, s string"
+    found = compare.tolerant_differences(other(spark, left, schema), other(spark, right, schema).toDF("p", "q", "r"), nulls_equal=True)
+    order = lambda r: tuple((v is not None, v or 0 if not isinstance(v, str) else v) for v in r)  # noqa: E731  nulls first, as Spark sorts
+    pairs = list(zip(sorted(left, key=order), sorted(right, key=order)))
+    expected = [(e, a) for e, a in pairs if not (e[0] == a[0] and abs(e[1] - a[1]) <= 1e-8 + 1e-5 * abs(a[1]) and e[2] == a[2])]
+    got = [(tuple(r[f"e_{c}"] for c in "kxs"), tuple(r[f"a_{c}"] for c in "pqr")) for r in found.collect()]
+    assert sorted(got, key=repr) == sorted(expected, key=repr) and expected
+
+
+def test_no_window_takes_all_rows(spark):
+    rows = spark.range(100).select("id", (F.col("id") * 1.0).alias("x"))
+    plan = compare.tolerant_differences(rows, rows)._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan
+
+
 def test_columns_without_a_type_hold_nulls(spark, base, monkeypatch):
     untyped = base.withColumn("x", F.lit(None))
     assert verdict(untyped, base.withColumn("x", F.lit(None).cast("double"))) == "correct"
     assert verdict(untyped, untyped) == "correct"
-    monkeypatch.setattr(ranks, "PLAIN_GROUP_ROWS", 2)
+    monkeypatch.setattr(compare, "RANGE_ROWS", 2)
     assert verdict(untyped, base) == "comparison"
 
 

@@ -1,3 +1,4 @@
+import hashlib
 import itertools
 import random
 
@@ -6,7 +7,7 @@ import pytest
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
 from pyspark.sql import functions as F
 
-from tabeval.operators import models, preprocess, ranks, splits
+from tabeval.operators import metrics, models, neighbours, preprocess, ranks, splits, sweep
 
 rng = np.random.default_rng(11)
 
@@ -21,22 +22,82 @@ def points(spark):
     return spark.createDataFrame(rows, "id bigint, f array<double>, y int").cache()
 
 
-@pytest.mark.parametrize("block_rows", [7, 64, 5000])
-def test_nearest_neighbours_against_all_distances(points, block_rows):
+@pytest.mark.parametrize(("block_rows", "cell_rows"), [(7, 5000), (64, 5000), (5000, 5000), (7, 9), (5000, 30)])
+def test_nearest_neighbours_against_all_distances(points, block_rows, cell_rows):
     train, test = points.where("id % 4 != 0"), points.where("id % 4 = 0")
     known = [(r["id"], np.array(r["f"])) for r in train.collect()]
-    found = models.nearest_neighbours(train, test, "id", "f", "y", 5, block_rows).collect()
+    found = neighbours.nearest_neighbours(train, test, "id", "f", "y", 5, block_rows, cell_rows).collect()
     for row in test.collect():
         order = sorted((float(((p - np.array(row["f"])) ** 2).sum()), i) for i, p in known)[:5]
         mine = sorted(r["neighbour"] for r in found if r["id"] == row["id"])
         assert mine == sorted(i for _, i in order)
 
 
+def compared(index):
+    """Pairs of rows that the last search of an index measured."""
+    return sum(int(index.pivots.counts[r["cell"]]) for visits in index.visits for r in visits.select("cell").collect())
+
+
+def test_clustered_points_are_compared_with_few_others(spark):
+    middles = rng.normal(scale=40, size=(40, 6))
+    rows = [(i, [float(v) for v in middles[i % 40] + rng.normal(size=6)], i % 40) for i in range(2000)]
+    df = spark.createDataFrame(rows, "id bigint, f array<double>, y int")
+    train, test = df.where("id >= 400"), df.where("id < 400")
+    index = neighbours.build_index(train, "id", "f", "y", cell_rows=40)
+    found = {}
+    for r in index.search(test, "id", "f", 5).collect():
+        found.setdefault(r["id"], []).append((r["distance"], r["neighbour"]))
+    x = np.array([r[1] for r in rows])
+    for i in range(400):
+        gaps = np.sqrt(((x[400:] - x[i]) ** 2).sum(axis=1))
+        assert [n for _, n in sorted(found[i])] == [int(j) + 400 for j in np.argsort(gaps, kind="stable")[:5]]
+    assert compared(index) < 0.08 * 400 * 1600  # all pairs are 640,000
+    assert all(r["visits"] < 10 for r in index.visits[0].unionByName(index.visits[1]).groupBy("key").agg(F.count("cell").alias("visits")).collect())
+
+
+def test_neighbours_with_few_equal_or_missing_rows(spark):
+    schema = "id bigint, f array<double>, y int"
+    same = spark.createDataFrame([(i, [1.0, 2.0], 0) for i in range(30)], schema)
+    index = neighbours.build_index(same, "id", "f", "y", cell_rows=5, block_rows=4)
+    got = index.search(spark.createDataFrame([(7, [1.0, 2.0], 0), (8, None, 0)], schema), "id", "f", 3)
+    assert sorted((r["id"], r["neighbour"], r["distance"]) for r in got.collect()) == [(7, 0, 0.0), (7, 1, 0.0), (7, 2, 0.0)]
+    few = spark.createDataFrame([(1, [0.0], 4), (2, [5.0], 4), (3, None, 1)], schema)
+    assert neighbours.nearest_neighbours(few, few, "id", "f", "y", 9).count() == 4
+    none = spark.createDataFrame([], schema)
+    assert neighbours.nearest_neighbours(none, few, "id", "f", "y").collect() == []
+    assert neighbours.nearest_neighbours(few, none, "id", "f", "y").collect() == []
+
+
+def test_bounds_never_exclude_a_row(spark):
+    x = rng.normal(size=(300, 3))
+    pivots = neighbours.choose_pivots(x[:80], 12)
+    cell = neighbours._distances(x, pivots).argmin(axis=1)
+    gap = np.sqrt(((x - pivots[cell]) ** 2).sum(axis=1))
+    counts = np.bincount(cell, minlength=12)
+    near = np.array([gap[cell == c].min() if counts[c] else np.inf for c in range(12)])
+    far = np.array([gap[cell == c].max() if counts[c] else 0.0 for c in range(12)])
+    queries = rng.normal(size=(50, 3)) * 2
+    _, low = neighbours.Pivots(pivots, counts, near, far).bounds(queries)
+    for q, bound in zip(queries, low):
+        assert (np.sqrt(((x - q) ** 2).sum(axis=1)) >= bound[cell]).all()
+
+
+def test_approximate_neighbours_are_near(points):
+    train, test = points.where("id % 4 != 0"), points.where("id % 4 = 0")
+    exact = {(r["id"], r["neighbour"]) for r in neighbours.nearest_neighbours(train, test, "id", "f", "y", 3).collect()}
+    rough = neighbours.approximate_neighbours(train, test, "id", "f", "y", 3, radius=10.0, bucket_length=4.0, tables=8).collect()
+    assert len({(r["id"], r["neighbour"]) for r in rough} & exact) >= 0.9 * len(exact)
+
+
 def test_knn_vote(points):
-    got = models.knn_classify(points, points, "id", "f", "y", 5).join(points, "id")
+    got = neighbours.knn_classify(points, points, "id", "f", "y", 5).join(points, "id")
     assert got.agg(F.avg((F.col("predicted") == F.col("y")).cast("int"))).first()[0] > 0.8
 
 
+def window_start(seed, n, window):
+    return int(hashlib.md5(f"{seed}:{n}".encode()).hexdigest()[:8], 16) % (n - window + 1) if n > window else 0
+
+
 def test_window_and_labels_against_a_loop(spark):
     random.seed(2)
     data = [(d, i, random.choice(["x", "y", "z"]) if d != "hard" else ("x" if i else "y")) for d, n in (("big", 2600), ("small", 60), ("hard", 40)) for i in range(n)]
@@ -48,7 +109,7 @@ def test_window_and_labels_against_a_loop(spark):
         n = min(len(ys), 2000)
         train = n // 2 if 2000 > n else 1000
         for seed in range(13, 21):
-            start = random.Random(seed).randint(0, len(ys) - 2 * train) if len(ys) > 2 * train else 0
+            start = window_start(seed, len(ys), 2 * train)
             part = ys[start : start + 2 * train]
             if set(part[:train]) == set(part[train:]) == set(ys):
                 return start, train
@@ -64,7 +125,7 @@ def test_window_and_labels_against_a_loop(spark):
 def test_window_of_a_regression_target_is_the_first_start(spark):
     df = spark.range(3000).select(F.lit("d").alias("d"), "id", (F.col("id") * 1.5).alias("y"))
     rows = splits.valid_split(df, "d", "id", "y", 100, regression=True).collect()
-    start = random.Random(13).randint(0, 3000 - 200)
+    start = window_start(13, 3000, 200)
     assert sorted((r["id"], r["place"], r["part"]) for r in rows) == [(start + k, k, "train" if k < 100 else "test") for k in range(200)]
 
 
@@ -194,7 +255,7 @@ def test_named_models_learn(table):
     train, test = table.where("id % 5 != 0"), table.where("id % 5 = 0")
     for name, params in (
         ("logistic", {"max_iter": 10}), ("random_forest", {"n_estimators": 5, "max_depth": 4}),
-        ("gradient_boosting", {"n_estimators": 4}), ("svm", {"max_iter": 10}),
+        ("gradient_boosting", {"n_estimators": 4}), ("svm", {"max_iter": 10}), ("neighbours", {}),
     ):
         scored = models.fit_predict(train, test, name, ["a", "b"], ["c"], **params)
         assert accuracy(scored) > 0.8, name
@@ -202,6 +263,26 @@ def test_named_models_learn(table):
     assert accuracy(models.ridge_classify(train, test, ["a", "b"])) > 0.8
 
 
+def test_models_by_name_take_three_classes(spark):
+    """The number of classes is looked up, the caller need not name it."""
+    rows = [(float(v[0]), float(v[1]), i % 3) for i in range(180) for v in [rng.normal(loc=3 * (i % 3), size=2)]]
+    df = spark.createDataFrame(rows, "a double, b double, y int").coalesce(1).cache()
+    for name, params in (("gradient_boosting", {"n_estimators": 2}), ("svm", {"max_iter": 10}), ("neighbours", {"n_neighbors": 3}), ("random_forest", {"n_estimators": 3})):
+        scored = models.fit_predict(df, df, name, ["a", "b"], **params)
+        assert {r["n"] for r in scored.select(F.size("probs").alias("n")).collect()} == {3}, name
+        assert accuracy(scored) > 0.6, name
+
+
+def test_inputs_are_prepared_once_per_fold(table, monkeypatch):
+    area = BinaryClassificationEvaluator(labelCol="y", rawPredictionCol="rawPrediction")
+    calls = []
+    prepare = models.preparation
+    monkeypatch.setattr(models, "preparation", lambda *args: calls.append(args) or prepare(*args))
+    found = models.random_search("neighbours", table, ["a", "b"], area, ["c"], max_evals=3, folds=2, parallelism=2)
+    assert found.tried == 3 and len(calls) == 3  # two folds and the last fit
+    assert found.best_score == max(score for _, score in found.scores) and all(1 <= p["n_neighbors"] <= 15 for p, _ in found.scores[1:])
+
+
 def test_random_search_keeps_the_default_unless_beaten(table, monkeypatch):
     area = BinaryClassificationEvaluator(labelCol="y", rawPredictionCol="rawPrediction")
     monkeypatch.setitem(models.MODELS["logistic"].space, "max_iter", lambda r: 5)
@@ -214,11 +295,11 @@ def test_random_search_keeps_the_default_unless_beaten(table, monkeypatch):
 
 
 def test_sweep_skips_a_failing_model(table, tmp_path):
-    done, failed = models.sweep_large(
+    done, failed = sweep.sweep_large(
         {"t": (table, table)}, {"logistic": {"max_iter": 5}, "perceptron": {"layers": (9, 2)}}, ["a", "b"], str(tmp_path)
     )
     assert [f[:2] for f in failed] == [("t", "perceptron")] and done.count() == 300
-    again, failed = models.sweep_large({"t": (table, table)}, {"logistic": {"max_iter": 5}}, ["a", "b"], str(tmp_path))
+    again, failed = sweep.sweep_large({"t": (table, table)}, {"logistic": {"max_iter": 5}}, ["a", "b"], str(tmp_path))
     assert failed == [] and sorted(again.collect()) == sorted(done.collect())  # what has ended is left out, not lost
 
 
@@ -226,13 +307,84 @@ def test_small_sweep(spark):
     rows = [("d", 1, i, [float(rng.normal(i % 2)), float(rng.normal())], i % 2 + 5, "train" if i < 60 else "test") for i in range(100)]
     rows += [("flat", 1, i, [0.0, 0.0], i % 2, "train" if i < 6 else "test") for i in range(10)]
     windows = spark.createDataFrame(rows, "dataset string, split int, place bigint, features array<double>, y int, part string")
-    out = models.sweep_windows(windows, "dataset")
+    out = sweep.sweep_windows(windows, "dataset")
     assert {tuple(r) for r in out.groupBy("dataset", "method").count().collect()} == {
         (d, m, 40 if d == "d" else 4) for d in ("d", "flat") for m in ("ridge", "knn", "prior")
     }
     assert out.where(F.abs(F.aggregate("probs", F.lit(0.0), lambda a, x: a + x) - 1) > 1e-9).count() == 0
 
 
+@pytest.fixture
+def small_windows(spark):
+    rows = [(d, s, i, [float(rng.normal(3 * (i % 2))), float(rng.normal())], i % 2 + 5, "train" if i < 60 else "test") for d in "de" for s in (1, 2) for i in range(100)]
+    return spark.createDataFrame(rows, "dataset string, split int, place bigint, features array<double>, y int, part string")
+
+
+def test_a_second_sweep_runs_only_what_is_missing(small_windows, tmp_path, monkeypatch):
+    path = str(tmp_path / "cells")
+    first = sweep.sweep_small(small_windows, "dataset", path, ["prior", "ridge"], [0.0], wave_cells=3)
+    assert first.ran == 8 and len(sweep._waves(first.spark, path)) == 3
+    before = sorted(map(str, first.predictions().collect()))
+    assert sweep.sweep_small(small_windows, "dataset", path, ["prior", "ridge"], [0.0]).ran == 0
+    more = sweep.sweep_small(small_windows, "dataset", path, ["prior", "knn"], [0.0, 0.2])
+    assert more.ran == 12  # knn twice, prior with the new budget
+    assert sorted(map(str, more.predictions().where("method in ('prior', 'ridge') and budget_s = 0").collect())) == before
+    assert more.cells().count() == 20 and more.predictions().count() == 20 * 40
+    # a wave that was not written to its end does not count
+    (tmp_path / "cells" / "wave=broken").mkdir()
+    assert more.cells().count() == 20
+
+
+def test_failing_cells_are_noted_and_budgets_stop_the_search(small_windows, tmp_path, monkeypatch):
+    def broken(x, y, test, classes):
+        raise RuntimeError("no model")
+
+    monkeypatch.setitem(sweep.SMALL_MODELS, "broken", sweep.SmallModel(broken))
+    done = sweep.sweep_small(small_windows, "dataset", str(tmp_path / "cells"), ["broken", "knn"], [0.0, 0.3])
+    cells = {(r["method"], r["budget_s"]): r for r in done.cells().where("dataset = 'd' and split = 1").collect()}
+    assert cells["broken", 0.0]["state"] == "failed" and "no model" in cells["broken", 0.3]["message"]
+    assert cells["knn", 0.0]["tried"] == 0 and 0 < cells["knn", 0.3]["tried"] <= sweep.MAX_EVALS
+    report = done.report(["acc", "roc"], 0.0, 1).collect()
+    assert {(r["method"], r["metric"]) for r in report} == {("knn", "acc"), ("knn", "roc")}  # a failed method has no score
+    assert metrics.accuracy(done.predictions(), ["dataset", "method"]).where("value > 0.8").count() == 2
+
+
+def test_the_clock_ends_a_search():
+    ticks = iter(range(100))
+    calls = []
+    model = sweep.SmallModel(lambda x, y, test, classes, p=0: calls.append(p) or np.tile([0.5, 0.5], (len(test), 1)), {"p": lambda r: r.randrange(9)})
+    x, y = np.zeros((10, 1)), np.arange(10) % 2
+    _, best, tried = sweep.fit_in_budget(model, x, y, x, 2, budget_s=4, clock=lambda: next(ticks))
+    assert tried == 3 and best == {}  # no set beats the default
+
+
+def test_large_sweep_keeps_a_state_per_cell(table, tmp_path):
+    cells = dict(datasets={"t": (table, table)}, methods={"logistic": {"max_iter": 5}, "perceptron": {"layers": (9, 2)}}, numeric=["a", "b"], path=str(tmp_path / "large"))
+    done = sweep.sweep_large_cells(**cells, budgets=(None, 1.0), max_evals=1)
+    assert done.ran == 4 and sweep.sweep_large_cells(**cells, budgets=(None, 1.0)).ran == 0
+    states = {(r["method"], r["budget_s"]): r["state"] for r in done.cells().collect()}
+    assert states["perceptron", 0.0] == states["perceptron", 1.0] == "failed" and states["logistic", 0.0] == "done"
+    assert done.predictions().groupBy("budget_s").count().collect() and done.scores(["acc"]).count() == 2
+
+
+def test_sparse_categories_of_any_number(spark):
+    df = spark.range(120_000).select((F.col("id") % 100_000).alias("k"), F.col("id"))
+    hot = preprocess.one_hot_sparse(df, "k", F.col("id") < 99_000)
+    row = hot.where("id in (5, 98999, 99500)").orderBy("id").collect()
+    assert [(v.size, v.indices.tolist()) for v in (r["k_hot"] for r in row)] == [(99_000, [5]), (99_000, [98_999]), (99_000, [])]
+    odd = spark.createDataFrame([("b",), (None,), ("a",)], "c string")
+    assert sorted(r["c_hot"].indices.tolist() for r in preprocess.one_hot_sparse(odd, "c").collect()) == [[], [0], [1]]
+    assert [r["c_hot"].size for r in preprocess.one_hot_sparse(odd, "c", F.lit(False)).collect()] == [1, 1, 1]
+
+
+def test_power_fit_copies_no_row(spark, monkeypatch):
+    df = spark.range(50).select(*[(F.col("id") * (i + 1) / 7.0).alias(f"c{i}") for i in range(3)])
+    whole = preprocess.fit_power(df, ["c0", "c1", "c2"])
+    monkeypatch.setattr(preprocess, "MAX_AGGREGATES", 4)  # the same in many small aggregations
+    parts = preprocess.fit_power(df, ["c0", "c1", "c2"])
+    assert set(whole) == set(parts) == {"c0", "c1", "c2"} and all(whole[c] == pytest.approx(parts[c]) for c in whole)
+
+
 def test_ensemble_turns_the_members_back(spark):
     scores = [2.0, 0.5, -1.0]
     members = [(1, s, scores[-s:] + scores[:-s] if s else scores) for s in range(3)]
