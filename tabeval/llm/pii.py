@@ -14,21 +14,27 @@ from pyspark.sql import functions as F
 
 from tabeval.llm.frames import picked, written
 
-TITLES_F, TITLES_M, TITLES = "Mrs|Ms|Miss|Mme|Frau|Sra", "Mr|Herr|Sr|Monsieur", "Dr|Prof"
-WORD = r"\p{Lu}[\p{L}'’\-]*\p{Ll}"
+TITLES_F, TITLES_M, TITLES = "Mrs|Ms|Miss|Mme|Frau|Sra|Señora|Madame", "Mr|Herr|Sr|Señor|Monsieur", "Dr|Prof|Professor"
+TITLE_RUN = rf"(?:(?:{TITLES_F}|{TITLES_M}|{TITLES})\.?[ \u00a0]){{1,4}}"  # Prof. Dr. is a run of titles
+INITIAL = r"\p{Lu}\."
+WORD = r"(?:\p{Lu}[\p{L}'’\-]*\p{Ll}|\p{Lu}[\p{Lu}'’\-]*\p{Lu})"
 OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
+HEX = r"[0-9A-Fa-f]{1,4}"
+LABEL = r"(?i:token|secret|passwd|password|api_key|apikey|access_key)[\"']?\s{0,2}[=:]\s{0,2}[\"']?"  # belongs to the mention, not to the unit
+# No group repeats without a bound: Java matches groups by recursion, and a long text would overflow the stack.
 PATTERNS = {  # in order of precedence
-    "email": r"(?<![\p{L}\p{N}._%+\-])[\p{L}\p{N}._%+\-]++@(?:[\p{L}\p{N}](?:[\p{L}\p{N}\-]{0,62})\.)+\p{L}{2,24}(?![\p{L}\p{N}])",
-    "secret": r"(?:(?<=(?:token|secret|passwd|password|api_key|apikey|access_key)[\"']?\s{0,2}[=:]\s{0,2}[\"']?)[A-Za-z0-9+/=_\-]{12,}+|\b(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk-[A-Za-z0-9\-]{20,})\b)",
+    "email": r"(?<![\p{L}\p{N}._%+\-])[\p{L}\p{N}._%+\-]++@(?:[\p{L}\p{N}][\p{L}\p{N}\-]{0,62}+\.){1,126}\p{L}{2,24}(?![\p{L}\p{N}])",
+    "secret": rf"(?:{LABEL}(?:[A-Za-z0-9+/=_\-]{{12,}}+|(?=[^\s\"'\d]{{0,64}}+\d)[^\s\"']{{6,256}}+)|\b(?:AKIA[0-9A-Z]{{16}}|gh[pousr]_[A-Za-z0-9]{{36}}|sk-[A-Za-z0-9\-]{{20,}})\b)",
     "ip": rf"(?<![\d.]){OCTET}(?:\.{OCTET}){{3}}(?![\d]|\.\d)",
+    "ip6": rf"(?<![\p{{L}}\p{{N}}:])(?=[0-9A-Fa-f:]{{0,38}}\d)(?:(?:{HEX}:){{7}}{HEX}|(?:{HEX}:){{1,6}}(?::{HEX}){{1,6}})(?![\p{{L}}\p{{N}}:])",
     "iban": r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b",
-    "phone": r"(?<![\d+\p{L}])(?:\+\d{1,3}[ .\-]?(?:\(\d{1,5}\)[ .\-]?)?\d{2,5}(?:[ .\-]?\d{2,5}){1,4}|\(\d{3}\) ?\d{3}[ .\-]\d{4}|\d{3}[.\-]\d{3}[.\-]\d{4})(?!\d)",
+    "phone": r"(?<![\d+\p{L}])(?:\+\d{1,3}[ .\-]?(?:\(\d{1,5}\)[ .\-]?)?\d{2,5}(?:[ .\-]?\d{2,5}){1,4}|\(\d{3}\) ?\d{3}[ .\-]\d{4}|\d{3}[.\-]\d{3}[.\-]\d{4}|0\d{2,4}[ /]\d{5,8}|0\d(?: \d\d){4})(?!\d)",
     "ssn": r"(?<![\d\-])\d{3}-\d{2}-\d{4}(?![\d\-])",
     "card": r"(?<![\d\p{L}])\d(?:[ \-]?\d){12,18}(?![\d\p{L}])",
-    "name": rf"\b(?:{TITLES_F}|{TITLES_M}|{TITLES})\.?[  ]{WORD}(?: {WORD}){{0,3}}",
+    "name": rf"\b{TITLE_RUN}(?:{INITIAL} ?){{0,3}}{WORD}(?: (?:{INITIAL} )?{WORD}){{0,3}}",
 }
 FOUND = "|".join(f"(?:{p})" for p in PATTERNS.values())
-GATE = rf"[@\d]|\b(?:{TITLES_F}|{TITLES_M}|{TITLES})\b|(?:token|secret|passw|key)|sk-"
+GATE = rf"[@\d]|\b(?:{TITLES_F}|{TITLES_M}|{TITLES})\b|(?i:token|secret|passw|key)|sk-|::"
 GIVEN_F = ["Anna", "Clara", "Diana", "Elena", "Frida", "Greta", "Helen", "Irene", "Julia", "Laura", "Maria", "Nora", "Paula", "Rosa", "Sofia", "Vera"]
 GIVEN_M = ["Adam", "Bruno", "Carl", "David", "Emil", "Felix", "Georg", "Hugo", "Ivan", "James", "Leo", "Martin", "Oscar", "Paul", "Robert", "Victor"]
 SYLLABLES = ["ba", "de", "fi", "go", "hu", "ka", "le", "mi", "no", "pu", "ra", "se", "ti", "vo", "wa", "zen"]
@@ -45,17 +51,18 @@ def kind_of(mention: Column) -> Column:
 
 def units_of(mention: Column, kind: Column) -> Column:
     """The units of a mention as structs of type and canonical spelling."""
-    words = F.filter(F.split(F.regexp_replace(mention, rf"^(?:{TITLES_F}|{TITLES_M}|{TITLES})\.?[  ]", ""), " "), lambda w: w != "")
-    gender = F.when(mention.rlike(rf"^(?:{TITLES_F})\b"), "f").when(mention.rlike(rf"^(?:{TITLES_M})\b"), "m").otherwise("n")
+    words = F.filter(F.split(F.regexp_replace(F.regexp_replace(mention, rf"^{TITLE_RUN}", ""), r"\.(?=\p{Lu})", ". "), " "), lambda w: w != "")
+    titles = F.regexp_extract(mention, rf"^{TITLE_RUN}", 0)
+    gender = F.when(titles.rlike(rf"\b(?:{TITLES_F})\b"), "f").when(titles.rlike(rf"\b(?:{TITLES_M})\b"), "m").otherwise("n")
     given = F.concat(F.lit("given_"), gender)
-    # the first of several words is a given name, in the gender of the title or of the word itself
+    # the last word is a family name, those before it are given names, in the gender of the word itself or of the title
     names = F.transform(words, lambda w, i: F.struct(
-        F.when((F.size(words) > 1) & (i < F.size(words) - 1), F.when(w.isin(GIVEN_F), "given_f").when(w.isin(GIVEN_M), "given_m").otherwise(given)).otherwise("family").alias("kind"),
+        F.when(w.rlike(f"^{INITIAL}$"), "initial").when(i < F.size(words) - 1, F.when(w.isin(GIVEN_F), "given_f").when(w.isin(GIVEN_M), "given_m").otherwise(given)).otherwise("family").alias("kind"),
         w.alias("unit"),
     ))
     canonical = (
         F.when(kind == "email", F.lower(mention)).when(kind.isin("phone", "ssn", "card"), F.regexp_replace(mention, r"[^0-9+]", ""))
-        .when(kind == "iban", F.regexp_replace(mention, " ", "")).otherwise(mention)
+        .when(kind == "iban", F.regexp_replace(mention, " ", "")).when(kind == "secret", F.regexp_replace(mention, rf"^{LABEL}", "")).otherwise(mention)
     )
     return F.when(kind == "name", names).otherwise(F.array(F.struct(kind.alias("kind"), canonical.alias("unit"))))
 
@@ -134,11 +141,21 @@ def surrogate(kind: Column, unit: Column, attempt: Column, key: str) -> Column:
     hexadecimal = F.substring(F.repeat(noise, 64), 1, 4096).substr(F.lit(1), F.length(longer(unit, attempt)))
     plain = syllables(noise, attempt + 3)
     latin = unit.rlike(r"^[\p{IsLatin}'’\-]+$")
-    cased = F.when(unit.rlike(r"^\p{Lu}{2,}$"), F.upper(plain)).otherwise(F.initcap(plain))
+
+    def part(token: Column, i: Column) -> Column:
+        """Of a hyphenated name every part is drawn; hyphens, apostrophes and single letters keep their places."""
+        own = F.when(i == 0, plain).otherwise(syllables(F.sha2(F.concat_ws("/", noise, i.cast("string")), 256), F.lit(3)))
+        shown = F.when(token.rlike(r"^\p{Lu}{2,}$"), F.upper(own)).when(token.rlike(r"^\p{Ll}"), own).otherwise(F.initcap(own))
+        return F.when(token.rlike(r"^['’\-]$"), token).when(F.length(token) == 1, F.upper(F.substring(own, 1, 1))).otherwise(shown)
+
+    joint = F.split(unit, r"(?<=['’\-])|(?=['’\-])", -1)
+    cased = F.concat(F.array_join(F.transform(joint, part), ""), F.when(attempt > ROUNDS, F.repeat(F.lit("a"), (attempt - ROUNDS).cast("int"))).otherwise(""))
+    sixteen = F.array_join(F.transform(F.split(unit, ""), lambda c, i: F.when(c.rlike("^[0-9a-fA-F]$"), F.substring(noise, 1, 64).substr(F.pmod(i, F.lit(64)) + 1, F.lit(1))).otherwise(c)), "")
     # a list is small: later draws join a drawn ending to a listed name
     ending = F.when(attempt > 0, F.concat(F.lit("-"), F.initcap(syllables(noise, attempt + 1)))).otherwise("")
     female, male = F.concat(chosen(GIVEN_F, noise, 0), ending), F.concat(chosen(GIVEN_M, noise, 0), ending)
     out = F.when(is_email, F.concat(fresh, F.regexp_extract(domain, r"\.[^.]*$", 0))).when(kind == "ip", octets)
+    out = out.when(kind == "ip6", F.concat(sixteen, F.when(attempt > ROUNDS, F.lit(":0")).otherwise("")))
     out = out.when((kind == "secret") & unit.rlike("^[0-9a-f]+$"), hexadecimal)
     out = out.when((kind == "family") & latin, cased).when((kind == "given_f") & latin, female).when((kind == "given_m") & latin, male)
     return out.when((kind == "given_n") & latin, F.when(number_at(noise, F.lit(1), 2) == 0, female).otherwise(male)).otherwise(fresh)
@@ -160,21 +177,38 @@ def drawn_for(kind: Column, unit: Column, attempt: Column, key: str) -> Column:
 def attempts(units: DataFrame, key: str) -> DataFrame:
     """(kind, unit, attempt) of the units whose first draw clashes; the others need no row.
 
-    A surrogate may neither be shared by two units of a kind nor be a real unit. Only distinct units are compared.
+    A surrogate may neither be shared by two units of a kind nor be a real unit. Only distinct units are compared, and only
+    those that clash are drawn again. Initials are too few to differ.
     """
-    state = written(units.select("kind", "unit", F.lit(0).alias("attempt")), "units")
+
+    def drawn(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("drawn", F.lower(drawn_for(F.col("kind"), F.col("unit"), F.col("attempt"), key)))
+
+    state = written(drawn(units.where("kind <> 'initial'").select("kind", "unit", F.lit(0).alias("attempt"))), "units")
+    real = state.select("kind", F.lower("unit").alias("drawn")).distinct()
     redrawn_some = False
     while True:  # draws get longer, so there is always an end
-        drawn = state.withColumn("drawn", F.lower(drawn_for(F.col("kind"), F.col("unit"), F.col("attempt"), key)))
-        owners = drawn.groupBy("kind", "drawn").agg(F.min(F.struct("attempt", "unit")).alias("owner"), F.count(F.lit(1)).alias("n"))
-        shared = drawn.join(owners.where("n > 1"), ["kind", "drawn"]).where(F.col("owner.unit") != F.col("unit")).select("kind", "unit")
-        real = drawn.join(state.select("kind", F.lower("unit").alias("drawn")).distinct(), ["kind", "drawn"]).select("kind", "unit")
-        again = written(shared.unionByName(real).distinct().withColumn("more", F.lit(1)), "again")
+        owners = state.groupBy("kind", "drawn").agg(F.min(F.struct("attempt", "unit")).alias("owner"), F.count(F.lit(1)).alias("n"))
+        shared = state.join(owners.where("n > 1"), ["kind", "drawn"]).where(F.col("owner.unit") != F.col("unit")).select("kind", "unit")
+        taken = state.join(real, ["kind", "drawn"]).select("kind", "unit")
+        again = written(shared.unionByName(taken).distinct(), "again")
         if again.isEmpty():
             break
         redrawn_some = True
-        state = written(state.join(again, ["kind", "unit"], "left").select("kind", "unit", (F.col("attempt") + F.coalesce("more", F.lit(0))).alias("attempt")), "units")
-    return state.where("attempt > 0") if redrawn_some else state.limit(0)
+        once_more = state.join(again, ["kind", "unit"], "left_semi").select("kind", "unit", (F.col("attempt") + 1).alias("attempt"))
+        state = written(state.join(again, ["kind", "unit"], "left_anti").unionByName(drawn(once_more)), "units")
+    return state.where("attempt > 0").drop("drawn") if redrawn_some else state.drop("drawn").limit(0)
+
+
+def one_gender(typed: DataFrame) -> DataFrame:
+    """Mentions whose given names have one type each: the one most mentions of the name tell, female first on a tie."""
+    told = typed.where(F.col("kind").startswith("given_")).groupBy("unit", "kind").agg(F.count(F.lit(1)).alias("n"))
+    count = lambda kind: F.sum(F.when(F.col("kind") == kind, F.col("n")).otherwise(0))
+    women, men = count("given_f"), count("given_m")
+    known = F.when((women == 0) & (men == 0), "given_n").when(women >= men, "given_f").otherwise("given_m")
+    mixed = told.groupBy("unit").agg(known.alias("known"), F.count(F.lit(1)).alias("kinds")).where("kinds > 1").drop("kinds")
+    kind = F.when(F.col("kind").startswith("given_"), F.coalesce("known", "kind")).otherwise(F.col("kind"))
+    return typed.join(mixed, "unit", "left").withColumn("kind", kind).drop("known")
 
 
 def rendered(mention: Column, kind: Column, units: Column) -> Column:
@@ -190,38 +224,47 @@ def rendered(mention: Column, kind: Column, units: Column) -> Column:
     packed = F.array_join(F.transform(F.split(mention, ""), lambda c, i: F.when(
         c != " ", first.substr(F.length(F.regexp_replace(mention.substr(F.lit(1), i + 1), " ", "")), F.lit(1))
     ).otherwise(c)), "")
-    title = F.regexp_extract(mention, rf"^(?:{TITLES_F}|{TITLES_M}|{TITLES})\.?[  ]", 0)
+    title = F.regexp_extract(mention, rf"^{TITLE_RUN}", 0)
+    label = F.regexp_extract(mention, rf"^{LABEL}", 0)
     return (
         F.when((kind == "email") & (mention == F.upper(mention)) & (mention != F.lower(mention)), F.upper(first))
         .when(kind == "name", F.concat(title, F.array_join(units, " "))).when(kind.isin("phone", "ssn", "card"), F.concat(spread, more))
-        .when(kind == "iban", F.concat(packed, rest)).otherwise(first)
+        .when(kind == "iban", F.concat(packed, rest)).when(kind == "secret", F.concat(label, first)).otherwise(first)
     )
 
 
 def pseudonymise(docs: DataFrame, key: str, doc: str = "doc_id", text: str = "text") -> DataFrame:
     """Every row with all its columns, ``text`` with surrogates for personal data, and n_entities.
 
-    Types: email, phone, payment card (Luhn-valid stays valid), IBAN, social security number, IPv4 address, secret, and names
-    after a title (surrogates keep gender and script). Defined cases: null text stays null with n_entities 0; texts
-    without a mention are unchanged to the byte; null keys and repeated rows are treated like any other; an empty table
-    gives no rows. Surrogates depend on the key, the units and - for the few that clash - the set of units.
+    Types: email, phone, payment card (Luhn-valid stays valid), IBAN, social security number, IPv4 and IPv6 address, secret, and names
+    after one or more titles (surrogates keep gender, script, hyphens and apostrophes; a given name has one gender everywhere).
+    Defined cases: null text stays null with n_entities 0; texts without a mention are unchanged to the byte; null keys and repeated
+    rows are treated like any other; an empty table gives no rows; a column n_entities of the caller is replaced, any other keeps its value.
+    Surrogates depend on the key, the units and - for the few that clash - the set of units.
     """
-    mentions = F.when(F.col("_text").rlike(GATE), F.regexp_extract_all("_text", F.lit(FOUND), F.lit(0)))
-    rows = docs.withColumn("_text", F.col(f"`{text}`").cast("string")).withColumn("_found", F.coalesce(mentions, F.array().cast("array<string>")))
-    plain = rows.where(F.size("_found") == 0).select(*docs.columns, F.lit(0).alias("n_entities"))
-    hits = rows.where(F.size("_found") > 0).withColumn("_row", F.xxhash64("_text", F.col(f"`{doc}`")))
+    others = [c for c in docs.columns if c != "n_entities"]
+    own = F.col(f"`{text}`").cast("string")
+    found = F.when(own.rlike(GATE), F.regexp_extract_all(own, F.lit(FOUND), F.lit(0)))
+    carried = F.struct(*[F.col(f"`{c}`") for c in others])
+    rows = docs.select(carried.alias("row"), own.alias("text"), F.col(f"`{doc}`").alias("doc"), F.coalesce(found, F.array().cast("array<string>")).alias("found"))
+
+    def whole(value: Column, n: Column) -> list[Column]:
+        return [*[value.alias(c) if c == text else F.col(f"row.`{c}`").alias(c) for c in others], n.alias("n_entities")]
 
-    seen = hits.select("_row", "_text", F.posexplode("_found").alias("at", "mention")).select("_row", "at", "mention").distinct()
+    plain = rows.where(F.size("found") == 0).select(*whole(F.col(f"row.`{text}`"), F.lit(0)))
+    hits = rows.where(F.size("found") > 0).withColumn("key", F.xxhash64("text", "doc"))
+
+    seen = hits.select("key", F.posexplode("found").alias("at", "mention")).distinct()
     typed = seen.withColumn("kind", kind_of(F.col("mention"))).withColumn("units", units_of(F.col("mention"), F.col("kind")))
-    typed = written(typed.select("_row", "at", "mention", "kind", F.posexplode("units").alias("part", "u")).select("_row", "at", "mention", F.col("kind").alias("type"), "part", "u.kind", "u.unit"), "mentions")
+    typed = typed.select("key", "at", "mention", "kind", F.posexplode("units").alias("part", "u")).select("key", "at", "mention", F.col("kind").alias("type"), "part", "u.kind", "u.unit")
+    typed = one_gender(written(typed, "mentions"))
     clashes = attempts(typed.select("kind", "unit").distinct(), key)
     drawn = typed.join(clashes, ["kind", "unit"], "left").withColumn("drawn", drawn_for(F.col("kind"), F.col("unit"), F.coalesce("attempt", F.lit(0)), key))
-    per_mention = drawn.groupBy("_row", "at", "mention", "type").agg(F.array_sort(F.collect_list(F.struct("part", "drawn"))).alias("parts"))
-    shown = per_mention.select("_row", "at", rendered(F.col("mention"), F.col("type"), F.col("parts.drawn")).alias("shown"))
-    per_row = shown.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("at", "shown"))).alias("_shown"))
-
-    between = F.split(F.col("_text"), FOUND, -1)
-    joined = F.array_join(F.zip_with(between, F.concat(F.col("_shown.shown"), F.array(F.lit(""))), lambda a, b: F.concat(a, b)), "")
-    kept = [joined.alias(text) if c == text else F.col(f"`{c}`") for c in docs.columns]
-    changed = hits.join(per_row, "_row").select(*kept, F.size("_found").alias("n_entities"))
+    per_mention = drawn.groupBy("key", "at", "mention", "type").agg(F.array_sort(F.collect_list(F.struct("part", "drawn"))).alias("parts"))
+    shown = per_mention.select("key", "at", rendered(F.col("mention"), F.col("type"), F.col("parts.drawn")).alias("shown"))
+    per_row = shown.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("at", "shown"))).alias("shown"))
+
+    between = F.split(F.col("text"), FOUND, -1)
+    joined = F.array_join(F.zip_with(between, F.concat(F.col("shown.shown"), F.array(F.lit(""))), lambda a, b: F.concat(a, b)), "")
+    changed = hits.join(per_row, "key").select(*whole(joined, F.size("found")))
     return plain.unionByName(changed)

@@ -85,6 +85,52 @@ def test_other_text_nulls_repeated_rows_and_empty_tables(spark):
     assert replaced(spark, [(1, long)])[1][0][:-7] == long[:-7]
 
 
+def test_no_text_overflows_the_stack(spark):
+    parts = ["a.", "a-", "a@", "@a.", "1.", "1 ", "Dr ", "A. ", "A-", "a:", "1:", ":", "+", "(1)", "A1 ", "key=", "'", "0 "]
+    long = spark.createDataFrame([(part * (1_000_000 // len(part)),) for part in parts], "text string")
+    assert long.select(F.size(F.regexp_extract_all("text", F.lit(pii.FOUND), F.lit(0))).alias("n"), F.col("text").rlike(pii.GATE)).count() == len(parts)
+    sizes = long.select(F.substring("text", 1, 2).alias("part"), F.size(F.regexp_extract_all("text", F.lit(pii.FOUND), F.lit(0))).alias("n")).collect()
+    assert {r["part"] for r in sizes if r["n"]} == {"1 ", "0 ", "Dr"}  # spaced digits look like card numbers, titles like names
+    out = replaced(spark, [(100, "x@" + "a." * 2000 + "com"), (101, "x@" + "a." * 100 + "com"), (102, "a." * 300_000)])
+    assert out[100][1] == out[102][1] == 0 and out[101][1] == 1 and not out[101][0].startswith("x@")
+
+
+def test_titles_initials_and_capitals(spark):
+    real = ["Prof. Dr. Anna Weber", "Mr. J. Smith", "Dr. SMITH", "Señora García", "Dr. Anna M. Weber", "Herr Prof. Müller-Lüdenscheidt", "Ms O'Brien"]
+    out = replaced(spark, [(i, f"saw {t} today") for i, t in enumerate(real)])
+    shown = [out[i][0].removeprefix("saw ").removesuffix(" today") for i in range(len(real))]
+    assert all(out[i][1] == 1 for i in out)
+    assert shown[0].startswith("Prof. Dr. ") and shown[2].startswith("Dr. ") and shown[2][4:].isupper()
+    assert re.fullmatch(r"Mr\. \p{Lu}\. \p{Lu}\p{Ll}+".replace(r"\p{Lu}", "[A-Z]").replace(r"\p{Ll}", "[a-z]"), shown[1])
+    assert re.fullmatch(r"Herr Prof\. [A-Z][a-z]+-[A-Z][a-z]+", shown[5]) and re.fullmatch(r"Ms [A-Z]'[A-Z][a-z]+", shown[6])
+    for name in ("Anna", "Weber", "Smith", "SMITH", "García", "Müller", "Lüdenscheidt", "Brien"):
+        assert not any(name in t for t in shown)
+    assert shown[0].split(" ")[2:] == [shown[4].split(" ")[1], shown[4].split(" ")[3]]  # one Anna, one Weber
+
+
+def test_a_name_is_the_same_after_any_title(spark):
+    out = replaced(spark, [(1, "Mrs Agnes Brown"), (2, "Dr Agnes Brown"), (3, "Agnes"), (4, "Mr Kim Lee"), (5, "Prof. Kim Lee")])
+    assert out[1][0].removeprefix("Mrs ") == out[2][0].removeprefix("Dr ") and out[1][0].split(" ")[1] in pii.GIVEN_F
+    assert out[4][0].removeprefix("Mr ") == out[5][0].removeprefix("Prof. ") and out[4][0].split(" ")[1] in pii.GIVEN_M
+
+
+def test_secrets_phones_and_addresses_in_more_forms(spark):
+    real = ["API_KEY=abcdefghijkl1234", "Password: hunter2", "password=P@ssw0rd!2345", "call 030 1234567", "call 01 23 45 67 89", "at 2001:db8::8a2e:370:7334", "at 2001:0db8:85a3:0000:0000:8a2e:0370:7334"]
+    out = replaced(spark, [(i, t) for i, t in enumerate(real)])
+    for i, t in enumerate(real):
+        head = re.match(r"(\w+ ?[=:]? ?)", t)[1]
+        assert out[i][1] == 1 and out[i][0] != t and out[i][0].startswith(head), out[i]
+    assert re.fullmatch(r"call \d{3} \d{7}", out[3][0]) and re.fullmatch(r"at [0-9a-f]{4}:[0-9a-f]{3}::[0-9a-f]{4}:[0-9a-f]{3}:[0-9a-f]{4}", out[5][0])
+    clean = "password: required, Password reset; 12:30:45 std::vector a::b key: value"
+    assert replaced(spark, [(1, clean)])[1] == (clean, 0)
+
+
+def test_columns_of_any_name_are_kept(spark):
+    frame = spark.createDataFrame([(1, "Mr Smith", "mine", 5, "f", "k")], "doc_id bigint, text string, _text string, n_entities int, found string, key string")
+    row = pii.pseudonymise(frame, KEY).first()
+    assert (row["_text"], row["found"], row["key"], row["n_entities"]) == ("mine", "f", "k", 1) and "Smith" not in row["text"]
+
+
 def test_plan_has_no_python(spark):
     frame = spark.createDataFrame([(1, "x@y.org", "k", "u", 3)], SCHEMA)
     plan = pii.pseudonymise(frame, KEY)._jdf.queryExecution().toString()
