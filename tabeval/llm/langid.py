@@ -30,12 +30,16 @@ SHARPNESS = 4.0  # of the probabilities made from decision values
 BLOCK = 64  # documents scored in one product
 
 
+MARK, LETTER = 1, 2
+
+
 def letter_table() -> np.ndarray:
-    """Which code points are letters or marks; all others end a word."""
-    kinds = np.zeros(0x110000, dtype=bool)
-    for code in range(0x30000):
-        if unicodedata.category(chr(code))[0] in "LM":
-            kinds[code] = True
+    """Of every code point whether it is a letter or a mark; all others end a word."""
+    kinds = np.zeros(0x110000, dtype=np.uint8)
+    for code in range(0x110000):
+        kind = unicodedata.category(chr(code))[0]
+        if kind in "LM":
+            kinds[code] = LETTER if kind == "L" else MARK
     return kinds
 
 
@@ -45,9 +49,10 @@ def ngrams(text: str, letters: np.ndarray) -> tuple[np.ndarray, bool]:
     An n-gram of up to three code points of 21 bits is one 64-bit number, so no two are confused.
     """
     codes = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-    inside = letters[np.minimum(codes, 0x10FFFF)]
-    if not inside.any():
+    kinds = letters[np.minimum(codes, 0x10FFFF)]
+    if not (kinds == LETTER).any():  # marks alone, as those behind a symbol, are no text
         return np.zeros(0, dtype=np.int64), False
+    inside = kinds > 0
     codes = np.where(inside, codes, np.uint32(32))
     codes = codes[inside | np.concatenate([[False], inside[:-1]])].astype(np.int64)
     codes = np.concatenate([[32], codes, [32]]) if inside[-1] else np.concatenate([[32], codes])

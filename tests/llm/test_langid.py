@@ -29,9 +29,10 @@ def test_only_the_text_decides_and_held_out_labels_are_not_learned(spark):
 def test_nulls_texts_without_letters_and_nothing_to_learn_from(spark):
     rows = [(i, "the cat sat on the mat " * 5, "en", "a", "b") for i in range(12)] + [(100 + i, "der hund und die katze " * 5, "de", "a", "b") for i in range(12)]
     odd = [(200, None, "en", "", ""), (201, "", "en", "", ""), (202, "12 + 3 = 15 !", None, "", ""), (203, "Die Katze", None, None, None), (None, "the cat", "en", "", ""), (203, "Die Katze", None, None, None)]
+    odd += [(204, "❤️ 1️⃣ 23", None, "", ""), (205, "\U00030000\U00030001", None, "", "")]  # marks without a letter; letters of a far plane
     got = langid.identify_languages(spark.createDataFrame(rows + odd, SCHEMA)).collect()
     by = {r["doc_id"]: (r["lang_pred"], r["held_out"]) for r in got}
-    assert len(got) == len(rows + odd) and [by[d][0] for d in (200, 201, 202)] == ["und"] * 3
+    assert len(got) == len(rows + odd) and [by[d][0] for d in (200, 201, 202, 204)] == ["und"] * 4 and by[205][0] in ("en", "de")
     assert by[203][0] == "de" and by[None] == ("en", True)
     assert all(r["score"] == 0 for r in got if r["lang_pred"] == "und")
     unlabelled = langid.identify_languages(spark.createDataFrame([(1, "text", None, "", "")], SCHEMA)).collect()
