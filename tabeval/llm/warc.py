@@ -177,7 +177,8 @@ def normalise(archives: DataFrame, folder: str) -> DataFrame:
                 index.write("".join(line + "\n" for line in lines).encode())
             yield {"path": [f"{folder}/{name}.warc.gz"], "index": [f"{folder}/{name}.idx"], "records": [len(lines)]}
 
-    spread = archives.select("path").repartition(F.col("path"))
+    # a stated number of tasks: rows as short as these would otherwise be put together in one
+    spread = archives.select("path").repartition(max(1, archives.count()), F.col("path"))
     return written(arrow_map(spread, step, "path string, index string, records bigint"), "normalised")
 
 
@@ -215,7 +216,8 @@ def read_archives(archives: DataFrame) -> DataFrame:
             if rows:
                 yield dict(zip(names, map(list, zip(*rows))))
 
-    return arrow_map(archives.select("path", "index").repartition(F.col("path")), step, "page_id bigint, payload binary, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint")
+    spread = archives.select("path", "index").repartition(max(1, archives.count()), F.col("path"))
+    return arrow_map(spread, step, "page_id bigint, payload binary, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint")
 
 
 def archived(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
