@@ -250,9 +250,60 @@ def signed_rank(t: Tables):
     return one.select("l_returnflag", "v", "n", F.round("z", 6).alias("z"))
 
 
-@query("i15_signed_rank_p_values")
+def _normal_tail_sql(z: str) -> str:
+    """P(Z > z) by the series of the error function that has positive terms only; beyond 8.5 deviations it is 0."""
+    x = f"(abs({z}) / sqrt(2))"
+    erf = f"list_sum(list_transform(range(0, 150), lambda k: exp((2 * k + 1) * ln(greatest({x}, 1e-300)) - lgamma(k + 1.5) - {x} * {x})))"
+    return f"(0.5 - 0.5 * sign({z}) * CASE WHEN {x} > 6 THEN 1.0 ELSE {erf} END)"
+
+
+def _alternatives_sql(source: str, keys: str) -> str:
+    """p-values of (keys, gap, sigma) for the three alternatives, normal with continuity correction."""
+    return f"""SELECT {keys}, alternative, round(CASE alternative
+          WHEN 'greater' THEN {_normal_tail_sql("((gap - 0.5) / sigma)")}
+          WHEN 'less' THEN {_normal_tail_sql("(-(gap + 0.5) / sigma)")}
+          ELSE least(1.0, 2 * {_normal_tail_sql("(abs((gap - 0.5 * sign(gap)) / sigma))")}) END, 6) AS p_value
+        FROM {source}, (VALUES ('two.sided'), ('greater'), ('less')) a(alternative)"""
+
+
+def _signed_rank_sql(group: str, gap: str) -> str:
+    """Rank sums of the positive differences with what their tests need."""
+    return f"""(SELECT {group}, v, n, zeros, largest, v - n * (n + 1) / 4 AS gap, sqrt(n * (n + 1) * (2 * n + 1) / 24 - ties / 48) AS sigma FROM (
+         SELECT {group}, sum(CASE WHEN d > 0 THEN r ELSE 0 END)::DOUBLE AS v, count(*) AS n, sum(c * c - 1)::DOUBLE AS ties, max(c) AS largest FROM (
+           SELECT {group}, d, rank() OVER (PARTITION BY {group} ORDER BY abs(d)) + (count(*) OVER (PARTITION BY {group}, abs(d)) - 1) / 2 AS r,
+             count(*) OVER (PARTITION BY {group}, abs(d)) AS c
+           FROM (SELECT *, {gap} AS d FROM lineitem) WHERE d <> 0) GROUP BY ALL)
+       JOIN (SELECT {group}, count_if({gap} = 0)::BIGINT AS zeros FROM lineitem GROUP BY ALL) USING ({group}))"""
+
+
+@query(
+    "i15_signed_rank_p_values",
+    _alternatives_sql(f"(SELECT *, round(gap / sigma, 6) AS z FROM {_signed_rank_sql('l_linestatus, l_linenumber', 'round(l_discount - l_tax, 6)')})", "l_linestatus, l_linenumber, v, n, zeros, z"),
+)
 def signed_rank_p_values(t: Tables):
-    return benchmark.signed_rank_test(t.lineitem, ["l_linestatus", "l_linenumber"], "l_discount", "l_tax", digits=6)
+    test = benchmark.signed_rank_test(t.lineitem, ["l_linestatus", "l_linenumber"], "l_discount", "l_tax", digits=6)
+    return test.withColumns({"z": F.round("z", 6), "p_value": F.round("p_value", 6)})
+
+
+@query(
+    "i15_signed_rank_small",
+    f"""WITH RECURSIVE sums(k, s, c) AS (
+          SELECT 0, 0, 1.0::DOUBLE UNION ALL SELECT k + 1, s2, sum(c) FROM (SELECT k, s AS s2, c FROM sums UNION ALL SELECT k, s + k + 1, c FROM sums) WHERE k < 49 GROUP BY k, s2
+        ), share AS (
+          SELECT k, s, sum(c) OVER (PARTITION BY k ORDER BY s) / pow(2, k) AS low, c / pow(2, k) AS here FROM sums
+        ), tested AS ({_signed_rank_sql("l_partkey", "round(l_extendedprice - 1000 * l_quantity, 2)")}
+        ), exact AS (
+          SELECT l_partkey, v, n, low, 1 - low + here AS high FROM tested JOIN share ON k = n AND s = v WHERE largest = 1 AND zeros = 0 AND n < 50
+        )
+        SELECT l_partkey, v, n, alternative, round(CASE alternative WHEN 'less' THEN low WHEN 'greater' THEN high ELSE least(1.0, 2 * least(low, high)) END, 6) AS p_value
+        FROM exact, (VALUES ('two.sided'), ('greater'), ('less')) a(alternative)
+        UNION ALL {_alternatives_sql("(SELECT * FROM tested WHERE largest > 1 OR zeros > 0 OR n >= 50)", "l_partkey, v, n")}""",
+)
+def signed_rank_small(t: Tables):
+    """Groups on both sides of 50 pairs: the exact distribution of the rank sum, or the normal one."""
+    rows = t.lineitem.select("l_partkey", "l_extendedprice", (F.col("l_quantity") * 1000).alias("expected"))
+    test = benchmark.signed_rank_test(rows, ["l_partkey"], "l_extendedprice", "expected", digits=2)
+    return test.select("l_partkey", "v", "n", "alternative", F.round("p_value", 6).alias("p_value"))
 
 
 @query(
@@ -271,9 +322,21 @@ def rank_sum(t: Tables):
     return one.select("l_returnflag", "w", "n_x", "n_y", F.round("z", 6).alias("z"))
 
 
-@query("i16_rank_sum_p_values")
+@query(
+    "i16_rank_sum_p_values",
+    _alternatives_sql(
+        """(SELECT *, w - n_x * n_y / 2 AS gap, round((w - n_x * n_y / 2) / sigma, 6) AS z FROM (
+             SELECT *, sqrt(n_x * n_y / 12 * ((n_x + n_y + 1) - ties / ((n_x + n_y) * (n_x + n_y - 1.0)))) AS sigma FROM (
+               SELECT l_linenumber, sum(CASE WHEN x THEN r ELSE 0 END)::DOUBLE - count_if(x) * (count_if(x) + 1) / 2 AS w, count_if(x)::BIGINT AS n_x, count_if(NOT x)::BIGINT AS n_y,
+                 sum(c * c - 1)::DOUBLE AS ties FROM (
+                 SELECT l_linenumber, l_linestatus = 'F' AS x, rank() OVER (PARTITION BY l_linenumber ORDER BY l_extendedprice)
+                   + (count(*) OVER (PARTITION BY l_linenumber, l_extendedprice) - 1) / 2 AS r, count(*) OVER (PARTITION BY l_linenumber, l_extendedprice) AS c FROM lineitem) GROUP BY 1)))""",
+        "l_linenumber, w, n_x, n_y, z",
+    ),
+)
 def rank_sum_p_values(t: Tables):
-    return benchmark.rank_sum_test(t.lineitem, ["l_linenumber"], F.col("l_linestatus") == "F", "l_extendedprice")
+    test = benchmark.rank_sum_test(t.lineitem, ["l_linenumber"], F.col("l_linestatus") == "F", "l_extendedprice")
+    return test.withColumns({"z": F.round("z", 6), "p_value": F.round("p_value", 6)})
 
 
 @query(
@@ -290,11 +353,35 @@ def one_way_variance(t: Tables):
     return table.withColumns(in_millions).withColumn("f_value", F.round("f_value", 6))
 
 
-@query("i17_sequential_variance")
+FACTORS = {"l_quantity": "l_quantity", "returned": "l_returnflag = 'R'", "l_linenumber": "l_linenumber", "l_extendedprice": "l_extendedprice"}
+
+
+def _sequential_sql(factors: dict[str, str], y: str) -> str:
+    """Each factor is taken out of the later ones and of y in turn; what it takes out of y is its sum of squares."""
+    names = [f"f{i}" for i in range(len(factors))] + ["y"]
+    kept = ", ".join(f"({e})::INTEGER::DOUBLE AS {n}" if "=" in e or ">" in e else f"({e})::DOUBLE AS {n}" for n, e in zip(names, [*factors.values(), y]))
+    parts = [f"WITH given AS (SELECT {kept} FROM lineitem), r0 AS MATERIALIZED (SELECT {', '.join(f'{n} - avg({n}) OVER () AS {n}' for n in names)} FROM given)"]
+    for i in range(len(factors)):
+        here, later = f"f{i}", names[i + 1 :]
+        parts.append(f", m{i} AS MATERIALIZED (SELECT {', '.join(f'sum({here} * {n}) / sum({here} * {here}) AS k_{n}' for n in later)}, sum({here} * y) * sum({here} * y) / sum({here} * {here}) AS ss FROM r{i})")
+        parts.append(f", r{i + 1} AS MATERIALIZED (SELECT {', '.join(f'{n} - k_{n} * {here} AS {n}' for n in later)} FROM r{i}, m{i})")
+    last = len(factors)
+    parts.append(f", rest AS (SELECT sum(y * y) AS ss, count(*) - {last + 1} AS free, sum(y * y) / (count(*) - {last + 1}) AS scale FROM r{last})")
+    rows = " UNION ALL ".join(f"SELECT '{name}' AS factor, m{i}.ss AS ss, m{i}.ss / scale AS f, free, m{i}.ss / scale / (free + m{i}.ss / scale) AS u FROM m{i}, rest" for i, name in enumerate(factors))
+    # the share of F(1, free) below f as a series of positive terms; far out nothing is left
+    series = "1 + list_sum(list_transform(range(0, 400), lambda k: exp(lgamma(1.5) + lgamma(1.5 + free / 2 + k) - lgamma(2.5 + k) - lgamma(0.5 + free / 2) + (k + 1) * ln(u))))"
+    front = "exp(0.5 * ln(u) + free / 2 * ln(1 - u) + lgamma(0.5 + free / 2) - lgamma(1.5) - lgamma(free / 2))"
+    return "".join(parts) + f"""
+SELECT factor, 1 AS df, round(ss, 6) AS sum_sq, round(ss, 6) AS mean_sq, round(f, 6) AS f_value, round(CASE WHEN f > 100 THEN 0.0 ELSE 1 - {front} * ({series}) END, 6) AS p_value FROM ({rows})
+UNION ALL SELECT 'Residuals', free::INTEGER, round(ss, 6), round(scale, 6), NULL, NULL FROM rest"""
+
+
+@query("i17_sequential_variance", _sequential_sql(FACTORS, "l_discount > l_tax"))
 def sequential_variance(t: Tables):
     win = (F.col("l_discount") > F.col("l_tax")).cast("int")
     rows = t.lineitem.withColumn("win", win).withColumn("returned", (F.col("l_returnflag") == "R").cast("int"))
-    return benchmark.sequential_variance(rows, ["l_quantity", "returned", "l_linenumber", "l_extendedprice"], "win")
+    table = benchmark.sequential_variance(rows, list(FACTORS), "win")
+    return table.withColumns({c: F.round(c, 6) for c in ("sum_sq", "mean_sq", "f_value", "p_value")})
 
 
 @query(
