@@ -155,7 +155,7 @@ WITH t AS MATERIALIZED ({train}
     parts.append(f"""
 , fitted AS MATERIALIZED (SELECT col, lam, avg({YEO_JOHNSON_SQL}) AS mean, stddev_pop({YEO_JOHNSON_SQL}) AS std FROM t JOIN p4 USING (col) GROUP BY ALL)""")
     shown = ", ".join(
-        f"round(((SELECT {YEO_JOHNSON_SQL} FROM (SELECT lineitem.{c}::DOUBLE AS x)) - f{i}.mean) / f{i}.std, 3) AS {c}".replace("lam", f"f{i}.lam") for i, c in enumerate(columns)
+        f"round(((SELECT {YEO_JOHNSON_SQL} FROM (SELECT lineitem.{c}::DOUBLE AS x)) - f{i}.mean) / f{i}.std, 3) + 0.0 AS {c}".replace("lam", f"f{i}.lam") for i, c in enumerate(columns)
     )
     joins = ", ".join(f"(SELECT * FROM fitted WHERE col = '{c}') f{i}" for i, c in enumerate(columns))
     return "".join(parts) + f"\nSELECT {keys}, {shown} FROM {source}, {joins}"
