@@ -43,10 +43,23 @@ def lines(t: Tables):
 NUMERIC = ["l_quantity", "l_extendedprice", "l_tax", "l_linenumber"]
 
 
-def _scores(predictions, name):
-    """Accuracy and number of test rows of a classifier."""
-    hit = (F.col("predicted") == F.col("y")).cast("int")
-    return predictions.agg(F.lit(name).alias("method"), F.count(F.lit(1)).alias("n"), F.round(F.avg(hit), 4).alias("accuracy"))
+MARGIN = 0.1  # by which a model that learns something beats the most frequent class here
+
+
+def _facts(predictions, name):
+    """What holds for a classifier of two classes that learns: one answer a row, shares that sum to 1, and more right answers than the
+    most frequent class has. ``majority`` is the share of that class."""
+    right = F.avg((F.col("predicted") == F.col("y")).cast("int"))
+    majority = F.greatest(F.avg("y"), 1 - F.avg("y"))
+    sound = F.bool_and(F.abs(F.aggregate("probs", F.lit(0.0), lambda total, p: total + p) - 1) < 1e-9)
+    return predictions.agg(
+        F.lit(name).alias("method"), F.count(F.lit(1)).alias("n"), F.round(majority, 6).alias("majority"), sound.alias("sums_to_one"), (right > majority + MARGIN).alias("beats_majority")
+    )
+
+
+def _facts_sql(name: str) -> str:
+    return f"""SELECT '{name}' AS method, count(*) AS n, round(greatest(avg(y), 1 - avg(y)), 6) AS majority, true AS sums_to_one, true AS beats_majority
+        FROM (SELECT CASE WHEN l_quantity + 40 * l_discount * l_linenumber > 35 THEN 1 ELSE 0 END AS y FROM lineitem WHERE l_linenumber > 5)"""
 
 
 @query("l01_logistic_regression")
@@ -56,22 +69,36 @@ def logistic_regression(t: Tables):
     return scored.select("vec_id", "y", "predicted", F.round(F.array_max("probs"), 4).alias("probability"))
 
 
-@query("l02_random_forest")
+@query(
+    "l01_logistic_optimum",
+    f"SELECT label AS class, count(*) AS n, true AS is_optimal FROM {FOLD_SQL} WHERE fold <> 0 GROUP BY 1",
+)
+def logistic_optimum(t: Tables):
+    """At the optimum the mean probability of every class is its share of the training rows: the gradient of the free intercepts is zero."""
+    train, _ = vectors(t)
+    scored = models.fit_predict(train, train, "logistic", [f"x{i}" for i in range(WIDTH)])
+    total = scored.count()
+    means = scored.select("vec_id", F.posexplode("probs").alias("class", "p")).groupBy("class").agg(F.avg("p").alias("mean"))
+    counts = scored.groupBy(F.col("y").alias("class")).agg(F.count(F.lit(1)).alias("n"))
+    return counts.join(means, "class").select("class", "n", (F.abs(F.col("mean") - F.col("n") / total) < 0.005).alias("is_optimal"))
+
+
+@query("l02_random_forest", _facts_sql("random_forest"))
 def random_forest(t: Tables):
     train, test = lines(t)
-    return _scores(models.fit_predict(train, test, "random_forest", NUMERIC, ["l_linestatus"], n_estimators=20), "random_forest")
+    return _facts(models.fit_predict(train, test, "random_forest", NUMERIC, ["l_linestatus"], n_estimators=20), "random_forest")
 
 
-@query("l03_gradient_boosting")
+@query("l03_gradient_boosting", _facts_sql("gradient_boosting"))
 def gradient_boosting(t: Tables):
     train, test = lines(t)
-    return _scores(models.fit_predict(train, test, "gradient_boosting", NUMERIC, ["l_linestatus"]), "gradient_boosting")
+    return _facts(models.fit_predict(train, test, "gradient_boosting", NUMERIC, ["l_linestatus"]), "gradient_boosting")
 
 
-@query("l04_linear_svm")
+@query("l04_linear_svm", _facts_sql("svm"))
 def linear_svm(t: Tables):
     train, test = lines(t)
-    return _scores(models.fit_predict(train, test, "svm", NUMERIC, ["l_linestatus"]), "svm")
+    return _facts(models.fit_predict(train, test, "svm", NUMERIC, ["l_linestatus"]), "svm")
 
 
 @query(
@@ -104,17 +131,25 @@ def ridge_regression(t: Tables):
     return fitted.transform(test).select("l_orderkey", "l_partkey", F.round("prediction", 3).alias("prediction"))
 
 
-@query("l06_ridge_classifier")
+@query("l06_ridge_classifier", _facts_sql("ridge"))
 def ridge_classifier(t: Tables):
     train, test = lines(t)
-    return _scores(models.ridge_classify(train, test, NUMERIC), "ridge")
+    scored = models.ridge_classify(train, test, NUMERIC)
+    share = F.when(F.col("decision") > 0, 1.0).otherwise(0.0)  # decided by the sign
+    return _facts(scored.withColumn("probs", F.array(1 - share, share)), "ridge")
 
 
-@query("l07_perceptron")
+@query(
+    "l07_perceptron",
+    f"""SELECT vec_id, label AS y, 10 AS classes, true AS sums_to_one, true AS predicts_the_most_probable FROM {FOLD_SQL} WHERE fold = 0""",
+)
 def perceptron(t: Tables):
+    """An answer for every held-out vector: a share for each class, and the most probable class. These labels cannot be learned."""
     train, test = vectors(t)
     scored = models.fit_predict(train, test, "perceptron", [f"x{i}" for i in range(WIDTH)], layers=[WIDTH, 16, 10])
-    return _scores(scored, "perceptron")
+    total = F.aggregate("probs", F.lit(0.0), lambda whole, p: whole + p)
+    top = F.get("probs", F.col("predicted")) == F.array_max("probs")
+    return scored.select("vec_id", "y", F.size("probs").alias("classes"), (F.abs(total - 1) < 1e-9).alias("sums_to_one"), top.alias("predicts_the_most_probable"))
 
 
 FOLDS_SQL = """(SELECT *, ('0x' || substr(md5(l_orderkey::VARCHAR || '42'), 1, 8))::BIGINT % 5 AS fold FROM lineitem WHERE l_linenumber <= 5)"""
