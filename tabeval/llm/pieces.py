@@ -5,13 +5,14 @@ that matches at a position) and the byte fallback (arcs for characters that are
 positions of the input together with the last piece; weights are added along a path and the least path is taken.
 
 For unigram models an arc costs minus the piece's score. For BPE models a pair of neighbouring pieces costs nothing if merging their joined
-text gives just these two pieces, else infinity: a segmentation is the one that the merges produce exactly if
+text gives just these two pieces, else infinity; this is read off the merge trees of the two, which are compiled once. A segmentation is the one that the merges produce exactly if
 all its neighbours agree in this way, so one path of finite weight is left - for every prefix of the input as well. Pieces never span the end of a word, so words are composed one by one and kept for reuse.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from itertools import chain
 from pathlib import Path
@@ -52,7 +53,12 @@ class Transducer:
         self.model, self.scores = model, model["scores"]
         kinds = model["kinds"]
         self.ids = {p: i for i, p in enumerate(model["pieces"]) if kinds[i] in (NORMAL, USER)}
-        self.starts = {p[:n]: False for p in self.ids for n in range(1, len(p))} | dict.fromkeys(self.ids, True)  # beginnings of pieces
+        self.root: dict = {}  # the pieces as a tree of their characters; "" leads to the id of a piece that ends there
+        for piece, i in self.ids.items():
+            node = self.root
+            for character in piece:
+                node = node.setdefault(character, {})
+            node[""] = i
         self.longest = max(map(len, self.ids), default=1)
         self.unknown = kinds.index(UNKNOWN) if UNKNOWN in kinds else 0
         self.bytes_ = {int(p[3:5], 16): i for i, p in enumerate(model["pieces"]) if kinds[i] == BYTE}
@@ -62,8 +68,61 @@ class Transducer:
         ]
         whole = not any(MARK in p.lstrip(MARK) for p in self.ids)
         self.split = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+" if whole else r"(?s).+").findall
-        self.agreeing: dict[tuple[str, str], bool] = {}
+        self.agreeing: dict[int, bool] = {}
         self.words = _Words(self)
+        self.rank: dict[str, int] = {}  # of every character and every piece that merges make: the place of its merge, characters first
+        self.halves: dict[str, tuple[str, str]] = {}  # the two parts of its last merge
+        self.loose: set[str] = set()  # pieces whose merges depend on more than ranks
+        if model["bpe"]:
+            self._grow()
+
+    def _grow(self) -> None:
+        """Ranks and halves of the pieces, those of better score first: a piece's halves are the two parts that earlier merges leave of it.
+
+        Pieces of one score are merged by place alone. Where these come last of all, as runs of space marks do, they and the
+        pieces that hold one are merged out; any other model with equal scores keeps no ranks, and all its pairs are merged out.
+        """
+        scores = Counter(self.scores[i] for p, i in self.ids.items() if len(p) > 1)
+        tied = [p for p, i in self.ids.items() if len(p) > 1 and scores[self.scores[i]] > 1]
+        if tied and {self.scores[self.ids[p]] for p in tied} != {min(scores)}:
+            return
+        shared = re.compile("|".join(re.escape(p) for p in sorted(tied, key=len)) or r"(?!)").search
+        longer = sorted((p for p in self.ids if len(p) > 1), key=lambda p: -self.scores[self.ids[p]])
+        self.loose = {p for p in longer if shared(p)}
+        rank = self.rank
+        rank |= dict.fromkeys(chain.from_iterable(self.ids), 0)
+        for place, piece in enumerate((p for p in longer if p not in self.loose), 1):
+            for i in range(1, len(piece)):
+                left, right = piece[:i], piece[i:]
+                if left in rank and right in rank and self.apart(left, right):
+                    self.halves[piece] = left, right
+                    rank[piece] = place
+                    break
+        rank |= dict.fromkeys(tied, len(longer) + 1)
+
+    def apart(self, a: str, b: str) -> bool:
+        """Whether merges leave two pieces apart that they make, each by itself, of their texts.
+
+        The merges along the border are undone, the latest first. What lies at the border then would have been merged instead if
+        its merge comes before the one undone; of equal merges the left one comes first.
+        """
+        rank, halves = self.rank, self.halves
+        limit = len(self.scores) + 2
+        rank_a, rank_b = rank[a], rank[b]
+        while True:
+            joined = rank.get(a + b)
+            if joined is not None and joined < limit:
+                return False
+            if rank_a > rank_b:
+                limit = rank_a
+                a = halves[a][1]
+                rank_a = rank[a]
+            elif rank_b:
+                limit = rank_b + 1
+                b = halves[b][0]
+                rank_b = rank[b]
+            else:
+                return True
 
     def merged(self, text: str) -> list[str]:
         """What the merges make of a short text: always the best-scored neighbouring pair, the leftmost among equals."""
@@ -80,11 +139,20 @@ class Transducer:
             parts[i : i + 2] = [parts[i] + parts[i + 1]]
         return parts
 
-    def agree(self, a: str, b: str) -> bool:
+    def together(self, a: str, b: str) -> bool:
         """Whether the merges make just these two pieces of their joined text; with an empty first one, whether they make the second."""
+        rank = self.rank
+        if rank and a not in self.loose and b not in self.loose:
+            return b in rank and (not a or a in rank and self.apart(a, b))
+        return self.merged(a + b) == ([a, b] if a else [b])
+
+    def agree(self, pair: int) -> bool:
+        """The same of two ids coded as one number, remembered."""
         if len(self.agreeing) > KEPT_WORDS:
             self.agreeing.clear()
-        known = self.agreeing[a, b] = b not in self.ids or self.merged(a + b) == ([a, b] if a else [b])
+        before, piece = divmod(pair, len(self.scores) + 1)
+        pieces = self.model["pieces"]
+        known = self.agreeing[pair] = self.together(pieces[before - 1] if before else "", pieces[piece])
         return known
 
     def fallback(self, character: str) -> list[int]:
@@ -96,46 +164,50 @@ class Transducer:
         """Ids along the path of least weight."""
         return self._bpe_path(word) if self.model["bpe"] else self._unigram_path(word)
 
-    def arcs(self, word: str, begin: int) -> list[int]:
-        """Where the pieces that match at a position end, the longest last; one step over a character in no piece."""
-        starts, ends = self.starts, []
-        for end in range(begin + 1, len(word) + 1):
-            found = starts.get(word[begin:end])
-            if found is None:
+    def arcs(self, word: str, begin: int) -> list[tuple[int, int]]:
+        """(end, id) of the pieces that match at a position, the longest last; one step without a piece over a character in none."""
+        node, found, end = self.root, [], begin
+        for character in word[begin : begin + self.longest]:
+            node = node.get(character)
+            if node is None:
                 break
-            if found:
-                ends.append(end)
-        return ends if ends and word[begin] in self.ids else [begin + 1]
+            end += 1
+            piece = node.get("")
+            if piece is not None:
+                found.append((end, piece))
+        return found if found and found[0][0] == begin + 1 else [(begin + 1, -1)]
 
     def _bpe_path(self, word: str) -> list[int]:
         """The only path of finite weight, searched depth first.
 
         Each prefix has one such path, so a position that was left without a way to the end is not entered again.
         """
-        ids, known, n = self.ids, self.agreeing, len(word)
-        at, ends, path, stack, dead = 0, self.arcs(word, 0), [], [], bytearray(n + 1)
+        arcs, known, wide, n = self.arcs, self.agreeing, len(self.scores) + 1, len(word)
+        at, open_, path, stack, dead = 0, arcs(word, 0), [], [], bytearray(n + 1)
+        before = -1  # no piece, or a fallback arc, which is a border for all merges
         while at < n:
-            for end in reversed(ends):
-                piece = word[at:end]
+            while open_:
+                end, piece = open_.pop()
                 if dead[end]:
                     continue
-                before = path[-1] if path and path[-1] in ids and piece in ids else ""  # fallback arcs are borders for all merges
-                fits = known.get((before, piece))
-                if fits is None:
-                    fits = self.agree(before, piece)
-                if fits:
-                    stack.append((at, ends[: ends.index(end)]))
-                    path.append(piece)
-                    at, ends = end, self.arcs(word, end)
-                    break
+                if piece >= 0:
+                    pair = (before + 1) * wide + piece
+                    fits = known.get(pair)
+                    if fits is None:
+                        fits = self.agree(pair)
+                    if not fits:
+                        continue
+                stack.append((at, open_, before))
+                path.append((at, end, piece))
+                at, open_, before = end, arcs(word, end), piece
+                break
             else:
                 dead[at] = 1
                 if not stack:  # several pieces of one score: not a matter of neighbours
-                    path = self.merged(word)
-                    break
-                at, ends = stack.pop()
+                    return [i for p in self.merged(word) for i in ([self.ids[p]] if p in self.ids else self.fallback(p))]
+                at, open_, before = stack.pop()
                 path.pop()
-        return [i for p in path for i in ([ids[p]] if p in ids else self.fallback(p))]
+        return [i for at, end, piece in path for i in ((piece,) if piece >= 0 else self.fallback(word[at:end]))]
 
     def _unigram_path(self, word: str) -> list[int]:
         n = len(word)

@@ -1,3 +1,4 @@
+import itertools
 import random
 
 import pytest
@@ -59,3 +60,28 @@ def test_frames_with_nulls_repeated_rows_long_texts_and_no_rows(spark, plain):
     back = {r["doc_id"]: r["text"] for r in pieces.decode(got, PIECES_MODEL).collect()}
     assert back == {1: "hello wörld\n", 2: None, 3: "", None: "a b", 4: long}
     assert pieces.encode(spark.createDataFrame([], SCHEMA), PIECES_MODEL).collect() == []
+
+
+def test_pairs_read_off_the_merge_trees_are_those_of_the_merges():
+    machine = pieces.Transducer(pieces.read_model(PIECES_MODEL))
+    assert machine.rank and machine.loose == {p for p in machine.ids if "▁▁" in p}
+    rng, known = random.Random(8), sorted(machine.ids)
+    cut = []
+    while len(cut) < 4000:
+        joined = rng.choice(known) + rng.choice(known)
+        at = rng.randrange(1, len(joined))
+        if joined[:at] in machine.ids and joined[at:] in machine.ids:
+            cut.append((joined[:at], joined[at:]))
+    cut += [("", p) for p in known[:4000]] + [("▁" * i, "▁" * j) for i in range(1, 17) for j in range(1, 17) if {"▁" * i, "▁" * j} <= set(known)]
+    for a, b in cut:
+        assert machine.together(a, b) == (machine.merged(a + b) == ([a, b] if a else [b])), (a, b)
+
+
+def test_models_with_equal_scores_are_merged_out():
+    model = {"pieces": ["<unk>", "a", "b", "ab", "ba", "aba"], "scores": [0.0, -9.0, -9.0, -1.0, -1.0, -2.0], "kinds": [2, 1, 1, 1, 1, 1], "bpe": True, "prefix": False, "fallback": False}
+    machine = pieces.Transducer(model)
+    assert not machine.rank
+    for n in range(1, 7):
+        for letters in itertools.product("ab", repeat=n):
+            word = "".join(letters)
+            assert machine.least_path(word) == [machine.ids[p] for p in machine.merged(word)]
