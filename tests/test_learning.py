@@ -412,3 +412,10 @@ def test_ridge_penalty_against_the_closed_form(table):
         fitted = models.ridge(**models.train_facts(rows), alpha=alpha).fit(train)
         expected = ((x - x.mean()) * (y - y.mean())).sum() / (((x - x.mean()) ** 2).sum() + alpha)
         assert fitted.coefficients[0] == pytest.approx(expected, rel=1e-9)
+
+
+def test_a_continuous_label_has_no_classes(spark):
+    rows = spark.createDataFrame([(1.0, 7.5), (2.0, 90001.25)], "a double, y double")
+    facts = models.train_facts(rows)
+    assert facts["n_rows"] == 2 and "classes" not in facts
+    assert models.train_facts(rows.selectExpr("a", "int(a) AS y"), classes=True)["classes"] == 3
