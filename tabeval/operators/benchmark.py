@@ -50,9 +50,23 @@ def metric_matrix(scores: DataFrame, methods: Sequence[str], order: Sequence[str
     )
 
 
+EXACT_SUM = "decimal(38,18)"
+
+
+def _exact_mean(value: str) -> Column:
+    """The mean of the decimal numbers as written, whatever the order of addition; the plain mean if one has no such decimal.
+
+    A plain mean changes in its last digit with the order in which tasks add, and so does what it is rounded to.
+    """
+    number = F.col(value).try_cast(EXACT_SUM)
+    mean = F.try_divide(F.try_sum(number), F.count(number)).cast("double")
+    kept = F.bool_and(F.coalesce(number.cast("double") == F.col(value), F.col(value).isNull()))
+    return F.coalesce(F.when(kept, mean), F.avg(value))
+
+
 def per_dataset(scores: DataFrame) -> DataFrame:
     """One value per dataset and method: the mean over splits."""
-    return scores.groupBy("dataset", "method").agg(F.avg("value").alias("value"))
+    return scores.groupBy("dataset", "method").agg(_exact_mean("value").alias("value"))
 
 
 def mask_slow_methods(cells: DataFrame, times: DataFrame, budget_s: float) -> DataFrame:

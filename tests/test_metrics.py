@@ -164,3 +164,16 @@ def test_registry_takes_the_auroc_by_the_number_of_classes(spark):
     three = preds.where("dataset = 'three'")
     assert metrics.auroc_binary(three, ["dataset"]).first()["value"] is None
     assert metrics.average_precision(three, ["dataset"], mode="score").first()["value"] is None
+
+
+def test_means_do_not_hang_on_the_order_of_addition(spark):
+    values = [98.27, 85.27, 12.85, 33.6, 71.71, 70.7, 92.77, 42.37]  # their mean is 63.4425; added in this order, 63.442499999999995
+    odd = {"tiny": [1e-30, 3e-30], "huge": [1e300, 3e300], "nan": [1.0, float("nan")], "holed": [0.1, None, 0.3], "none": [None, None]}
+    rows = [("u", "a", v) for v in values] + [("u", "b", 63.443)] + [("odd", m, v) for m, vs in odd.items() for v in vs]
+    cells = benchmark.per_dataset(spark.createDataFrame(rows, "dataset string, method string, value double").coalesce(1))
+    got = {(r["dataset"], r["method"]): r["value"] for r in cells.collect()}
+    assert got["u", "a"] == 63.4425 and got["odd", "tiny"] == 2e-30 and got["odd", "huge"] == 2e300
+    assert np.isnan(got["odd", "nan"]) and got["odd", "holed"] == 0.2 and got["odd", "none"] is None
+    first = cells.where("dataset = 'u'")
+    assert {r["method"]: r["rank"] for r in benchmark.ranks(first).collect()} == {"a": 1.5, "b": 1.5}
+    assert all(r["is_best"] for r in benchmark.best_flags(first).collect())
