@@ -1,6 +1,5 @@
 """K1-K18 over the driver tables. Training rows are chosen by an ordinary column, as a split column would be."""
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tabeval.operators import preprocess
@@ -53,10 +52,12 @@ def one_hot(t: Tables):
 def one_hot_sparse(t: Tables):
     """A place per supplier of the training rows."""
     rows = t.lineitem.select("l_orderkey", "l_partkey", "l_linenumber", "l_suppkey", F.col("l_suppkey").alias("supplier"))
-    hot = preprocess.one_hot_sparse(rows, "supplier", F.col("l_linenumber") <= 2).withColumn("flags", vector_to_array("supplier_hot"))
-    place = F.nullif(F.array_position("flags", 1.0), F.lit(0)) - 1
-    entries = F.aggregate("flags", F.lit(0.0), lambda total, x: total + x).cast("int")
-    return hot.select("l_orderkey", "l_partkey", "l_suppkey", F.size("flags").cast("bigint").alias("size"), place.alias("place"), entries.alias("entries"))
+    hot = preprocess.one_hot_sparse(rows, "supplier", F.col("l_linenumber") <= 2)
+    # the entries of the sparse vector itself: as an array, it would hold every supplier in every row
+    flags = F.unwrap_udt("supplier_hot")
+    size, place = flags["size"].cast("bigint"), F.get(flags["indices"], F.lit(0)).cast("bigint")
+    entries = F.aggregate(flags["values"], F.lit(0.0), lambda total, x: total + x).cast("int")
+    return hot.select("l_orderkey", "l_partkey", "l_suppkey", size.alias("size"), place.alias("place"), entries.alias("entries"))
 
 
 @query(

@@ -78,3 +78,8 @@ def test_null_keys_have_a_place_in_splits(spark):
     assert sum(counts.values()) == 21
     cut = ranks.hash_cuts(rows, "k", 1, [7], counts)[0]
     assert rows.where(ranks.below_cut("k", 1, cut)).count() == 7
+
+
+def test_a_sparse_vector_is_not_spread_over_all_its_places(spark):
+    plan = named(spark, "k02_one_hot_sparse")
+    assert "array_position" not in plan and "unwrap" in plan.lower()
