@@ -104,3 +104,13 @@ def test_maps_and_variants_are_valid_and_only_queries_run(spark, tmp_path):
         assert workload.run_query(spark, statement)[0] == "Error"
     assert not (tmp_path / "o").exists() and workload.run_query(spark, "SELECT * FROM kept")[0] == "Valid"
     assert workload.run_query(spark, "WITH a AS (SELECT 1 AS x) SELECT * FROM a WHERE x > 1")[0] == "Empty"
+
+
+def test_a_cancelled_task_has_few_rows_left_to_work_through(spark):
+    key = "spark.sql.parquet.columnarReaderBatchSize"
+    assert int(workload.own_session(spark).conf.get(key)) <= 64
+    spark.conf.set(key, "16")  # a smaller batch of the caller's stays
+    try:
+        assert workload.own_session(spark).conf.get(key) == "16"
+    finally:
+        spark.conf.unset(key)
