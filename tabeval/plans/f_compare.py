@@ -13,9 +13,9 @@ def result(t: Tables):
     return t.orders.select(*RESULT)
 
 
-def one_cell_changed(df):
-    """The row of the dearest order gets another status."""
-    top = df.agg(F.max("o_totalprice")).scalar()
+def one_cell_changed(df, top=None):
+    """The row of the dearest order gets another status; ``top`` is its price, if it is known."""
+    top = df.agg(F.max("o_totalprice")).scalar() if top is None else top
     return df.withColumn("o_orderstatus", F.when(F.col("o_totalprice") == top, "X").otherwise(F.col("o_orderstatus")))
 
 
@@ -101,9 +101,8 @@ def holed(df, text):
     return df.withColumn("o_orderstatus", F.when(F.col("o_orderstatus") == "P", F.lit(text)).otherwise(F.col("o_orderstatus")))
 
 
-def topped(df, value):
-    """The dearest order costs ``value``, which need not be finite."""
-    top = df.agg(F.max("o_totalprice")).scalar()
+def topped(df, value, top):
+    """The dearest order, at a price of ``top``, costs ``value``, which need not be finite."""
     return df.withColumn("o_totalprice", F.when(F.col("o_totalprice") == top, F.lit(float(value))).otherwise(F.col("o_totalprice")))
 
 
@@ -128,12 +127,13 @@ def mapped(df):
 )
 def verdicts(t: Tables):
     base = result(t)
-    top = base.agg(F.max("o_orderkey")).scalar()
+    # read once: as subqueries they would be read again in every job
+    top, dearest = base.agg(F.max("o_orderkey"), F.max("o_totalprice")).first()
     price = F.col("o_totalprice")
     cases = {
         "same order": (base, base, "o_orderkey"),
         "shuffled": (base, base.repartition(5, "o_custkey"), None),
-        "one cell changed": (base, one_cell_changed(base), None),
+        "one cell changed": (base, one_cell_changed(base, dearest), None),
         "one row dropped": (base, base.where(F.col("o_orderkey") < top), None),
         "one row twice": (base, base.unionAll(base.where(F.col("o_orderkey") == top)), None),
         "small noise": (base, base.withColumn("o_totalprice", price * (1 + 1e-9)), None),
@@ -146,15 +146,15 @@ def verdicts(t: Tables):
         "decimal against double": (base.withColumn("o_totalprice", price.cast("decimal(18,4)")), base.withColumn("o_totalprice", price.cast("double") * (1 + 1e-10)), None),
         "two columns of one name": (base.select("o_orderkey", "o_custkey", F.col("o_custkey").alias("o_orderkey")), base.select("o_orderkey", "o_custkey", "o_custkey"), None),
         "map column": (mapped(base), mapped(base).repartition(5, "o_custkey"), None),
-        "map changed": (mapped(base), mapped(one_cell_changed(base)), None),
+        "map changed": (mapped(base), mapped(one_cell_changed(base, dearest)), None),
         "one name and a place": (base.select("o_orderkey", "o_custkey", F.col("o_totalprice").alias("o_custkey")), base.select("o_orderkey", "o_custkey", "o_totalprice"), "o_orderkey"),
-        "infinite against a number": (base, topped(base, "Infinity"), None),
-        "not a number against a number": (base, topped(base, "NaN"), None),
-        "infinite on both sides": (topped(base, "Infinity"), topped(base, "Infinity").repartition(5, "o_custkey"), None),
-        "noise beside infinite": (topped(base, "Infinity"), noisy(topped(base, "Infinity")), None),
-        "infinite of either sign": (topped(base, "Infinity"), topped(base, "-Infinity"), None),
-        "not a number, same bags": (topped(base, "NaN"), topped(base, "NaN"), None),
-        "noise beside not a number": (topped(base, "NaN"), noisy(topped(base, "NaN")), None),
+        "infinite against a number": (base, topped(base, "Infinity", dearest), None),
+        "not a number against a number": (base, topped(base, "NaN", dearest), None),
+        "infinite on both sides": (topped(base, "Infinity", dearest), topped(base, "Infinity", dearest).repartition(5, "o_custkey"), None),
+        "noise beside infinite": (topped(base, "Infinity", dearest), noisy(topped(base, "Infinity", dearest)), None),
+        "infinite of either sign": (topped(base, "Infinity", dearest), topped(base, "-Infinity", dearest), None),
+        "not a number, same bags": (topped(base, "NaN", dearest), topped(base, "NaN", dearest), None),
+        "noise beside not a number": (topped(base, "NaN", dearest), noisy(topped(base, "NaN", dearest)), None),
         "truth values as numbers": (base.select("o_orderkey", F.col("o_totalprice") > 9), base.select("o_orderkey", (F.col("o_totalprice") > 9).cast("int")), None),
         "failed": (base, None, None),
         "empty response": (base, base.select(), None),
