@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_module
-from tabeval.operators import analytics, benchmark, catalog, compare, preprocess, ranks
+from tabeval.operators import analytics, benchmark, catalog, compare, preprocess, ranks, splits
 
 QUERIES = entry_module.queries()
 
@@ -83,3 +83,10 @@ def test_null_keys_have_a_place_in_splits(spark):
 def test_a_sparse_vector_is_not_spread_over_all_its_places(spark):
     plan = named(spark, "k02_one_hot_sparse")
     assert "array_position" not in plan and "unwrap" in plan.lower()
+
+
+def test_windows_and_folds_sort_by_columns_and_keep_the_dataset_without_a_join(spark):
+    rows = spark.range(50).select("id", (F.col("id") % 2).cast("string").alias("y"), (F.col("id") % 5).alias("d"))
+    data = splits.to_dataset(rows, ["id"], "y", "id", keep=["d"])
+    assert sorted((r["id"], r["features"], r["d"]) for r in data.collect()) == [(i, [float(i)], i % 5) for i in range(50)]
+    assert not re.search(r"Sort \[[^\]]*md5", plan_of(splits.stratified_kfold(rows, "id", "y")))
