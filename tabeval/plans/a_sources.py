@@ -158,7 +158,7 @@ def read_batches(t: Tables):
     path = scratch_path(t.spark, "batches")
     batched = batches(t.supplier.select("s_suppkey", "s_name"), [], ["s_suppkey"]).drop("s_suppkey")
     files.write_batches(batched, path, "batch_no", "place")
-    return files.read_batches(t.spark, path, "batch_no")
+    return files.read_batches(t.spark, path, "batch_no", "place: bigint, s_name: string")
 
 
 @query("a12_read_gz_json", "SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority FROM orders")
