@@ -419,3 +419,23 @@ def test_a_continuous_label_has_no_classes(spark):
     facts = models.train_facts(rows)
     assert facts["n_rows"] == 2 and "classes" not in facts
     assert models.train_facts(rows.selectExpr("a", "int(a) AS y"), classes=True)["classes"] == 3
+
+
+def test_visits_are_written_a_bounded_number_at_a_time():
+    import pandas as pd
+
+    class Queries:
+        dtypes = [("key", "bigint"), ("q", "array<double>")]
+
+        def mapInPandas(self, fn, schema):
+            return fn
+
+    rng = np.random.default_rng(5)
+    points = rng.normal(size=(60, 4))
+    index = neighbours.NeighbourIndex(None, neighbours.Pivots(points, np.ones(60, dtype=int), np.zeros(60), np.ones(60)))
+    queries = pd.DataFrame({"key": range(700), "q": list(rng.normal(size=(700, 4)))})
+    frames = list(index._visit(Queries(), 50, None)(iter([queries])))
+    assert max(map(len, frames)) <= neighbours.VISIT_ROWS
+    whole = pd.concat(frames)
+    assert len(whole) == 700 * 50 and not whole.duplicated(["key", "cell"]).any()
+    assert all((q == queries["q"][key]).all() for key, q in zip(whole["key"], whole["q"]))
