@@ -43,6 +43,9 @@ def read_csv_table(t: Tables):
     return table.withColumn("CCustkey", F.col("CCustkey").cast("bigint"))
 
 
+TEXTS_PER_FILE = 2_000
+
+
 @query(
     "a02_read_csv_texts",
     """SELECT doc_id AS "DocId", '"' || lang || '", ' || text AS "Text", source AS "Source" FROM documents""",
@@ -51,7 +54,7 @@ def read_csv_texts(t: Tables):
     """Whole texts with quotes, separators and line breaks, written and read back."""
     path = scratch_path(t.spark, "csv")
     quoted = F.concat(F.lit('"'), "lang", F.lit('", '), "text")
-    files.write_csv(t.documents.select("doc_id", quoted.alias("text"), "source"), path)
+    files.write_csv(t.documents.select("doc_id", quoted.alias("text"), "source"), path, TEXTS_PER_FILE)
     table = files.read_csv_table(t.spark, path)
     return table.withColumn("DocId", F.col("DocId").cast("bigint"))
 
@@ -77,7 +80,7 @@ def register_dataset(t: Tables):
 @query("a04_read_csv_with_schema", "SELECT doc_id, text, lang, source, n_chars FROM documents")
 def read_csv_with_schema(t: Tables):
     path = scratch_path(t.spark, "quoted")
-    files.write_csv(t.documents, path)
+    files.write_csv(t.documents, path, TEXTS_PER_FILE)
     columns = {"doc_id": "int", "text": "string", "lang": "string", "source": "string", "n_chars": "int"}
     return files.read_csv_with_schema(t.spark, path, columns)
 
