@@ -7,7 +7,7 @@ import pytest
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
 from pyspark.sql import functions as F
 
-from tabeval.operators import metrics, models, neighbours, preprocess, ranks, splits, sweep
+from tabeval.operators import logit, metrics, models, neighbours, preprocess, ranks, splits, sweep
 
 rng = np.random.default_rng(11)
 
@@ -439,3 +439,24 @@ def test_visits_are_written_a_bounded_number_at_a_time():
     whole = pd.concat(frames)
     assert len(whole) == 700 * 50 and not whole.duplicated(["key", "cell"]).any()
     assert all((q == queries["q"][key]).all() for key, q in zip(whole["key"], whole["q"]))
+
+
+def test_logistic_search_reads_the_rows_once_a_step_for_all_folds_and_sets(table, monkeypatch):
+    """The sets and folds of a search share every pass; scores are those of MLlib's fits, the area is exact whatever the ranges."""
+    area = BinaryClassificationEvaluator(labelCol="y", rawPredictionCol="rawPrediction", numBins=0)
+    spec, passes, sums = models.MODELS["logistic"], [], logit._sums
+    for key, values in {"penalty": ["l1", "l2", "none"], "C": [0.05, 0.02, 1.0], "fit_intercept": [True, False, True]}.items():
+        monkeypatch.setitem(spec.space, key, lambda r, left=iter(values): next(left))
+    monkeypatch.setattr(logit, "_sums", lambda data, fits: passes.append(len(fits)) or sums(data, fits))
+    monkeypatch.setattr(logit, "RANGE_ROWS", 20)
+    found = models.random_search("logistic", table, ["a", "b"], area, ["c"], max_evals=3, folds=2)
+    assert found.tried == 3 and max(passes) == 8 and len(passes) < 40
+    parts = models.prepared_folds(table, ["a", "b"], ["c"], spec, 2)
+    for params, score in found.scores:
+        settings = models.logistic(300, **params).setTol(1e-10)
+        assert score == pytest.approx(np.mean([area.evaluate(settings.fit(rows).transform(held)) for rows, held in parts]), abs=2e-4)
+    settings = models.logistic(300, **found.params).setTol(1e-10)
+    rows = models.Pipeline(stages=[*models.preparation(["a", "b"], ["c"], spec), settings]).fit(table).transform(table)
+    p = {r["id"]: r["probability"][1] for r in rows.collect()}
+    mine = found.model.transform(table).collect()
+    assert max(abs(p[r["id"]] - r["probability"][1]) for r in mine) < 1e-3 and all(r["prediction"] == (r["probability"][1] > 0.5) for r in mine)
