@@ -7,7 +7,7 @@ import pytest
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
 from pyspark.sql import functions as F
 
-from tabeval.operators import logit, metrics, models, neighbours, preprocess, ranks, splits, sweep
+from tabeval.operators import logit, metrics, models, neighbours, preprocess, ranks, splits, sweep, trees
 
 rng = np.random.default_rng(11)
 
@@ -460,3 +460,14 @@ def test_logistic_search_reads_the_rows_once_a_step_for_all_folds_and_sets(table
     p = {r["id"]: r["probability"][1] for r in rows.collect()}
     mine = found.model.transform(table).collect()
     assert max(abs(p[r["id"]] - r["probability"][1]) for r in mine) < 1e-3 and all(r["prediction"] == (r["probability"][1] > 0.5) for r in mine)
+
+
+def test_trees_are_fitted_on_counted_bins(spark):
+    """The rounds of a fit see combinations of bins; the answers are those of MLlib on the rows."""
+    rows = [(i % 7 * 1.0, i % 3 * 1.0 if i % 11 else None, "uv"[i % 2], int((i % 7) + 2 * (i % 3) > 4)) for i in range(1200)]
+    df = spark.createDataFrame(rows, "a double, b double, c string, y int").coalesce(2).cache()
+    plain = models.Pipeline(stages=[*models.preparation(["a", "b"], ["c"], models.MODELS["gradient_boosting"]), models.mlc.GBTClassifier(featuresCol="features", labelCol="y", maxIter=6, maxDepth=1, stepSize=1.0, seed=0)])
+    stage = models.pipeline("gradient_boosting", ["a", "b"], ["c"], n_estimators=6).fit(df)
+    assert isinstance(stage.stages[-1], trees.BinnedModel)
+    got, expected = ([r["probability"][1] for r in m.transform(df).select("probability").collect()] for m in (stage, plain.fit(df)))
+    assert got == pytest.approx(expected, abs=1e-6)
