@@ -471,3 +471,15 @@ def test_trees_are_fitted_on_counted_bins(spark):
     assert isinstance(stage.stages[-1], trees.BinnedModel)
     got, expected = ([r["probability"][1] for r in m.transform(df).select("probability").collect()] for m in (stage, plain.fit(df)))
     assert got == pytest.approx(expected, abs=1e-6)
+
+
+def test_a_forest_on_counted_bins(spark):
+    rows = [(i % 7 * 1.0, i % 3 * 1.0 if i % 11 else None, "uv"[i % 2], int((i % 7) + 2 * (i % 3) > 4)) for i in range(1200)]
+    df = spark.createDataFrame(rows, "a double, b double, c string, y int").coalesce(2).cache()
+    fitted = models.pipeline("random_forest", ["a", "b"], ["c"], n_estimators=5, max_features="auto", min_samples_split=10).fit(df)
+    assert isinstance(fitted.stages[-1], trees.BinnedModel) and len({m.toDebugString for m in fitted.stages[-1].models}) > 1
+    out = fitted.transform(df).collect()
+    assert len(out) == 1200 and np.mean([r["prediction"] == r["y"] for r in out]) > 0.9
+    assert all(abs(sum(r["probability"]) - 1) < 1e-9 and abs(sum(r["rawPrediction"]) - 5) < 1e-9 for r in out)
+    drawn = spark.range(200_000).select(F.rand(3).alias("u")).select(trees._poisson("u").alias("n")).agg(F.avg("n"), F.var_pop("n")).first()
+    assert tuple(drawn) == pytest.approx((1.0, 1.0), abs=0.02)
